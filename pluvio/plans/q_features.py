@@ -186,9 +186,9 @@ H_AGG_NAMES = ["value_mean", "value_min", "value_max", "value_std", "k_mean", "k
 
 @query("hourly_to_daily", """
 SELECT event_type, CAST(ts AS DATE) AS fecha,
-       ROUND(AVG(value), 6) AS value_mean, ROUND(MIN(value), 6) AS value_min,
-       ROUND(MAX(value), 6) AS value_max, ROUND(STDDEV_SAMP(value), 6) AS value_std,
-       ROUND(AVG(k), 6) AS k_mean, ROUND(MAX(k), 6) AS k_max
+       ROUND(CAST(AVG(value) AS DOUBLE) + sign(CAST(AVG(value) AS DOUBLE)) * 1e-09, 6) AS value_mean, ROUND(CAST(MIN(value) AS DOUBLE) + sign(CAST(MIN(value) AS DOUBLE)) * 1e-09, 6) AS value_min,
+       ROUND(CAST(MAX(value) AS DOUBLE) + sign(CAST(MAX(value) AS DOUBLE)) * 1e-09, 6) AS value_max, ROUND(CAST(STDDEV_SAMP(value) AS DOUBLE) + sign(CAST(STDDEV_SAMP(value) AS DOUBLE)) * 1e-09, 6) AS value_std,
+       ROUND(CAST(AVG(k) AS DOUBLE) + sign(CAST(AVG(k) AS DOUBLE)) * 1e-09, 6) AS k_mean, ROUND(CAST(MAX(k) AS DOUBLE) + sign(CAST(MAX(k) AS DOUBLE)) * 1e-09, 6) AS k_max
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) e
 GROUP BY 1, 2
 """)
@@ -214,9 +214,9 @@ r AS (SELECT event_type, CAST(ts AS DATE) AS fecha, AVG(value) AS value_mean, MI
              MAX(value) AS value_max, AVG(k) AS k_mean, MAX(k) AS k_max FROM h GROUP BY 1, 2),
 d AS (SELECT event_type, CAST(ts AS DATE) AS fecha, COUNT(*) AS n_events, SUM(value) AS value_sum
       FROM e GROUP BY 1, 2)
-SELECT d.event_type, d.fecha, d.n_events, ROUND(d.value_sum, 6) AS value_sum,
-       ROUND(value_mean, 6) AS value_mean, ROUND(value_min, 6) AS value_min, ROUND(value_max, 6) AS value_max,
-       ROUND(k_mean, 6) AS k_mean, ROUND(k_max, 6) AS k_max
+SELECT d.event_type, d.fecha, d.n_events, ROUND(CAST(d.value_sum AS DOUBLE) + sign(CAST(d.value_sum AS DOUBLE)) * 1e-09, 6) AS value_sum,
+       ROUND(CAST(value_mean AS DOUBLE) + sign(CAST(value_mean AS DOUBLE)) * 1e-09, 6) AS value_mean, ROUND(CAST(value_min AS DOUBLE) + sign(CAST(value_min AS DOUBLE)) * 1e-09, 6) AS value_min, ROUND(CAST(value_max AS DOUBLE) + sign(CAST(value_max AS DOUBLE)) * 1e-09, 6) AS value_max,
+       ROUND(CAST(k_mean AS DOUBLE) + sign(CAST(k_mean AS DOUBLE)) * 1e-09, 6) AS k_mean, ROUND(CAST(k_max AS DOUBLE) + sign(CAST(k_max AS DOUBLE)) * 1e-09, 6) AS k_max
 FROM d LEFT JOIN r ON d.event_type = r.event_type AND d.fecha = r.fecha
 """
 
@@ -251,12 +251,12 @@ h AS (SELECT event_type, date_trunc('hour', ts) AS ts, AVG(value) AS value, MAX(
 r AS (SELECT event_type, CAST(ts AS DATE) AS fecha, AVG(value) AS pm, MIN(value) AS pmin, MAX(value) AS pmax,
              AVG(k) AS rh, MAX(k) AS wd, COUNT(*) AS n_hours, STDDEV_SAMP(value) AS vpd FROM h GROUP BY 1, 2)
 SELECT event_type, fecha,
-  ROUND(pm - LAG(pm, 1) OVER (PARTITION BY event_type ORDER BY fecha), 6) AS pressure_trend_24h,
-  ROUND(pm - LAG(pm, 2) OVER (PARTITION BY event_type ORDER BY fecha), 6) AS pressure_trend_48h,
-  ROUND(pmax - pmin, 6) AS pressure_range,
-  ROUND(-(n_hours / 4.0) * sin(radians(wd)), 6) AS wind_west_component,
-  ROUND(-(n_hours / 4.0) * cos(radians(wd)), 6) AS wind_north_component,
-  ROUND(rh * vpd, 6) AS rh_vpd_interaction
+  ROUND(CAST(pm - LAG(pm, 1) OVER (PARTITION BY event_type ORDER BY fecha) AS DOUBLE) + sign(CAST(pm - LAG(pm, 1) OVER (PARTITION BY event_type ORDER BY fecha) AS DOUBLE)) * 1e-09, 6) AS pressure_trend_24h,
+  ROUND(CAST(pm - LAG(pm, 2) OVER (PARTITION BY event_type ORDER BY fecha) AS DOUBLE) + sign(CAST(pm - LAG(pm, 2) OVER (PARTITION BY event_type ORDER BY fecha) AS DOUBLE)) * 1e-09, 6) AS pressure_trend_48h,
+  ROUND(CAST(pmax - pmin AS DOUBLE) + sign(CAST(pmax - pmin AS DOUBLE)) * 1e-09, 6) AS pressure_range,
+  ROUND(CAST(-(n_hours / 4.0) * sin(radians(wd)) AS DOUBLE) + sign(CAST(-(n_hours / 4.0) * sin(radians(wd)) AS DOUBLE)) * 1e-09, 6) AS wind_west_component,
+  ROUND(CAST(-(n_hours / 4.0) * cos(radians(wd)) AS DOUBLE) + sign(CAST(-(n_hours / 4.0) * cos(radians(wd)) AS DOUBLE)) * 1e-09, 6) AS wind_north_component,
+  ROUND(CAST(rh * vpd AS DOUBLE) + sign(CAST(rh * vpd AS DOUBLE)) * 1e-09, 6) AS rh_vpd_interaction
 FROM r
 """)
 def q_derived_features(spark, sf_dir):
@@ -273,7 +273,7 @@ def q_derived_features(spark, sf_dir):
     return present(d.select("event_type", "fecha", *DERIVED))
 
 
-@query("payload_to_rows", "SELECT event_type, ts, ROUND(value, 6) AS value FROM events")
+@query("payload_to_rows", "SELECT event_type, ts, ROUND(CAST(value AS DOUBLE) + sign(CAST(value AS DOUBLE)) * 1e-09, 6) AS value FROM events")
 def q_payload_to_rows(spark, sf_dir):
     """SRC2/PRJ2 — column-oriented payload (``{hourly: {time: [...], value: [...]}}``)
     back to typed rows. The payloads are cut from ``events`` in blocks of at most
@@ -321,7 +321,7 @@ def q_null_audit(spark, sf_dir):
 
 
 @query("season_filter", f"""
-SELECT series, fecha, ROUND(precip, 6) AS precip FROM ({sg.D_SQL}) d
+SELECT series, fecha, ROUND(CAST(precip AS DOUBLE) + sign(CAST(precip AS DOUBLE)) * 1e-09, 6) AS precip FROM ({sg.D_SQL}) d
 WHERE month(fecha) BETWEEN 5 AND 9 AND fecha BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'
 """)
 def q_season_filter(spark, sf_dir):

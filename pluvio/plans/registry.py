@@ -12,6 +12,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 DP = 6  # doubles are rounded to this many places in query output (both sides)
+# Engines sum in different orders, so an exact decimal tie (…5 at the 7th
+# place) may come out a hair above in one engine and below in the other.
+# Both sides nudge away from zero by NUDGE before rounding, so true ties
+# round the same way everywhere.
+NUDGE = 1e-9
 
 
 def query(name: str, sql: str | None = None):
@@ -31,7 +36,8 @@ def present(df: DataFrame, dp: int = DP) -> DataFrame:
     exprs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(F.round(F.col(f"`{f.name}`").cast("double"), dp).alias(f.name))
+            c = F.col(f"`{f.name}`").cast("double")
+            exprs.append(F.round(c + F.signum(c) * NUDGE, dp).alias(f.name))
         else:
             exprs.append(F.col(f"`{f.name}`"))
     return df.select(*exprs)
@@ -39,4 +45,4 @@ def present(df: DataFrame, dp: int = DP) -> DataFrame:
 
 def rnd(expr: str, dp: int = DP) -> str:
     """SQL twin of ``present`` for one expression."""
-    return f"ROUND(CAST({expr} AS DOUBLE), {dp})"
+    return f"ROUND(CAST({expr} AS DOUBLE) + sign(CAST({expr} AS DOUBLE)) * {NUDGE}, {dp})"

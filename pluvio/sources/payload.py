@@ -59,6 +59,9 @@ def rows_to_payload(df: DataFrame, keys: list[str], time: str, values: list[str]
         F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), *[F.col(v) for v in values])))
         .alias("_rows"))
     fmt = TIME_FORMATS[grain]
+    def field(name):
+        return lambda r: r[name].cast("double")
+
     body = F.struct(F.transform("_rows", lambda r: F.date_format(r["t"], fmt)).alias("time"),
-                    *[F.transform("_rows", lambda r, v=v: r[v].cast("double")).alias(v) for v in values])
+                    *[F.transform("_rows", field(v)).alias(v) for v in values])
     return packed.select(*keys, body.alias(grain))
