@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["q_features"]
+_MODULES = ["q_features", "q_splits", "q_metrics"]
 
 
 def load_all():

@@ -82,11 +82,14 @@ def predictions_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S — one scored row per order: ``y`` actual amount, ``y_pred`` predicted
-    amount, ``prob`` predicted probability; group key ``o_orderpriority``."""
+    amount, ``prob`` predicted probability (two decimals, with ties); group
+    key ``o_orderpriority``. Built with floor/products only, so every engine
+    computes bit-identical values."""
     o = table(spark, sf_dir, "orders")
+    prob = F.floor(F.col("o_totalprice") / 6000) / 100.0
     return o.select(
         "o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("yr"),
-        F.when(F.col("o_orderstatus") == "F", F.round(F.col("o_totalprice") / 10000.0, 3))
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") / 10000.0)
          .otherwise(F.lit(0.0)).alias("y"),
-        F.round(F.col("o_totalprice") / 600000.0, 2).alias("prob"),
-        F.round(F.round(F.col("o_totalprice") / 600000.0, 2) * (F.col("o_custkey") % 50), 3).alias("y_pred"))
+        prob.alias("prob"),
+        (prob * (F.col("o_custkey") % 50)).alias("y_pred"))
