@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["q_features", "q_splits", "q_metrics"]
+_MODULES = ["q_features", "q_splits", "q_metrics", "q_monitor"]
 
 
 def load_all():
