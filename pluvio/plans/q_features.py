@@ -12,6 +12,7 @@ from pluvio.plans import bindings as b
 from pluvio.plans import sqlgen as sg
 from pluvio.plans.registry import present, query, rnd
 from pluvio.series import SeriesSpec
+from pluvio.session import tune_optimizer
 from pluvio.sources import payload
 
 D_SPEC = SeriesSpec(keys=("series",), time="fecha")
@@ -29,6 +30,7 @@ WMO_COLS = [f"wmo_{c}" for c in fe.WMO_CATEGORIES]
 
 
 def _feature_table(spark, sf_dir):
+    tune_optimizer(spark)
     return fe.build_features(b.daily_lineitem(spark, sf_dir), D_SPEC, D_CFG)
 
 

@@ -17,9 +17,18 @@ _CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Wide feature plans (dozens of window aliases + NOT NULL filters) make
+    # constraint inference explode combinatorially in the optimizer; the
+    # inferred filters are not needed by any pluvio plan.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
+def tune_optimizer(spark: SparkSession) -> None:
+    """Runtime-settable guards for sessions pluvio did not build itself."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def get_session(master: str | None = None, app: str = "pluvio",
                 shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     """Build (or reuse) a session with pluvio's defaults.
