@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["q_features", "q_splits", "q_metrics", "q_monitor", "q_runs", "q_functions", "q_models"]
+_MODULES = ["q_features", "q_splits", "q_metrics", "q_monitor", "q_runs", "q_functions", "q_models", "q_streaming"]
 
 
 def load_all():

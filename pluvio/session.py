@@ -29,6 +29,12 @@ def tune_optimizer(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Streaming watermarks need TIMESTAMP; wall-clock (NTZ) times are read
+    as UTC so day windows line up with calendar days."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def get_session(master: str | None = None, app: str = "pluvio",
                 shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     """Build (or reuse) a session with pluvio's defaults.
