@@ -17,6 +17,7 @@ _CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Wide feature plans (dozens of window aliases + NOT NULL filters) make
     # constraint inference explode combinatorially in the optimizer; the
     # inferred filters are not needed by any pluvio plan.
