@@ -73,8 +73,8 @@ EXPECTED = ["precip_lag1", "n_lines_lag1", "precip_rmean_7", "temp_range_lag1",
 
 @query("align_features", f"""
 SELECT series, fecha, precip AS target_source, {rnd('precip_lag1')} AS precip_lag1, n_lines_lag1,
-       {rnd('precip_rmean_7')} AS precip_rmean_7, 0.0 AS temp_range_lag1, racha_seca, {rnd('mes_sin')} AS mes_sin,
-       0.0 AS pressure_trend_24h_lag1, wmo_nieve
+       {rnd('precip_rmean_7')} AS precip_rmean_7, CAST(0.0 AS DOUBLE) AS temp_range_lag1, racha_seca, {rnd('mes_sin')} AS mes_sin,
+       CAST(0.0 AS DOUBLE) AS pressure_trend_24h_lag1, wmo_nieve
 FROM ({qf._feature_sql()}) t""")
 def q_align_features(spark, sf_dir):
     """PRJ7/PRJ8/SET2 — the model's feature list in its order, features

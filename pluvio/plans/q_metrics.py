@@ -237,7 +237,7 @@ g AS (SELECT config, {', '.join(f'AVG({m}) AS avg_{m}' for m in _GRID_M)}, {', '
 SELECT config, CASE WHEN config IN {URGENT} THEN 'urgent' ELSE 'routine' END AS family,
        {', '.join(f'{rnd(f"avg_{m}")} AS avg_{m}' for m in _GRID_M)}, {', '.join(f'{rnd(f"std_{m}")} AS std_{m}' for m in _GRID_STD)},
        best_threshold, {rnd('avg_fbeta - std_fbeta')} AS robust_score,
-       ROW_NUMBER() OVER (ORDER BY avg_fbeta - std_fbeta DESC NULLS LAST, config) AS rank
+       CAST(ROW_NUMBER() OVER (ORDER BY avg_fbeta - std_fbeta DESC NULLS LAST, config) AS INTEGER) AS rank
 FROM g""")
 def q_grid_leaderboard(spark, sf_dir):
     """AGG11/JOIN5/ORD4/SET1/SET3 — grid search summary: configurations
