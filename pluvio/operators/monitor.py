@@ -21,13 +21,18 @@ RECALL_BANDS = (0.6, 0.5)          # recall >= .6 good, >= .5 warn
 
 def forecast_vs_actual(actuals: DataFrame, predictions: DataFrame, start=None, end=None,
                        keys: list[str] | tuple = ()) -> DataFrame:
-    """JOIN2 — actuals in [start, end] ⟕ predictions on (keys, fecha)."""
-    a = actuals
+    """JOIN2 — actuals in [start, end] ⟕ predictions on (keys, fecha).
+
+    The period filter is applied to both sides so it reaches both scans
+    (predictions outside the period can never match)."""
+    a, p = actuals, predictions
     if start is not None:
         a = a.filter(F.col("fecha") >= F.lit(start).cast("date"))
+        p = p.filter(F.col("fecha") >= F.lit(start).cast("date"))
     if end is not None:
         a = a.filter(F.col("fecha") <= F.lit(end).cast("date"))
-    p = predictions.select(*keys, "fecha", "prob_rain", "mm_predicted", "will_rain", "model_version")
+        p = p.filter(F.col("fecha") <= F.lit(end).cast("date"))
+    p = p.select(*keys, "fecha", "prob_rain", "mm_predicted", "will_rain", "model_version")
     return a.select(*keys, "fecha", "mm_actual", "did_rain").join(p, list(keys) + ["fecha"], "left")
 
 
@@ -78,9 +83,10 @@ def degradation_limit(baseline_rmse: float = BASELINE_RMSE, pct: float = RMSE_MA
 
 
 def dashboard_series(pairs: DataFrame) -> DataFrame:
-    """PRJ9 — rounded predicted/observed/probability, flags as booleans and a
-    NULL-safe absolute error (NULL unless both values exist)."""
-    return pairs.select(
+    """PRJ9/ORD1 — rounded predicted/observed/probability, flags as booleans
+    and a NULL-safe absolute error (NULL unless both values exist), in date
+    order for charts."""
+    return pairs.orderBy("fecha").select(
         "fecha", F.round("mm_predicted", 3).alias("predicted"), F.round("mm_actual", 3).alias("observed"),
         F.round("prob_rain", 4).alias("prob_rain"), F.col("will_rain").cast("boolean").alias("will_rain"),
         F.col("did_rain").cast("boolean").alias("did_rain"),

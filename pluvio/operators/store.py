@@ -142,8 +142,13 @@ def with_sequence_ids(new_rows: DataFrame, start_after: DataFrame | None, order:
 
 
 def append_log(spark: SparkSession, path: str, rows: DataFrame, order: str = "evaluated_at") -> None:
-    """SNK4 — append evaluation rows with auto-increment ids, metrics 4 dp."""
+    """SNK4 — append evaluation rows with auto-increment ids, metrics 4 dp.
+
+    Rows whose ``order`` value is already logged are skipped, so re-running
+    an append after a failure does not duplicate entries."""
     existing = spark.read.parquet(path) if _exists(spark, path) else None
+    if existing is not None:
+        rows = rows.join(existing.select(order).distinct(), order, "left_anti")
     out = with_sequence_ids(rows, existing, order)
     out = out.withColumns({c: F.round(c, 4) for c in
                            ["rmse_current", "recall_current", "rmse_baseline", "recall_baseline"]

@@ -29,9 +29,15 @@ SEASON_DBL = ["mes_sin", "mes_cos", "dia_año_sin", "dia_año_cos"]
 WMO_COLS = [f"wmo_{c}" for c in fe.WMO_CATEGORIES]
 
 
-def _feature_table(spark, sf_dir):
+# D arrives under the daily API names, so the pipeline's rename (PRJ1) runs.
+D_API_NAMES = {"precip": "precipitation_sum", "weather_code": "weathercode"}
+D_CFG.rename = {k: v for k, v in fe.RENAME_MAP.items()}
+
+
+def _feature_table(spark, sf_dir, spec=D_SPEC):
     tune_optimizer(spark)
-    return fe.build_features(b.daily_lineitem(spark, sf_dir), D_SPEC, D_CFG)
+    raw = b.daily_lineitem(spark, sf_dir).withColumnsRenamed(D_API_NAMES)
+    return fe.build_features(raw, spec, D_CFG)
 
 
 def _feature_sql(part="series", d_sql=sg.D_SQL):
@@ -59,10 +65,19 @@ def _season_wmo():
 
 @query("feature_table", _feature_sql())
 def q_feature_table(spark, sf_dir):
-    """ML17 + PRJ1 + ORD1 — the full feature table of every series."""
+    """ML17 + PRJ1 — the full feature table of every series (API names
+    renamed, one shared window exchange)."""
     return present(_feature_table(spark, sf_dir))
 
 
+@query("feature_table_chunked", _feature_sql())
+def q_feature_table_chunked(spark, sf_dir):
+    """ML17 through the chunk+halo plan with keys: windows run per
+    (series, 256-row chunk), so a series of any length or skew is split
+    over many bounded tasks; same result as ``feature_table``."""
+    return present(_feature_table(spark, sf_dir, SeriesSpec(keys=("series",), time="fecha", chunk_rows=256)))
+
+
 # ----------------------------- single features -----------------------------
 
 def _d_window_sql(cols_sql: list[str], dbl: list[str], ints: list[str] = (), part="series", d_sql=sg.D_SQL):

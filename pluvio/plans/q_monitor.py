@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pluvio.operators import monitor as mo
 from pluvio.operators import store as st
 from pluvio.plans import bindings as b
+from pluvio.plans import sqlgen as sg
 from pluvio.plans.registry import present, query, rnd
+from pluvio.session import checkpoint_dir, scratch_path
 
 START, END = "1995-01-01", "2001-12-31"   # evaluation period (inclusive)
 BASE_RMSE = 2.0                           # stand-in baseline RMSE (units of P)
@@ -247,3 +249,16 @@ def q_recent_n(spark, sf_dir):
 def q_prediction_lookup(spark, sf_dir):
     """FLT2 — key lookup of one stored prediction by date."""
     return present(_merged(spark, sf_dir).filter(F.col("fecha") == F.lit("1998-06-15").cast("date")))
+
+
+@query("saved_table_roundtrip", f"""
+SELECT series, fecha, {rnd('precip')} AS precip FROM ({sg.D_SQL}) d WHERE year(fecha) BETWEEN 1996 AND 1997""")
+def q_saved_table_roundtrip(spark, sf_dir):
+    """SNK1/SRC4/FLT1 — the daily table saved partitioned by year (full
+    overwrite) and read back with a year filter that prunes partitions."""
+    checkpoint_dir(spark)
+    path = scratch_path(spark, "daily-table")
+    d = b.daily_lineitem(spark, sf_dir).withColumn("yr", F.year("fecha"))
+    st.save_table(d, path, ["yr"])
+    back = spark.read.parquet(path).filter(F.col("yr").between(1996, 1997))
+    return present(back.select("series", "fecha", "precip"))

@@ -118,3 +118,40 @@ def q_winner_lookup(spark, sf_dir):
         rn.typed_param(F.col("params")["clf_size"])["int_value"].alias("clf_size"))
     j = winners.join(clf, winners["run_name"] == clf["config"], "inner")
     return j.select(F.col("group").alias("family"), F.col("run_id").alias("final_run_id"), "clf_run_id", "clf_size")
+
+
+_CV_M = ["mae", "rmse", "r2", "mape", "accuracy", "f1_score"]
+
+
+def _cv_runs_sql():
+    from pluvio.plans import q_metrics as qm
+    raw = qm._raw(qm._reg_sql("y", "y_pred") + qm._clf_sql("y", "y_pred", 1.0))
+    keep = [x for x in raw if x.rsplit(" AS ", 1)[1] in _CV_M]
+    return f"""
+WITH s AS ({qm.S_SQL}),
+f AS (SELECT yr, {', '.join(keep)} FROM s GROUP BY 1),
+child AS (UNPIVOT (SELECT 'cv-' || CAST(yr AS VARCHAR) AS run_id, CAST('cv-parent' AS VARCHAR) AS parent_run_id,
+                          {', '.join(_CV_M)} FROM f)
+          ON {', '.join(_CV_M)} INTO NAME metric VALUE value),
+parent AS (UNPIVOT (SELECT 'cv-parent' AS run_id, CAST(NULL AS VARCHAR) AS parent_run_id,
+                           {', '.join(f'AVG({m}) AS cv_avg_{m}' for m in _CV_M)} FROM f)
+           ON {', '.join(f'cv_avg_{m}' for m in _CV_M)} INTO NAME metric VALUE value)
+SELECT run_id, parent_run_id, metric, {rnd('value')} AS value FROM child
+UNION ALL SELECT run_id, parent_run_id, metric, {rnd('value')} AS value FROM parent"""
+
+
+@query("runs_from_cv", _cv_runs_sql())
+def q_runs_from_cv(spark, sf_dir):
+    """SNK5 — a parent run and one child run per fold: non-NULL metrics as a
+    map, parent metrics prefixed ``cv_avg_`` (fold = year of the scored rows)."""
+    from pluvio.operators import metrics as mt
+    s = b.scored_orders(spark, sf_dir)
+    fm = mt.evaluate(s, "y", "y_pred", ["yr"])
+    child = fm.select(F.concat(F.lit("cv-"), F.col("yr").cast("string")).alias("run_id"),
+                      F.lit("cv-parent").alias("parent_run_id"),
+                      rn.to_metric_map(*[(m, F.col(m)) for m in _CV_M]).alias("metrics"))
+    parent = fm.agg(*[F.avg(m).alias(m) for m in _CV_M]).select(
+        F.lit("cv-parent").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
+        rn.to_metric_map(*[(m, F.col(m)) for m in _CV_M], prefix="cv_avg_").alias("metrics"))
+    runs = child.unionByName(parent)
+    return present(runs.select("run_id", "parent_run_id", F.explode("metrics").alias("metric", "value")))
