@@ -32,10 +32,14 @@ def month_range(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:
     return df.filter(F.month(col).between(lo, hi))
 
 
-def describe(df: DataFrame, col: str, keys: list[str] | tuple = ()) -> DataFrame:
-    """AGG3 — count/mean/std/min/quartiles/max (exact interpolated quartiles)."""
+def describe(df: DataFrame, col: str, keys: list[str] | tuple = (), approx: bool = False,
+             accuracy: int = 10000) -> DataFrame:
+    """AGG3 — count/mean/std/min/quartiles/max. Exact interpolated quartiles
+    by default; ``approx=True`` uses the mergeable sketch
+    (``percentile_approx``) for very large groups."""
     x = F.col(col)
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    q = F.percentile_approx(x, qs, accuracy) if approx else F.percentile(x, qs)
     out = df.groupBy(*keys).agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
