@@ -164,11 +164,22 @@ def with_window_features(df: DataFrame, spec: SeriesSpec, stage1: dict, *,
         return out.drop("_pv_pos", *[f"_pv_wet_{n}" for n, _, _ in streaks],
                         *[f"_pv_lw_{n}" for n, _, _ in streaks])
 
-    # chunked: carry the last wet position of all earlier chunks (tiny table)
+    # chunked: carry the last wet position of all earlier chunks (tiny table).
+    # Built from the indexed rows without any window: row j makes position
+    # j+1 wet when its value is not dry (position 0 is always wet); every row
+    # also registers its own chunk so each chunk has an entry.
     d = sw.finish(d, keep_index=True)
     keys = list(spec.keys)
-    per_chunk = d.groupBy(*keys, CHUNK).agg(*[
-        F.max(F.when(F.col(f"_pv_wet_{n}"), F.col(IDX))).alias(f"_pv_cm_{n}") for n, _, _ in streaks])
+    c = spec.chunk_size
+    i = F.col(IDX)
+    own = F.struct(F.floor(i / c).cast("long").alias("c"),
+                   *[F.when(i == 0, F.lit(0).cast("long")).alias(n) for n, _, _ in streaks])
+    nxt = F.struct(F.floor((i + 1) / c).cast("long").alias("c"),
+                   *[F.when(~F.coalesce(F.col(col) <= F.lit(thr), F.lit(False)), i + 1).alias(n)
+                     for n, col, thr in streaks])
+    marks = sw.indexed.select(*keys, F.explode(F.array(own, nxt)).alias("_m"))
+    per_chunk = marks.groupBy(*keys, F.col("_m.c").alias(CHUNK)).agg(*[
+        F.max(f"_m.{n}").alias(f"_pv_cm_{n}") for n, _, _ in streaks])
     prior = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(*keys, CHUNK, *[
         F.max(f"_pv_cm_{n}").over(prior).alias(f"_pv_carry_{n}") for n, _, _ in streaks])

@@ -144,6 +144,7 @@ class SeriesWindow:
             return df
         c = self.spec.chunk_size
         d = dense_index(df, self.spec)
+        self.indexed = d  # one row per input row with its dense index (no halo copies)
         chunk = F.floor(F.col(IDX) / c).cast("long")
         pos = F.col(IDX) - chunk * c
         copies = [F.struct(chunk.alias("c"), F.lit(False).alias("h"))]
