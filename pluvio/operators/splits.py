@@ -23,6 +23,8 @@ MIN_TRAIN_SIZE = 365 * 3
 def with_position(df: DataFrame, spec: SeriesSpec, name: str = "i") -> DataFrame:
     """WIN8 — 0-based dense position per series (bucketed, no global sort)
     plus the series length ``n`` (a per-series count joined back)."""
+    from pluvio.session import materialize
+    df = materialize(df)  # read by the index and by the length count: compute once
     d = dense_index(df, spec, name=name)
     if not spec.keys:  # one series: its length is a scalar subquery
         return d.withColumn("n", df.select(F.count(F.lit(1))).scalar())
@@ -74,7 +76,7 @@ def assign_folds(df: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = Non
     d = with_position(df, spec)
     keys = list(spec.keys)
     if bounds is None:
-        bounds = fold_bounds(series_lengths(df, spec), keys, **kw)
+        bounds = fold_bounds(d.select(*keys, "n").distinct() if keys else d.select("n").limit(1), keys, **kw)
     cond = (F.col("i") >= F.col("train_lo")) & (F.col("i") < F.col("test_hi"))
     if keys:
         j = d.join(bounds.withColumnsRenamed({k: f"_b_{k}" for k in keys}),

@@ -81,24 +81,25 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
                 order: list[str] | None = None) -> DataFrame:
     """0-based dense row number per series, computed without a global sort.
 
-    1. count rows per (keys, calendar month) — a tiny table;
-    2. prefix-sum those counts per series → start offset of every month;
-    3. ``row_number`` inside (keys, month) + offset.
-    Only step 3 touches the data rows, and its partitions are bounded by a
-    calendar month of one series.
+    1. one window over (keys, calendar month): ``row_number`` and the month's
+       row count — partitions are bounded by a calendar month of one series;
+    2. from the first row of every month, a tiny (keys, month, count) table
+       whose prefix sum per series gives each month's start offset;
+    3. index = offset + row_number - 1 (the offsets join back by key).
+    The input is referenced once, so its scan/shuffle is not repeated.
     """
     keys = list(spec.keys)
     order_cols = order or [spec.time]
-    with_b = df.withColumn(BUCKET, _bucket(spec.time))
-    counts = with_b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_pv_n"))
+    w_b = Window.partitionBy(*keys, BUCKET)
+    numbered = (df.withColumn(BUCKET, _bucket(spec.time))
+                .withColumn("_pv_rn", F.row_number().over(w_b.orderBy(*order_cols)))
+                .withColumn("_pv_n", F.count(F.lit(1)).over(w_b)))
     w_off = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, BUCKET,
-                            F.coalesce(F.sum("_pv_n").over(w_off), F.lit(0)).alias("_pv_off"))
-    w_rn = Window.partitionBy(*keys, BUCKET).orderBy(*order_cols)
-    numbered = with_b.withColumn("_pv_rn", F.row_number().over(w_rn))
+    offsets = (numbered.filter(F.col("_pv_rn") == 1)
+               .select(*keys, BUCKET, F.coalesce(F.sum("_pv_n").over(w_off), F.lit(0)).alias("_pv_off")))
     out = (numbered.join(offsets, keys + [BUCKET], "inner")
            .withColumn(name, (F.col("_pv_off") + F.col("_pv_rn") - 1).cast("long"))
-           .drop("_pv_off", "_pv_rn", BUCKET))
+           .drop("_pv_off", "_pv_rn", "_pv_n", BUCKET))
     return out
 
 
@@ -142,8 +143,11 @@ class SeriesWindow:
     def prepare(self, df: DataFrame) -> DataFrame:
         if not self.spec.chunked:
             return df
+        from pluvio.session import materialize
         c = self.spec.chunk_size
-        d = dense_index(df, self.spec)
+        # the input is read by the index, the halo layout and the streak carry:
+        # compute it once
+        d = dense_index(materialize(df), self.spec)
         self.indexed = d  # one row per input row with its dense index (no halo copies)
         chunk = F.floor(F.col(IDX) / c).cast("long")
         pos = F.col(IDX) - chunk * c

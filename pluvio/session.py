@@ -76,3 +76,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable ``checkpoint()``
+    into the shared checkpoint folder (never ``localCheckpoint``). Used where
+    a plan would otherwise reference an expensive input several times with
+    different column sets (so exchange reuse cannot kick in)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
