@@ -61,10 +61,10 @@ def daily_rollup_stream(events: DataFrame, aggregations: dict[str, list[str]], k
     return g.select(*keys, F.to_date(F.col("w.start")).alias("fecha"), *[e for e in g.columns if e not in keys + ["w"]])
 
 
-def run_daily_rollup(spark: SparkSession, source_dir: str, glob: str, schema: T.StructType,
+def run_daily_rollup(spark: SparkSession, source_dir: str, glob: str | None, schema: T.StructType,
                      aggregations: dict, keys: list[str], target: str, checkpoint: str,
-                     time: str = "ts") -> DataFrame:
-    s = daily_rollup_stream(file_stream(spark, source_dir, schema, glob), aggregations, keys, time)
+                     time: str = "ts", max_files: int | None = None) -> DataFrame:
+    s = daily_rollup_stream(file_stream(spark, source_dir, schema, glob, max_files), aggregations, keys, time)
     _run(s.writeStream.outputMode("update").foreachBatch(upsert_sink(target, keys + ["fecha"], [])), checkpoint)
     return spark.read.parquet(target).drop("_batch")
 

@@ -36,9 +36,10 @@ def test_stream_rollup_equals_batch(spark):
     base = scratch_path(spark, "test-stream-rollup")
     rows = [("x" if i % 3 else "y", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i % 11)) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
-    df.repartition(4).write.parquet(f"{base}/src")
+    # one file per day, in time order; one file per trigger → ~21 micro-batches
+    sj.ordered_file_drop(df.withColumn("d", F.to_date("ts")).coalesce(1), f"{base}/src", "d")
     out = sj.run_daily_rollup(spark, f"{base}/src", "*.parquet", df.schema, {"v": ["mean", "max", "count"]},
-                              ["k"], f"{base}/out", f"{base}/ckpt")
+                              ["k"], f"{base}/out", f"{base}/ckpt", max_files=1)
     exp = df.groupBy("k", F.to_date("ts").alias("fecha")).agg(F.avg("v").alias("v_mean"), F.max("v").alias("v_max"),
                                                               F.count("v").alias("v_count"))
     a = {(r["k"], r["fecha"]): (round(r["v_mean"], 9), r["v_max"], r["v_count"]) for r in out.collect()}
