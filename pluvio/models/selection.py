@@ -11,13 +11,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.models.two_stage import TwoStageConfig, fit_single_stage, fit_two_stage
 from pluvio.operators import metrics as mt
 from pluvio.operators.splits import inner_validation
+from pluvio.session import materialize
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -80,7 +80,7 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
     """ML11/ML12/JOIN5 — configs × folds plan; per fold metrics, then the
     grid summary (AGG11). For the regressor grid the classifier and its
     threshold stay fixed (``base``)."""
-    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = materialize(folded)  # read by every config × fold fit: compute once, cut lineage
     rows = []
     for name, params in grid.items():
         cfg = replace(base, clf_params=params) if stage == "clf" else replace(base, reg_params=params)
