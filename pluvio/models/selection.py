@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.models.two_stage import TwoStageConfig, fit_single_stage, fit_two_stage
+from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_single_stage, fit_two_stage
 from pluvio.operators import metrics as mt
 from pluvio.operators.splits import inner_validation
 from pluvio.session import materialize
@@ -46,21 +46,32 @@ def run_cv(folded: DataFrame, features: list[str], label: str, params: dict | No
 
 def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] | None = None,
                      val_ratio: float = 0.2, thresholds=mt.CLF_THRESHOLDS, peak: float = mt.PEAK_THRESHOLD,
-                     parallelism: int = 2) -> DataFrame:
-    """ML10 — per fold: threshold tuned on the inner validation part (AGG9),
-    refit on the full training part, evaluation on the test part (AGG7)."""
+                     parallelism: int = 2, clf_cache: dict | None = None) -> DataFrame:
+    """ML10 — per fold: classifier threshold tuned on the inner validation
+    part (AGG9), refit on the full training part, evaluation on the test part
+    (AGG7). ``clf_cache`` (fold → (threshold, classifier)) lets a regressor
+    grid reuse one classifier per fold across configurations."""
     staged = inner_validation(folded, val_ratio)
     folds = folds or [r[0] for r in staged.select("fold").distinct().orderBy("fold").collect()]
 
-    def one(f):
+    def classifier_for(f, train):
+        if clf_cache is not None and f in clf_cache:
+            return clf_cache[f]
         fit_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "fit"))
         val_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "val"))
-        m = fit_two_stage(fit_rows, cfg)
-        best = mt.best_threshold(m.predict_proba(val_rows), cfg.label, "prob", (), thresholds,
+        tuned = TwoStageModel(cfg, fit_classifier(fit_rows, cfg), None)
+        best = mt.best_threshold(tuned.predict_proba(val_rows), cfg.label, "prob", (), thresholds,
                                  cfg.clf_thr).first()["best_threshold"]
+        out = (best, fit_classifier(train, cfg))
+        if clf_cache is not None:
+            clf_cache[f] = out
+        return out
+
+    def one(f):
         train = staged.filter((F.col("fold") == f) & (F.col("role") != "test"))
         test = staged.filter((F.col("fold") == f) & (F.col("role") == "test"))
-        full = fit_two_stage(train, replace(cfg, threshold=best))
+        best, clf = classifier_for(f, train)
+        full = fit_two_stage(train, replace(cfg, threshold=best), clf=clf)
         return full.transform(test).withColumn("threshold", F.lit(best))
 
     with ThreadPoolExecutor(parallelism) as ex:
@@ -81,10 +92,11 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
     grid summary (AGG11). For the regressor grid the classifier and its
     threshold stay fixed (``base``)."""
     cached = materialize(folded)  # read by every config × fold fit: compute once, cut lineage
+    clf_cache = {} if stage == "reg" else None  # classifier fixed: fit once per fold, reuse
     rows = []
     for name, params in grid.items():
         cfg = replace(base, clf_params=params) if stage == "clf" else replace(base, reg_params=params)
-        fm = run_cv_two_stage(cached, cfg, folds, parallelism=parallelism)
+        fm = run_cv_two_stage(cached, cfg, folds, parallelism=parallelism, clf_cache=clf_cache)
         rows.append(fm.withColumn("config", F.lit(name)))
     fm = _union(rows).withColumnRenamed("f1_clf", "f1")
     if stage == "clf":

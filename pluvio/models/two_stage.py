@@ -125,20 +125,30 @@ def class_weight(df: DataFrame, label: str, thr: float) -> float:
     return (r["n"] / r["p"]) if r["p"] else 1.0
 
 
-def fit_two_stage(df: DataFrame, cfg: TwoStageConfig) -> TwoStageModel:
-    """ML7 — fit classifier (weighted) then regressor on wet rows."""
+def fit_classifier(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel:
+    """ML7 stage 1 — GBT classifier on ``y > clf_thr`` with positives weighted
+    ``n_neg/n_pos``."""
     w = class_weight(df, cfg.label, cfg.clf_thr)
     lab = (F.col(cfg.label) > cfg.clf_thr).cast("double")
     d = df.withColumns({"_cls": lab, "_w": F.when(lab == 1.0, F.lit(w)).otherwise(F.lit(1.0))})
-    clf = Pipeline(stages=[_assembler(cfg.features), GBTClassifier(
+    return Pipeline(stages=[_assembler(cfg.features), GBTClassifier(
         labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params))]).fit(d)
+
+
+def fit_regressor(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel | None:
+    """ML7 stage 2 — GBT regressor on the wet rows (``log1p`` target when
+    ``log_target``); ``None`` when there is no wet row."""
     wet = df.filter(F.col(cfg.label) > cfg.reg_thr)
-    reg = None
-    if wet.limit(1).count():
-        tgt = F.log1p(cfg.label) if cfg.log_target else F.col(cfg.label)
-        reg = Pipeline(stages=[_assembler(cfg.features), GBTRegressor(
-            labelCol="_t", featuresCol="features", **gbt_params(cfg.reg_params))]).fit(wet.withColumn("_t", tgt))
-    return TwoStageModel(cfg, clf, reg)
+    if not wet.limit(1).count():
+        return None
+    tgt = F.log1p(cfg.label) if cfg.log_target else F.col(cfg.label)
+    return Pipeline(stages=[_assembler(cfg.features), GBTRegressor(
+        labelCol="_t", featuresCol="features", **gbt_params(cfg.reg_params))]).fit(wet.withColumn("_t", tgt))
+
+
+def fit_two_stage(df: DataFrame, cfg: TwoStageConfig, clf: PipelineModel | None = None) -> TwoStageModel:
+    """ML7 — classifier (or a given fitted one) then regressor on wet rows."""
+    return TwoStageModel(cfg, clf or fit_classifier(df, cfg), fit_regressor(df, cfg))
 
 
 class SingleStageModel:
