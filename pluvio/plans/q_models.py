@@ -31,8 +31,10 @@ def _clean(spark, sf_dir):
 
 
 def _features(df):
-    drop = set(qf.D_VARS) | {"series", "fecha", "precip_t1"}
-    return [c for c in df.columns if c not in drop]
+    """PRJ4 — model inputs by exclusion: all columns but the renamed raw daily
+    names, the target and the series key/time (same-day aggregates stay in)."""
+    from pluvio.operators.features import feature_names
+    return feature_names(df, qf.D_CFG, keys=("series", "fecha"))
 
 
 def _cfg(df, **kw):
