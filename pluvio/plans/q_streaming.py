@@ -56,7 +56,8 @@ def q_stream_upsert(spark, sf_dir):
         F.round(prob, 4).alias("prob_rain"), F.round(F.floor(F.col("o_totalprice") / 10) / 1000.0, 3).alias("mm_predicted"),
         (prob > 0.5).cast("int").alias("will_rain"), F.lit("v2").alias("model_version"),
         F.lit(0.5).alias("threshold_used"), F.col("o_orderkey").alias("seq"))
-    return present(sj.run_upsert(spark, writes, ["fecha"], ["predicted_at", "seq"], target, ckpt))
+    return present(sj.run_upsert(spark, writes, ["fecha"], ["predicted_at", "seq"], target, ckpt,
+                                 partition_col="fecha"))
 
 
 @query("stream_error_window", f"""
@@ -82,8 +83,8 @@ def q_stream_error_window(spark, sf_dir):
     schema = spark.read.parquet(pairs_dir).schema
     s = sj.error_window_stream(sj.file_stream(spark, pairs_dir, schema), b.P_WET_THRESHOLD)
     _ = sj._run(s.writeStream.outputMode("update").foreachBatch(
-        sj.upsert_sink(target, ["window_start"], [])), ckpt)
-    return present(sj.finish_error_window(spark.read.parquet(target)))
+        sj.upsert_sink(target, ["window_start"], [], partition_col="window_start")), ckpt)
+    return present(sj.finish_error_window(sj.read_target(spark, target)))
 
 
 @query("stream_streak", f"WITH d AS ({sg.D_SQL}) SELECT series, fecha, racha_seca FROM ("
@@ -100,5 +101,5 @@ def q_stream_streak(spark, sf_dir):
     schema = spark.read.parquet(src).schema
     s = sj.streak_stream(sj.file_stream(spark, src, schema, max_files=4), b.D_DRY_THRESHOLD)
     _ = sj._run(s.writeStream.outputMode("append").foreachBatch(
-        sj.upsert_sink(target, ["series", "fecha"], [])), ckpt)
-    return spark.read.parquet(target).drop("_batch")
+        sj.upsert_sink(target, ["series", "fecha"], [], partition_col="fecha")), ckpt)
+    return sj.read_target(spark, target)

@@ -41,14 +41,30 @@ def _run(query_builder, checkpoint: str) -> None:
         raise q.exception()
 
 
-def upsert_sink(target: str, keys: list[str], order: list[str]):
-    """foreachBatch sink: keyed upsert; the batch id orders versions of a key."""
+PART = "_month"  # storage partition of streaming targets: calendar month of the date key
+
+
+def upsert_sink(target: str, keys: list[str], order: list[str], partition_col: str | None = None):
+    """foreachBatch sink: keyed upsert; the batch id orders versions of a key.
+    With ``partition_col`` (a date column) the target is partitioned by its
+    calendar month and each micro-batch rewrites only the months it touches,
+    not the whole table."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
-        st.upsert(batch.sparkSession, target, rows, keys, ["_batch"] + order)
+        part = None
+        if partition_col:
+            rows = rows.withColumn(PART, F.date_format(F.col(partition_col), "yyyy-MM"))
+            part = PART
+        st.upsert(batch.sparkSession, target, rows, keys, ["_batch"] + order, partition_col=part)
     return write
 
 
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """Read a streaming target without its bookkeeping columns."""
+    d = spark.read.parquet(target)
+    return d.drop(*[c for c in ("_batch", PART) if c in d.columns])
+
+
 def daily_rollup_stream(events: DataFrame, aggregations: dict[str, list[str]], keys: list[str],
                         time: str = "ts", watermark: str = "2 days") -> DataFrame:
     """STR1 — incremental hourly → daily rollup with a watermark; rows later
@@ -65,15 +81,17 @@ def run_daily_rollup(spark: SparkSession, source_dir: str, glob: str | None, sch
                      aggregations: dict, keys: list[str], target: str, checkpoint: str,
                      time: str = "ts", max_files: int | None = None) -> DataFrame:
     s = daily_rollup_stream(file_stream(spark, source_dir, schema, glob, max_files), aggregations, keys, time)
-    _run(s.writeStream.outputMode("update").foreachBatch(upsert_sink(target, keys + ["fecha"], [])), checkpoint)
-    return spark.read.parquet(target).drop("_batch")
+    _run(s.writeStream.outputMode("update").foreachBatch(
+        upsert_sink(target, keys + ["fecha"], [], partition_col="fecha")), checkpoint)
+    return read_target(spark, target)
 
 
 def run_upsert(spark: SparkSession, stream: DataFrame, keys: list[str], order: list[str],
-               target: str, checkpoint: str) -> DataFrame:
+               target: str, checkpoint: str, partition_col: str | None = None) -> DataFrame:
     """STR2 — streaming keyed upsert (newest row per key wins)."""
-    _run(stream.writeStream.outputMode("append").foreachBatch(upsert_sink(target, keys, order)), checkpoint)
-    return spark.read.parquet(target).drop("_batch")
+    _run(stream.writeStream.outputMode("append").foreachBatch(
+        upsert_sink(target, keys, order, partition_col)), checkpoint)
+    return read_target(spark, target)
 
 
 def error_window_stream(pairs: DataFrame, threshold: float, days: int = 30,
