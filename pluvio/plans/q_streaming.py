@@ -97,7 +97,7 @@ def q_stream_streak(spark, sf_dir):
     target, ckpt, base = _dirs(spark, "stream-streak")
     src = f"{base}/daily"
     d = b.daily_lineitem(spark, sf_dir).select("series", "fecha", "precip", F.year("fecha").alias("yr"))
-    sj.ordered_file_drop(d, src, "yr")
+    sj.ordered_file_drop(d, src, "yr", keys=["series"])
     schema = spark.read.parquet(src).schema
     s = sj.streak_stream(sj.file_stream(spark, src, schema, max_files=4), b.D_DRY_THRESHOLD)
     _ = sj._run(s.writeStream.outputMode("append").foreachBatch(

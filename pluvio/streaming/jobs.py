@@ -157,13 +157,18 @@ def streak_stream(daily: DataFrame, threshold: float) -> DataFrame:
         streak_state_fn(threshold), STREAK_OUT, STREAK_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def ordered_file_drop(df: DataFrame, directory: str, part_col: str) -> list:
+def ordered_file_drop(df: DataFrame, directory: str, part_col: str, keys: list[str] | tuple = ()) -> list:
     """Write a derived table as one file batch per value of ``part_col`` in
-    ascending order, so a file stream sees them in time order (one
-    micro-batch per value with ``maxFilesPerTrigger``)."""
+    ascending order, so a file stream sees them in time order. Rows of one
+    key within one value go to a single file (``repartition(keys)``): files
+    of one write job are not created in row order, so splitting a key's
+    period over several files could hand its later rows to an earlier
+    micro-batch."""
     values = [r[0] for r in df.select(part_col).distinct().orderBy(part_col).collect()]
     for v in values:
-        df.filter(F.col(part_col) == v).drop(part_col).write.mode("append").parquet(directory)
+        part = df.filter(F.col(part_col) == v).drop(part_col)
+        part = part.repartition(*keys) if keys else part.coalesce(1)
+        part.write.mode("append").parquet(directory)
     return values
 
 

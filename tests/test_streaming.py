@@ -19,7 +19,7 @@ def test_stream_streak_equals_batch(spark):
             rows.append((s, d, float((i * (3 if s == "a" else 5)) % 7), d.year))
     df = spark.createDataFrame(rows, "series string, fecha date, precip double, yr int")
     base = scratch_path(spark, "test-stream-streak")
-    sj.ordered_file_drop(df, f"{base}/src", "yr")
+    sj.ordered_file_drop(df, f"{base}/src", "yr", keys=["series"])
     schema = spark.read.parquet(f"{base}/src").schema
     s = sj.streak_stream(sj.file_stream(spark, f"{base}/src", schema, max_files=1), 2.0)
     sj._run(s.writeStream.outputMode("append").foreachBatch(sj.upsert_sink(f"{base}/out", ["series", "fecha"], [])),
@@ -37,7 +37,7 @@ def test_stream_rollup_equals_batch(spark):
     rows = [("x" if i % 3 else "y", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i % 11)) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
     # one file per day, in time order; one file per trigger → ~21 micro-batches
-    sj.ordered_file_drop(df.withColumn("d", F.to_date("ts")).coalesce(1), f"{base}/src", "d")
+    sj.ordered_file_drop(df.withColumn("d", F.to_date("ts")), f"{base}/src", "d")
     out = sj.run_daily_rollup(spark, f"{base}/src", "*.parquet", df.schema, {"v": ["mean", "max", "count"]},
                               ["k"], f"{base}/out", f"{base}/ckpt", max_files=1)
     exp = df.groupBy("k", F.to_date("ts").alias("fecha")).agg(F.avg("v").alias("v_mean"), F.max("v").alias("v_max"),
