@@ -44,3 +44,23 @@ def join_daily(daily: DataFrame, rollup: DataFrame, keys: list[str] | tuple = ()
                time: str = "fecha") -> DataFrame:
     """JOIN1 — daily rows ⟕ their hourly rollup on (keys, day)."""
     return daily.join(rollup, list(keys) + [time], "left")
+
+
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's: hourly variable → daily
+# aggregates (output columns are named ``{variable}_{aggregate}``).
+HOURLY_AGGREGATIONS = {
+    "pressure_msl": ["mean", "min", "max"],
+    "surface_pressure": ["mean"],
+    "relative_humidity_2m": ["mean", "max"],
+    "dew_point_2m": ["mean", "min"],
+    "vapour_pressure_deficit": ["mean", "min"],
+    "cloud_cover": ["mean", "max"],
+    "cloud_cover_low": ["mean", "max"],
+    "cloud_cover_mid": ["mean"],
+    "cloud_cover_high": ["mean"],
+    "wind_speed_10m": ["mean", "max"],
+    "wind_direction_10m": ["mean"],
+    "wind_gusts_10m": ["max"],
+}
+# ---------------------------------------------------------------------------

@@ -389,3 +389,63 @@ def q_period_extent(spark, sf_dir):
     """AGG16 — first/last date and row count per slice."""
     d = b.daily_lineitem(spark, sf_dir).withColumn("yr", F.year("fecha"))
     return profile.extent(d, "fecha", ["series", "yr"])
+
+
+# ------------------- the reference's default pipeline, whole -------------------
+
+def weather_features(spark, sf_dir):
+    """SRC3 → AGG1 (reference hourly spec) → JOIN1 → PRJ1 rename → PRJ6
+    derived (incl. ``temp_range``) → ML17 with the default configuration
+    (33 lags, 90 rolling columns, streak, seasonality, WMO one-hot, target)."""
+    from pluvio.operators.rollup import HOURLY_AGGREGATIONS
+    tune_optimizer(spark)
+    spec = SeriesSpec(keys=("series",), time="fecha")
+    roll = aggregate_to_daily(b.weather_hourly(spark, sf_dir), HOURLY_AGGREGATIONS, time="ts", keys=["series"])
+    joined = join_daily(b.weather_daily(spark, sf_dir), roll, ["series"])
+    renamed = fe.prepare(joined, spec, fe.RENAME_MAP)
+    derived = fe.add_derived_features(renamed, spec)
+    return fe.build_features(derived, spec, fe.FeatureConfig())
+
+
+def _weather_sql():
+    from pluvio.operators.rollup import HOURLY_AGGREGATIONS
+    fn = {"mean": "AVG", "min": "MIN", "max": "MAX"}
+    roll_cols = [f"{v}_{f}" for v, fs in HOURLY_AGGREGATIONS.items() for f in fs]
+    w = "OVER (PARTITION BY series ORDER BY fecha)"
+    daily = ", ".join(f"{sq} AS {n}" for n, _, sq in b.WEATHER_DAILY)
+    hourly = ", ".join(f"{sq} AS {n}" for n, _, sq in b.WEATHER_HOURLY)
+    roll = ", ".join(f"{fn[f]}({v}) AS {v}_{f}" for v, fs in HOURLY_AGGREGATIONS.items() for f in fs)
+    ren = ", ".join(f"{k} AS {v}" for k, v in fe.RENAME_MAP.items())
+    derived_names = ["pressure_trend_24h", "pressure_trend_48h", "pressure_range", "temp_range",
+                     "wind_west_component", "wind_north_component", "rh_vpd_interaction"]
+    der = (f"pressure_msl_mean - LAG(pressure_msl_mean, 1) {w} AS pressure_trend_24h, "
+           f"pressure_msl_mean - LAG(pressure_msl_mean, 2) {w} AS pressure_trend_48h, "
+           "pressure_msl_max - pressure_msl_min AS pressure_range, temp_max - temp_min AS temp_range, "
+           "-wind_speed_10m_mean * sin(radians(wind_direction_10m_mean)) AS wind_west_component, "
+           "-wind_speed_10m_mean * cos(radians(wind_direction_10m_mean)) AS wind_north_component, "
+           "relative_humidity_2m_mean * vapour_pressure_deficit_mean AS rh_vpd_interaction")
+    lags = sg.lag_sql(fe.LAG_VARS, "series", "fecha")
+    rolls = sg.rolling_sql(fe.ROLLING_VARS, "series", "fecha")
+    inner = f"SELECT *, {', '.join(lags + rolls)}, LEAD(precip, 1) {w} AS precip_t1 FROM der"
+    streak = sg.streak_sql(f"({inner})", "precip", fe.STREAK_THRESHOLD, "series", "fecha")
+    roll_names = [f"{c}_{t}_{k}" for c in fe.ROLLING_VARS for k in fe.ROLLING_WINDOWS for t in ("rmean", "rstd", "rmax")]
+    dbl = (list(fe.RENAME_MAP.values()) + roll_cols + derived_names + [f"{c}_lag1" for c in fe.LAG_VARS]
+           + roll_names + ["precip_t1"])
+    return f"""
+WITH daily AS (SELECT l_returnflag AS series, CAST(l_shipdate AS DATE) AS fecha, {daily} FROM lineitem GROUP BY 1, 2),
+hourly AS (SELECT l_returnflag AS series, l_shipdate + to_hours(l_linenumber) AS ts, {hourly} FROM lineitem),
+roll AS (SELECT series, CAST(ts AS DATE) AS fecha, {roll} FROM hourly GROUP BY 1, 2),
+j AS (SELECT d.*, {', '.join('r.' + c for c in roll_cols)} FROM daily d LEFT JOIN roll r USING (series, fecha)),
+ren AS (SELECT series, fecha, {ren}, {', '.join(roll_cols)} FROM j),
+der AS (SELECT *, {der} FROM ren),
+f AS ({streak})
+SELECT series, fecha, racha_seca, {sg.round_cols(dbl)}, {', '.join(_season_wmo())}
+FROM (SELECT *, {', '.join(sg.seasonal_sql('fecha'))} FROM f) g
+"""
+
+
+@query("weather_feature_table", _weather_sql())
+def q_weather_feature_table(spark, sf_dir):
+    """The reference's default pipeline end to end on weather-shaped inputs
+    (every configured daily and hourly variable present): ~180 columns."""
+    return present(weather_features(spark, sf_dir))
