@@ -97,35 +97,36 @@ def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Weather-shaped stand-ins under the daily/hourly API names: every daily and
 # hourly variable of the reference exists, so its default pipeline runs whole.
-# (name, Spark expression, DuckDB expression) over lineitem columns.
+# (name, Spark expression builder, DuckDB expression) over lineitem columns;
+# builders are lambdas so importing this module needs no Spark session.
 WEATHER_DAILY = [
-    ("precipitation_sum", F.sum("l_quantity"), "SUM(l_quantity)"),
-    ("precipitation_hours", F.count(F.lit(1)).cast("double"), "CAST(COUNT(*) AS DOUBLE)"),
-    ("temperature_2m_max", F.max("l_extendedprice") / 1000, "MAX(l_extendedprice) / 1000"),
-    ("temperature_2m_min", F.min("l_extendedprice") / 1000, "MIN(l_extendedprice) / 1000"),
-    ("temperature_2m_mean", F.avg("l_extendedprice") / 1000, "AVG(l_extendedprice) / 1000"),
-    ("windspeed_10m_max", F.max("l_discount") * 100, "MAX(l_discount) * 100"),
-    ("windgusts_10m_max", F.max("l_tax") * 100, "MAX(l_tax) * 100"),
-    ("winddirection_10m_dominant", (F.sum("l_quantity").cast("long") % 360).cast("double"),
+    ("precipitation_sum", lambda: F.sum("l_quantity"), "SUM(l_quantity)"),
+    ("precipitation_hours", lambda: F.count(F.lit(1)).cast("double"), "CAST(COUNT(*) AS DOUBLE)"),
+    ("temperature_2m_max", lambda: F.max("l_extendedprice") / 1000, "MAX(l_extendedprice) / 1000"),
+    ("temperature_2m_min", lambda: F.min("l_extendedprice") / 1000, "MIN(l_extendedprice) / 1000"),
+    ("temperature_2m_mean", lambda: F.avg("l_extendedprice") / 1000, "AVG(l_extendedprice) / 1000"),
+    ("windspeed_10m_max", lambda: F.max("l_discount") * 100, "MAX(l_discount) * 100"),
+    ("windgusts_10m_max", lambda: F.max("l_tax") * 100, "MAX(l_tax) * 100"),
+    ("winddirection_10m_dominant", lambda: (F.sum("l_quantity").cast("long") % 360).cast("double"),
      "CAST(CAST(SUM(l_quantity) AS BIGINT) % 360 AS DOUBLE)"),
-    ("shortwave_radiation_sum", F.sum("l_tax") * 10, "SUM(l_tax) * 10"),
-    ("et0_fao_evapotranspiration", F.avg("l_discount") * 10, "AVG(l_discount) * 10"),
-    ("weathercode", (F.sum("l_quantity").cast("long") % 100).cast("double"),
+    ("shortwave_radiation_sum", lambda: F.sum("l_tax") * 10, "SUM(l_tax) * 10"),
+    ("et0_fao_evapotranspiration", lambda: F.avg("l_discount") * 10, "AVG(l_discount) * 10"),
+    ("weathercode", lambda: (F.sum("l_quantity").cast("long") % 100).cast("double"),
      "CAST(CAST(SUM(l_quantity) AS BIGINT) % 100 AS DOUBLE)"),
 ]
 WEATHER_HOURLY = [
-    ("pressure_msl", 990 + F.col("l_tax") * 500, "990 + l_tax * 500"),
-    ("surface_pressure", 950 + F.col("l_tax") * 400, "950 + l_tax * 400"),
-    ("relative_humidity_2m", F.col("l_discount") * 900, "l_discount * 900"),
-    ("dew_point_2m", F.col("l_quantity") / 5, "l_quantity / 5"),
-    ("vapour_pressure_deficit", F.col("l_tax") * 20, "l_tax * 20"),
-    ("cloud_cover", F.col("l_quantity") * 2, "l_quantity * 2"),
-    ("cloud_cover_low", (F.col("l_partkey") % 100).cast("double"), "CAST(l_partkey % 100 AS DOUBLE)"),
-    ("cloud_cover_mid", (F.col("l_suppkey") % 100).cast("double"), "CAST(l_suppkey % 100 AS DOUBLE)"),
-    ("cloud_cover_high", (F.col("l_orderkey") % 100).cast("double"), "CAST(l_orderkey % 100 AS DOUBLE)"),
-    ("wind_speed_10m", F.col("l_extendedprice") / 5000, "l_extendedprice / 5000"),
-    ("wind_direction_10m", (F.col("l_partkey") % 360).cast("double"), "CAST(l_partkey % 360 AS DOUBLE)"),
-    ("wind_gusts_10m", F.col("l_extendedprice") / 4000, "l_extendedprice / 4000"),
+    ("pressure_msl", lambda: 990 + F.col("l_tax") * 500, "990 + l_tax * 500"),
+    ("surface_pressure", lambda: 950 + F.col("l_tax") * 400, "950 + l_tax * 400"),
+    ("relative_humidity_2m", lambda: F.col("l_discount") * 900, "l_discount * 900"),
+    ("dew_point_2m", lambda: F.col("l_quantity") / 5, "l_quantity / 5"),
+    ("vapour_pressure_deficit", lambda: F.col("l_tax") * 20, "l_tax * 20"),
+    ("cloud_cover", lambda: F.col("l_quantity") * 2, "l_quantity * 2"),
+    ("cloud_cover_low", lambda: (F.col("l_partkey") % 100).cast("double"), "CAST(l_partkey % 100 AS DOUBLE)"),
+    ("cloud_cover_mid", lambda: (F.col("l_suppkey") % 100).cast("double"), "CAST(l_suppkey % 100 AS DOUBLE)"),
+    ("cloud_cover_high", lambda: (F.col("l_orderkey") % 100).cast("double"), "CAST(l_orderkey % 100 AS DOUBLE)"),
+    ("wind_speed_10m", lambda: F.col("l_extendedprice") / 5000, "l_extendedprice / 5000"),
+    ("wind_direction_10m", lambda: (F.col("l_partkey") % 360).cast("double"), "CAST(l_partkey % 360 AS DOUBLE)"),
+    ("wind_gusts_10m", lambda: F.col("l_extendedprice") / 4000, "l_extendedprice / 4000"),
 ]
 
 
@@ -133,7 +134,7 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily readings per (return flag, ship day) under the daily API names."""
     li = table(spark, sf_dir, "lineitem")
     return nan_to_null(li.groupBy(F.col("l_returnflag").alias("series"), F.to_date("l_shipdate").alias("fecha"))
-                       .agg(*[e.alias(n) for n, e, _ in WEATHER_DAILY]))
+                       .agg(*[e().alias(n) for n, e, _ in WEATHER_DAILY]))
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,4 +142,4 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     ts = F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate"))
     return nan_to_null(li.select(F.col("l_returnflag").alias("series"), ts.alias("ts"),
-                                 *[e.alias(n) for n, e, _ in WEATHER_HOURLY]))
+                                 *[e().alias(n) for n, e, _ in WEATHER_HOURLY]))

@@ -30,3 +30,16 @@ def test_scan_prunes_columns(spark):
     from pluvio.plans import bindings as b
     plan = b.daily_lineitem(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "l_partkey" not in plan and "l_linestatus" not in plan
+
+
+def test_entry_module_imports_without_spark():
+    """The driver may list queries/oracles before any session exists."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
+            "from pyspark.sql import SparkSession; assert SparkSession.getActiveSession() is None; "
+            "print(len(q), len(o))")
+    r = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0, r.stderr[-2000:]
