@@ -141,3 +141,41 @@ def q_save_load_model(spark, sf_dir):
     b2 = live.transform(te).select("series", "fecha", F.col("y_hat").alias("b"))
     j = a.join(b2, ["series", "fecha"])
     return present(j.select("series", "fecha", "a", (F.abs(F.col("a") - F.col("b")) < 1e-12).alias("same")))
+
+
+@query("daily_flow")
+def q_daily_flow(spark, sf_dir):
+    """§3.1 — daily job: tomorrow's two-stage scores for every series upserted
+    into the predictions table, latest observations into actuals."""
+    from pluvio.flows import daily_flow
+    c = _clean(spark, sf_dir)
+    m = fit_two_stage(c, _cfg(c))
+    feats = qf._feature_table(spark, sf_dir)
+    root = scratch_path(spark, "store")
+    out = daily_flow(spark, feats, m, root, ["series"], "precip", version="v1", wet_threshold=WET)
+    return present(out.select("series", "fecha", "prob_rain", "mm_predicted", "will_rain", "model_version"))
+
+
+@query("monthly_flow")
+def q_monthly_flow(spark, sf_dir):
+    """§3.2 — monthly job over a stored history: trailing-30-day evaluation of
+    every series, drift rule, retrain-and-compare for degraded series, log."""
+    import datetime as dt
+
+    from pluvio.flows import monthly_flow
+    from pluvio.operators import store as st
+    c = _clean(spark, sf_dir)
+    m = fit_two_stage(c, _cfg(c))
+    scored = m.transform(c).select(
+        "series", "fecha", F.current_timestamp().alias("predicted_at"), F.col("prob").alias("prob_rain"),
+        F.col("y_hat").alias("mm_predicted"), (F.col("prob") > m.cfg.threshold).cast("int").alias("will_rain"),
+        F.lit("v1").alias("model_version"), F.lit(m.cfg.threshold).alias("threshold_used"))
+    actual = c.select("series", "fecha", F.col("precip").alias("mm_actual"),
+                      (F.col("precip") > WET).cast("int").alias("did_rain"), F.current_timestamp().alias("recorded_at"))
+    root = scratch_path(spark, "store")
+    st.upsert(spark, f"{root}/predictions", scored, ["series", "fecha"], ["predicted_at"])
+    st.upsert(spark, f"{root}/actuals", actual, ["series", "fecha"], ["recorded_at"])
+    ref = c.agg(F.max("fecha")).first()[0] + dt.timedelta(days=1)
+    out = monthly_flow(spark, root, ["series"], ref, clean_features=c, cfg=_cfg(c), baseline_rmse=20.0,
+                       recall_min=0.99, wet_threshold=WET)
+    return present(out.select("id", "n_days", "rmse_current", "recall_current", "degraded", "retrained", "notes"))
