@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pluvio.plans import load_all  # noqa: E402
 from pluvio.session import get_session  # noqa: E402
 
-NAMES = ["feature_table", "feature_table_chunked", "streak_single_series", "roc_auc", "cv_expanding",
+NAMES = ["feature_table", "feature_table_chunked", "weather_feature_table", "streak_single_series", "roc_auc", "cv_expanding",
          "upsert_latest", "monitor_metrics", "payload_to_rows", "forecast_vs_actual"]
 
 
