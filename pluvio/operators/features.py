@@ -81,9 +81,14 @@ WMO_CATEGORIES = ["despejado", "nublado", "niebla", "lluvia_leve", "nieve", "tor
 
 # ----------------------------- column builders -----------------------------
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def lag_columns(sw: SeriesWindow, cols, lags=(1,), fmt: str = "{c}_lag{n}") -> dict[str, Column]:
     """WIN1 — previous-row values."""
-    return {fmt.format(c=c, n=n): F.lag(F.col(c), n).over(sw.order) for c in cols for n in lags}
+    over = sw.over_sql()
+    return {fmt.format(c=c, n=n): F.expr(f"lag({_q(c)}, {n}) {over}") for c in cols for n in lags}
 
 
 def diff_columns(sw: SeriesWindow, col: str, periods: dict[str, int]) -> dict[str, Column]:
@@ -91,22 +96,23 @@ def diff_columns(sw: SeriesWindow, col: str, periods: dict[str, int]) -> dict[st
     return {name: F.col(col) - F.lag(F.col(col), n).over(sw.order) for name, n in periods.items()}
 
 
-_STATS = {"mean": ("rmean", F.avg), "std": ("rstd", F.stddev_samp), "max": ("rmax", F.max),
-          "min": ("rmin", F.min), "sum": ("rsum", F.sum)}
+_STATS = {"mean": ("rmean", "avg"), "std": ("rstd", "stddev_samp"), "max": ("rmax", "max"),
+          "min": ("rmin", "min"), "sum": ("rsum", "sum")}
 
 
 def rolling_columns(sw: SeriesWindow, cols, windows=ROLLING_WINDOWS,
                     stats=("mean", "std", "max")) -> dict[str, Column]:
     """WIN3 — statistics over the ``w`` rows *before* the current one; NULL
-    unless all ``w`` values are present (full-window rule, sample std)."""
+    unless all ``w`` values are present (full-window rule, sample std).
+    Each column is one SQL window expression (one JVM call to build)."""
     out = {}
     for c in cols:
         for w in windows:
-            f = sw.frame(-w, -1)
-            full = F.count(F.col(c)).over(f) == w
+            over = sw.over_sql(-w, -1)
             for s in stats:
                 tag, fn = _STATS[s]
-                out[f"{c}_{tag}_{w}"] = F.when(full, fn(F.col(c)).over(f))
+                out[f"{c}_{tag}_{w}"] = F.expr(
+                    f"CASE WHEN count({_q(c)}) {over} = {w} THEN {fn}({_q(c)}) {over} END")
     return out
 
 

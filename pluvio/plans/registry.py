@@ -32,15 +32,19 @@ def query(name: str, sql: str | None = None):
 
 
 def present(df: DataFrame, dp: int = DP) -> DataFrame:
-    """Round every double column so engines that sum in another order agree."""
+    """Round every double column so engines that sum in another order agree.
+
+    Built as one ``selectExpr`` (parsed JVM-side in a single call) — wide
+    feature tables have hundreds of columns."""
     exprs = []
     for f in df.schema.fields:
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.col(f"`{f.name}`").cast("double")
-            exprs.append(F.round(c + F.signum(c) * NUDGE, dp).alias(f.name))
+            c = f"CAST({q} AS DOUBLE)"
+            exprs.append(f"ROUND({c} + SIGN({c}) * {NUDGE!r}, {dp}) AS {q}")
         else:
-            exprs.append(F.col(f"`{f.name}`"))
-    return df.select(*exprs)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 def rnd(expr: str, dp: int = DP) -> str:

@@ -118,6 +118,8 @@ class SeriesWindow:
         self.spec = spec
         self.back = back
         self.fwd = fwd
+        self._order = None
+        self._frames = {}
         if spec.chunked and spec.chunk_size < max(back, fwd, 1):
             raise ValueError(f"chunk_rows={spec.chunk_size} must be >= window reach {max(back, fwd)}")
 
@@ -127,11 +129,27 @@ class SeriesWindow:
 
     @property
     def order(self):
-        o = IDX if self.spec.chunked else self.spec.time
-        return Window.partitionBy(*self.partition_cols).orderBy(o)
+        # built once: every feature column reuses the same JVM window spec
+        if self._order is None:
+            o = IDX if self.spec.chunked else self.spec.time
+            self._order = Window.partitionBy(*self.partition_cols).orderBy(o)
+        return self._order
 
     def frame(self, lo, hi):
-        return self.order.rowsBetween(lo, hi)
+        if (lo, hi) not in self._frames:
+            self._frames[(lo, hi)] = self.order.rowsBetween(lo, hi)
+        return self._frames[(lo, hi)]
+
+    def over_sql(self, lo: int | None = None, hi: int | None = None) -> str:
+        """The same window as ``order`` / ``frame`` as SQL text, for building
+        many window expressions with one JVM call each (``F.expr``)."""
+        q = lambda c: "`" + c.replace("`", "``") + "`"
+        o = IDX if self.spec.chunked else self.spec.time
+        part = ", ".join(q(c) for c in self.partition_cols)
+        spec = (f"PARTITION BY {part} " if part else "") + f"ORDER BY {q(o)}"
+        if lo is not None:
+            spec += f" ROWS BETWEEN {-lo} PRECEDING AND {-hi} PRECEDING"
+        return f"OVER ({spec})"
 
     @property
     def position(self) -> Column:
