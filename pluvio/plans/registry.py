@@ -22,8 +22,7 @@ NUDGE = 1e-9
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def deco(fn):
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
+        # a module reload re-registers the same names: the latest definition wins
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
