@@ -43,47 +43,54 @@ def train_test_split(df: DataFrame, spec: SeriesSpec, ratio: float = TRAIN_SPLIT
     return d.withColumn("role", F.when(F.col("i") < cut, F.lit("train")).otherwise(F.lit("test")))
 
 
-def fold_bounds(lengths: DataFrame, keys: list[str] | tuple, n_splits: int = N_SPLITS,
-                test_size: int = TEST_SIZE, min_train_size: int = MIN_TRAIN_SIZE,
-                strategy: str = "expanding") -> DataFrame:
-    """ML2/ML3 — per series and fold: [train_lo, train_hi) and [train_hi, test_hi).
+def _fold_cols(n, f, n_splits: int, test_size: int, min_train_size: int, strategy: str):
+    """(train_lo, train_hi, test_hi) of 0-based fold ``f`` for a series of ``n`` rows.
 
-    ``room = n - test - min_train``; fold offsets are ``i * (room div (k-1))``
-    except the last fold, which is anchored at ``room`` (ends at ``n``).
-    Expanding trains from 0, sliding from the offset. Series too short for one
-    fold (``room < 0``) get no bounds.
-    """
+    ``room = n - test - min_train``; offsets are ``f * (room div (k-1))``
+    except the last fold, which is anchored at ``room`` (ends at ``n``)."""
     if strategy not in ("expanding", "sliding"):
         raise ValueError("strategy must be 'expanding' or 'sliding'")
-    room = F.col("n") - F.lit(test_size + min_train_size)
+    room = n - F.lit(test_size + min_train_size)
     step = F.floor(room / F.lit(n_splits - 1)) if n_splits > 1 else F.lit(0)
-    f = lengths.filter(room >= 0).select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("f"))
-    off = F.when(F.col("f") == n_splits - 1, room).otherwise(F.col("f") * step)
+    off = F.when(f == n_splits - 1, room).otherwise(f * step)
     lo = F.lit(0) if strategy == "expanding" else off
-    return f.select(*keys, (F.col("f") + 1).cast("int").alias("fold"),
-                    lo.cast("long").alias("train_lo"),
-                    (off + min_train_size).cast("long").alias("train_hi"),
-                    (off + min_train_size + test_size).cast("long").alias("test_hi"))
+    return room, lo.cast("long"), (off + min_train_size).cast("long"), (off + min_train_size + test_size).cast("long")
+
+
+def fold_bounds(lengths: DataFrame, keys: list[str] | tuple, n_splits: int = N_SPLITS,
+                test_size: int = TEST_SIZE, min_train_size: int = MIN_TRAIN_SIZE,
+                strategy: str = "expanding") -> DataFrame:
+    """ML2/ML3 — per series and fold: [train_lo, train_hi) and [train_hi, test_hi).
+    Expanding trains from 0, sliding from the offset. Series too short for one
+    fold (``room < 0``) get no bounds."""
+    f = lengths.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("f"))
+    room, lo, hi, te = _fold_cols(F.col("n"), F.col("f"), n_splits, test_size, min_train_size, strategy)
+    return f.filter(room >= 0).select(*keys, (F.col("f") + 1).cast("int").alias("fold"),
+                                      lo.alias("train_lo"), hi.alias("train_hi"), te.alias("test_hi"))
 
 
-def assign_folds(df: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None, **kw) -> DataFrame:
+def assign_folds(df: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None,
+                 n_splits: int = N_SPLITS, test_size: int = TEST_SIZE, min_train_size: int = MIN_TRAIN_SIZE,
+                 strategy: str = "expanding") -> DataFrame:
     """JOIN3 — every row's (fold, role) for all folds at once.
 
-    Range join on the row position: equi-join on the series keys plus
-    ``train_lo <= i < test_hi``. The bounds table has ``n_splits`` rows per
-    series; with no key it is exactly ``n_splits`` rows, so it is broadcast.
-    """
+    Each row already carries its position ``i`` and its series length ``n``,
+    so its folds follow by arithmetic: the row is expanded to the ``k`` fold
+    ids and kept where ``train_lo <= i < test_hi`` — no join, no shuffle.
+    Given an explicit ``bounds`` table instead, it is range-joined on the
+    series keys (equi-join + ``i`` in range)."""
     d = with_position(df, spec)
     keys = list(spec.keys)
     if bounds is None:
-        bounds = fold_bounds(d.select(*keys, "n").distinct() if keys else d.select("n").limit(1), keys, **kw)
-    cond = (F.col("i") >= F.col("train_lo")) & (F.col("i") < F.col("test_hi"))
-    if keys:
-        j = d.join(bounds.withColumnsRenamed({k: f"_b_{k}" for k in keys}),
-                   [F.col(k) == F.col(f"_b_{k}") for k in keys] + [cond], "inner")
-        j = j.drop(*[f"_b_{k}" for k in keys])
+        x = d.withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+        room, lo, hi, te = _fold_cols(F.col("n"), F.col("_f"), n_splits, test_size, min_train_size, strategy)
+        j = (x.withColumns({"fold": (F.col("_f") + 1).cast("int"), "train_lo": lo, "train_hi": hi, "test_hi": te})
+             .filter((room >= 0) & (F.col("i") >= F.col("train_lo")) & (F.col("i") < F.col("test_hi")))
+             .drop("_f"))
     else:
-        j = d.join(F.broadcast(bounds), cond, "inner")
+        cond = (F.col("i") >= F.col("train_lo")) & (F.col("i") < F.col("test_hi"))
+        b = bounds.withColumnsRenamed({k: f"_b_{k}" for k in keys})
+        j = d.join(b, [F.col(k) == F.col(f"_b_{k}") for k in keys] + [cond], "inner").drop(*[f"_b_{k}" for k in keys])
     role = F.when(F.col("i") < F.col("train_hi"), F.lit("train")).otherwise(F.lit("test"))
     return j.withColumn("role", role)
 
