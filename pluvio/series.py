@@ -81,15 +81,22 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
                 order: list[str] | None = None) -> DataFrame:
     """0-based dense row number per series, computed without a global sort.
 
+    Keyed series (a daily rollup: at most 31 rows per series and month):
+
     1. one window over (keys, calendar month): ``row_number`` and the month's
        row count — partitions are bounded by a calendar month of one series;
     2. from the first row of every month, a tiny (keys, month, count) table
        whose prefix sum per series gives each month's start offset;
     3. index = offset + row_number - 1 (the offsets join back by key).
     The input is referenced once, so its scan/shuffle is not repeated.
+
+    One series without keys (any grain, any skew in time) is numbered by
+    ``range_index`` instead: no task ever holds more than one range partition.
     """
     keys = list(spec.keys)
     order_cols = order or [spec.time]
+    if not keys:
+        return range_index(df, order_cols, name)
     w_b = Window.partitionBy(*keys, BUCKET)
     numbered = (df.withColumn(BUCKET, _bucket(spec.time))
                 .withColumn("_pv_rn", F.row_number().over(w_b.orderBy(*order_cols)))
@@ -103,6 +110,42 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
     return out
 
 
+PART = "_pv_p"  # range partition of a row (range_index)
+
+
+def range_index(df: DataFrame, order_cols: list[str], name: str = IDX) -> DataFrame:
+    """0-based dense row number of one ordered series, skew-proof.
+
+    1. ``repartitionByRange`` on the order columns (sampled bounds, so a busy
+       stretch of time is split over several partitions), sorted within each
+       partition;
+    2. ``monotonically_increasing_id`` holds the partition id in its upper
+       bits and the row's place inside the partition in its lower 33 bits;
+    3. per-partition row counts, prefix-summed, give each partition's start
+       offset. That table has at most one row per shuffle partition, so it is
+       broadcast with a size bound known before the job runs.
+
+    Partition ids and row ids are frozen by a reliable ``checkpoint()``: the
+    range bounds are sampled per shuffle, so the count branch and the row
+    branch (and any recomputation after a lost executor) must read the same
+    materialized layout.
+    """
+    from pluvio.session import materialize
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order_cols)
+                         .sortWithinPartitions(*order_cols)
+                         .withColumn(PART, F.spark_partition_id().cast("long"))
+                         .withColumn("_pv_r", F.monotonically_increasing_id()))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(PART).agg(F.count(F.lit(1)).alias("_pv_n"))
+               .select(PART, F.coalesce(F.sum("_pv_n").over(before), F.lit(0)).alias("_pv_off")))
+    local = F.col("_pv_r") - F.shiftleft(F.col(PART), 33)
+    return (ranged.join(F.broadcast(offsets), PART, "inner")
+            .withColumn(name, (F.col("_pv_off") + local).cast("long"))
+            .drop(PART, "_pv_r", "_pv_off"))
+
+
 class SeriesWindow:
     """Prepares a frame for window expressions and undoes the preparation.
 

@@ -66,3 +66,25 @@ def test_dense_index_single_series_no_single_partition_window(spark):
     plan = d._jdf.queryExecution().executedPlan().toString()
     # the only single-partition window is over the per-month count table, never over data rows
     assert plan.count("SinglePartition") <= 1
+
+
+def test_range_index_hot_month_is_split(spark):
+    """A keyless series with a third of its rows inside one month (minute
+    grain) is numbered exactly, by range partitions rather than one window
+    task per calendar month."""
+    from pyspark.sql import Window
+    from pluvio.series import dense_index
+    base = dt.datetime(2001, 1, 1)
+    spread = spark.range(4000).select(
+        F.timestamp_add("HOUR", (F.col("id") * 7).cast("int"), F.lit(base)).alias("ts"))
+    hot = spark.range(2000).select(
+        F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(dt.datetime(2003, 6, 1))).alias("ts"))
+    df = spread.unionByName(hot).withColumn("v", F.rand(7))
+    d = dense_index(df, SeriesSpec(keys=(), time="ts"))
+    want = d.withColumn("rk", F.row_number().over(Window.orderBy("ts")) - 1)
+    assert want.filter(F.col("rk") != F.col("_pv_i")).count() == 0
+    assert d.select("_pv_i").distinct().count() == 6000
+    # the hot month is spread over several range partitions
+    per_part = (df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "ts")
+                .filter(F.month("ts") == 6).groupBy(F.spark_partition_id()).count())
+    assert per_part.count() > 1
