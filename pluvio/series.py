@@ -207,8 +207,8 @@ class SeriesWindow:
         from pluvio.session import materialize
         c = self.spec.chunk_size
         # the input is read by the index, the halo layout and the streak carry:
-        # compute it once
-        d = dense_index(materialize(df), self.spec)
+        # compute it once (a keyless index is itself a checkpointed layout)
+        d = dense_index(materialize(df) if self.spec.keys else df, self.spec)
         self.indexed = d  # one row per input row with its dense index (no halo copies)
         chunk = F.floor(F.col(IDX) / c).cast("long")
         pos = F.col(IDX) - chunk * c
