@@ -90,13 +90,14 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
     3. index = offset + row_number - 1 (the offsets join back by key).
     The input is referenced once, so its scan/shuffle is not repeated.
 
-    One series without keys (any grain, any skew in time) is numbered by
-    ``range_index`` instead: no task ever holds more than one range partition.
+    The chunked plan (one series without keys, or ``chunk_rows`` set for long
+    or hot series at any grain) numbers rows by ``range_index`` instead: no
+    task ever holds more than one range partition.
     """
     keys = list(spec.keys)
     order_cols = order or [spec.time]
-    if not keys:
-        return range_index(df, order_cols, name)
+    if spec.chunked:
+        return range_index(df, order_cols, name, keys)
     w_b = Window.partitionBy(*keys, BUCKET)
     numbered = (df.withColumn(BUCKET, _bucket(spec.time))
                 .withColumn("_pv_rn", F.row_number().over(w_b.orderBy(*order_cols)))
@@ -113,17 +114,22 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
 PART = "_pv_p"  # range partition of a row (range_index)
 
 
-def range_index(df: DataFrame, order_cols: list[str], name: str = IDX) -> DataFrame:
-    """0-based dense row number of one ordered series, skew-proof.
+def range_index(df: DataFrame, order_cols: list[str], name: str = IDX,
+                keys: list[str] | tuple = ()) -> DataFrame:
+    """0-based dense row number per series, skew-proof at any grain.
 
-    1. ``repartitionByRange`` on the order columns (sampled bounds, so a busy
-       stretch of time is split over several partitions), sorted within each
-       partition;
-    2. ``monotonically_increasing_id`` holds the partition id in its upper
-       bits and the row's place inside the partition in its lower 33 bits;
-    3. per-partition row counts, prefix-summed, give each partition's start
-       offset. That table has at most one row per shuffle partition, so it is
-       broadcast with a size bound known before the job runs.
+    1. ``repartitionByRange`` on (keys, order) — sampled bounds, so a series
+       holding a third of all rows, or a busy stretch of time, is split over
+       several partitions — sorted within each partition;
+    2. ``monotonically_increasing_id`` numbers the rows of a partition in that
+       order (partition id in its upper bits);
+    3. per (series, partition): row count and first id; a running sum of the
+       counts over the partitions of a series gives each piece's offset.
+       Without keys that table has at most one row per shuffle partition and
+       is broadcast (bound known before the job). With keys it has at most
+       one row per series plus one per partition; AQE's size check decides
+       between broadcast and a sort-merge join on (keys, partition), which
+       also splits a hot series.
 
     Partition ids and row ids are frozen by a reliable ``checkpoint()``: the
     range bounds are sampled per shuffle, so the count branch and the row
@@ -131,19 +137,23 @@ def range_index(df: DataFrame, order_cols: list[str], name: str = IDX) -> DataFr
     materialized layout.
     """
     from pluvio.session import materialize
+    keys = list(keys)
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order_cols)
-                         .sortWithinPartitions(*order_cols)
+    ranged = materialize(df.repartitionByRange(n, *keys, *order_cols)
+                         .sortWithinPartitions(*keys, *order_cols)
                          .withColumn(PART, F.spark_partition_id().cast("long"))
                          .withColumn("_pv_r", F.monotonically_increasing_id()))
-    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(PART).agg(F.count(F.lit(1)).alias("_pv_n"))
-               .select(PART, F.coalesce(F.sum("_pv_n").over(before), F.lit(0)).alias("_pv_off")))
-    local = F.col("_pv_r") - F.shiftleft(F.col(PART), 33)
-    return (ranged.join(F.broadcast(offsets), PART, "inner")
-            .withColumn(name, (F.col("_pv_off") + local).cast("long"))
-            .drop(PART, "_pv_r", "_pv_off"))
+    before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*keys, PART)
+               .agg(F.min("_pv_r").alias("_pv_first"), F.count(F.lit(1)).alias("_pv_n"))
+               .select(*keys, PART, "_pv_first",
+                       F.coalesce(F.sum("_pv_n").over(before), F.lit(0)).alias("_pv_off")))
+    if not keys:
+        offsets = F.broadcast(offsets)
+    return (ranged.join(offsets, keys + [PART], "inner")
+            .withColumn(name, (F.col("_pv_off") + F.col("_pv_r") - F.col("_pv_first")).cast("long"))
+            .drop(PART, "_pv_r", "_pv_first", "_pv_off"))
 
 
 class SeriesWindow:
@@ -204,11 +214,10 @@ class SeriesWindow:
     def prepare(self, df: DataFrame) -> DataFrame:
         if not self.spec.chunked:
             return df
-        from pluvio.session import materialize
         c = self.spec.chunk_size
         # the input is read by the index, the halo layout and the streak carry:
-        # compute it once (a keyless index is itself a checkpointed layout)
-        d = dense_index(materialize(df) if self.spec.keys else df, self.spec)
+        # the range index is itself a checkpointed layout, computed once
+        d = dense_index(df, self.spec)
         self.indexed = d  # one row per input row with its dense index (no halo copies)
         chunk = F.floor(F.col(IDX) / c).cast("long")
         pos = F.col(IDX) - chunk * c

@@ -88,3 +88,26 @@ def test_range_index_hot_month_is_split(spark):
     per_part = (df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "ts")
                 .filter(F.month("ts") == 6).groupBy(F.spark_partition_id()).count())
     assert per_part.count() > 1
+
+
+def test_range_index_keyed_hot_series(spark):
+    """Chunked plan with keys: one series holds most rows, all inside one
+    month at minute grain; every series is numbered exactly and the hot
+    series is spread over several range partitions."""
+    from pyspark.sql import Window
+    from pluvio.series import dense_index
+    hot = spark.range(3000).select(F.lit("hot").alias("s"),
+                                   F.timestamp_add("MINUTE", F.col("id").cast("int"),
+                                                   F.lit(dt.datetime(2004, 2, 1))).alias("ts"))
+    cold = spark.range(1500).select((F.col("id") % 3).cast("string").alias("s"),
+                                    F.timestamp_add("HOUR", F.col("id").cast("int"),
+                                                    F.lit(dt.datetime(2004, 1, 1))).alias("ts"))
+    df = hot.unionByName(cold)
+    d = dense_index(df, SeriesSpec(keys=("s",), time="ts", chunk_rows=500))
+    want = d.withColumn("rk", F.row_number().over(Window.partitionBy("s").orderBy("ts")) - 1)
+    assert want.filter(F.col("rk") != F.col("_pv_i")).count() == 0
+    assert d.count() == 4500
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = (df.repartitionByRange(n, "s", "ts").filter(F.col("s") == "hot")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
