@@ -111,3 +111,17 @@ def test_range_index_keyed_hot_series(spark):
     parts = (df.repartitionByRange(n, "s", "ts").filter(F.col("s") == "hot")
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_keyless_split_positions_and_length(spark):
+    """One series without keys: positions from the range index, length from
+    the same layout; split and tail rows as for a keyed series."""
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), float(i)) for i in range(37)]
+    df = spark.createDataFrame(rows, "fecha date, v double")
+    spec = SeriesSpec(keys=(), time="fecha")
+    p = sp.with_position(df, spec)
+    got = sorted((r["i"], r["n"], r["v"]) for r in p.collect())
+    assert got == [(i, 37, float(i)) for i in range(37)]
+    s = sp.train_test_split(df, spec)
+    assert s.filter(F.col("role") == "train").agg(F.max("v")).first()[0] == float(int(37 * 0.8) - 1)
+    assert sp.last_rows(df, spec, 7).agg(F.min("v")).first()[0] == 30.0
