@@ -21,17 +21,14 @@ MIN_TRAIN_SIZE = 365 * 3
 
 
 def with_position(df: DataFrame, spec: SeriesSpec, name: str = "i") -> DataFrame:
-    """WIN8 — 0-based dense position per series (bucketed, no global sort)
+    """WIN8 — 0-based dense position per series (range index, no global sort)
     plus the series length ``n`` (a per-series count joined back)."""
-    from pluvio.session import materialize
-    if not spec.keys:
-        # one series: the range index is a checkpointed layout; its length is
-        # a scalar subquery over that layout (the input is not read again)
-        d = dense_index(df, spec, name=name)
-        return d.withColumn("n", d.select(F.count(F.lit(1))).scalar())
-    df = materialize(df)  # read by the index and by the length count: compute once
+    # the range index is a checkpointed layout: lengths are counted from it,
+    # the input is not read again
     d = dense_index(df, spec, name=name)
-    return d.join(series_lengths(df, spec), list(spec.keys), "inner")
+    if not spec.keys:  # one series: its length is a scalar subquery
+        return d.withColumn("n", d.select(F.count(F.lit(1))).scalar())
+    return d.join(series_lengths(d, spec), list(spec.keys), "inner")
 
 
 def series_lengths(df: DataFrame, spec: SeriesSpec) -> DataFrame:

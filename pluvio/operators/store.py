@@ -134,7 +134,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
 def with_sequence_ids(new_rows: DataFrame, start_after: DataFrame | None, order: str,
                       id_col: str = "id") -> DataFrame:
     """SNK4 id assignment: ``coalesce(max(id), 0) + dense position``; the
-    position is built with the bucketed dense index (no global sort)."""
+    position is built with the range-partitioned dense index (no global sort)."""
     base = (start_after.select(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
             if start_after is not None else F.lit(0).cast("long"))
     d = dense_index(new_rows, SeriesSpec(keys=(), time=order), name="_seq")

@@ -210,8 +210,8 @@ def _log_rows(spark, sf_dir):
 
 @query("append_log", f"WITH {P_SQL}, {_PERIODS_SQL}, {_monitor_sql()}, {_LOG_SQL} SELECT * FROM logrows")
 def q_append_log(spark, sf_dir):
-    """SNK4 — evaluation log rows with dense auto-increment ids (bucketed
-    dense index, no global sort), metrics rounded to 4 dp."""
+    """SNK4 — evaluation log rows with dense auto-increment ids (range
+    partitioned dense index, no global sort), metrics rounded to 4 dp."""
     return present(_log_rows(spark, sf_dir))
 
 

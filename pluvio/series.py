@@ -33,7 +33,6 @@ from pyspark.sql import types as T
 IDX = "_pv_i"      # dense 0-based row index inside a series
 CHUNK = "_pv_c"    # chunk number (chunked plan)
 HALO = "_pv_halo"  # true for halo copies (chunked plan)
-BUCKET = "_pv_b"   # calendar bucket used to build the dense index
 
 
 @dataclass(frozen=True)
@@ -71,44 +70,11 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)) for c in targets})
 
 
-def _bucket(time_col: str) -> Column:
-    """Deterministic calendar bucket (year*12 + month) — never sampled bounds."""
-    t = F.col(time_col)
-    return F.year(t) * 12 + F.month(t)
-
-
 def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
                 order: list[str] | None = None) -> DataFrame:
-    """0-based dense row number per series, computed without a global sort.
-
-    Keyed series (a daily rollup: at most 31 rows per series and month):
-
-    1. one window over (keys, calendar month): ``row_number`` and the month's
-       row count — partitions are bounded by a calendar month of one series;
-    2. from the first row of every month, a tiny (keys, month, count) table
-       whose prefix sum per series gives each month's start offset;
-    3. index = offset + row_number - 1 (the offsets join back by key).
-    The input is referenced once, so its scan/shuffle is not repeated.
-
-    The chunked plan (one series without keys, or ``chunk_rows`` set for long
-    or hot series at any grain) numbers rows by ``range_index`` instead: no
-    task ever holds more than one range partition.
-    """
-    keys = list(spec.keys)
-    order_cols = order or [spec.time]
-    if spec.chunked:
-        return range_index(df, order_cols, name, keys)
-    w_b = Window.partitionBy(*keys, BUCKET)
-    numbered = (df.withColumn(BUCKET, _bucket(spec.time))
-                .withColumn("_pv_rn", F.row_number().over(w_b.orderBy(*order_cols)))
-                .withColumn("_pv_n", F.count(F.lit(1)).over(w_b)))
-    w_off = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.filter(F.col("_pv_rn") == 1)
-               .select(*keys, BUCKET, F.coalesce(F.sum("_pv_n").over(w_off), F.lit(0)).alias("_pv_off")))
-    out = (numbered.join(offsets, keys + [BUCKET], "inner")
-           .withColumn(name, (F.col("_pv_off") + F.col("_pv_rn") - 1).cast("long"))
-           .drop("_pv_off", "_pv_rn", "_pv_n", BUCKET))
-    return out
+    """0-based dense row number per series, computed without a global sort
+    and without a window over data rows: see ``range_index``."""
+    return range_index(df, list(order or [spec.time]), name, spec.keys)
 
 
 PART = "_pv_p"  # range partition of a row (range_index)
