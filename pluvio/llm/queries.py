@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import op01_quality_rules as op1
+from pluvio.llm import op02_ngram_jaccard as op2
 from pluvio.llm import op03_secret_scans as op3
 from pluvio.llm import op04_license_scans as op4
 from pluvio.llm import op06_decontamination as op6
 from pluvio.llm import op08_sharding as op8
+from pluvio.llm import op09_chat_format as op9
 from pluvio.llm.common import table
 from pluvio.session import scratch_path
 
@@ -21,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.join(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = op3.BlobLedger(spark, scratch_path(spark, "blob-ledger"))
     return op3.report(table(spark, sf_dir, "documents"), ledger)
@@ -40,5 +46,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_secret_scans, op4_license_scans, op6_decontamination, op8_sharding)}
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return op9.digests(op9.format_conversations(conv.unionByName(own)))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op6_decontamination, op8_sharding, op9_chat_format)}
 ORACLE: dict[str, str] = {}
