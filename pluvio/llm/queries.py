@@ -13,6 +13,7 @@ from pluvio.llm import op06_decontamination as op6
 from pluvio.llm import op08_sharding as op8
 from pluvio.llm import op09_chat_format as op9
 from pluvio.llm.common import table
+from pluvio.llm.oracle import ORACLE
 from pluvio.session import scratch_path
 
 
@@ -54,4 +55,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op6_decontamination, op8_sharding, op9_chat_format)}
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
