@@ -9,9 +9,12 @@ from pluvio.llm import op01_quality_rules as op1
 from pluvio.llm import op02_ngram_jaccard as op2
 from pluvio.llm import op03_secret_scans as op3
 from pluvio.llm import op04_license_scans as op4
+from pluvio.llm import op05_packing as op5
 from pluvio.llm import op06_decontamination as op6
+from pluvio.llm import op07_token_counts as op7
 from pluvio.llm import op08_sharding as op8
 from pluvio.llm import op09_chat_format as op9
+from pluvio.llm import op10_quality_classifier as op10
 from pluvio.llm.common import table
 from pluvio.llm.oracle import ORACLE
 from pluvio.session import scratch_path
@@ -37,10 +40,25 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.scan(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a vocabulary file; the package is installed on every node."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.pack(table(spark, sf_dir, "documents"), tokenizer_file(op5.Packing.tokenizer))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op7.token_counts(docs, tokenizer_file("piece_bpe_32k.model")).drop("text")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = op8.shard(table(spark, sf_dir, "documents"), n_shards=16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
@@ -54,6 +72,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.digests(op9.format_conversations(conv.unionByName(own)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op6_decontamination, op8_sharding, op9_chat_format)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op5_packing, op6_decontamination,
+                                 op7_token_counts, op8_sharding, op9_chat_format, op10_quality_classifier)}
 
 __all__ = ["ORACLE", "QUERIES"]
