@@ -11,8 +11,7 @@ from pluvio.session import scratch_path
 
 # The separators between words in the two word definitions.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-NON_WORD_RUN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-NON_WORD_RUN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+NON_WORD_RUN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # between words, before lower-casing
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -49,11 +48,11 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_RUN), "")
 
 
-def lower_words(text: Column) -> Column:
-    """Maximal runs of digits, letters and non-ASCII characters, A-Z lowered
-    (word by word where a text is not ASCII: ``translate`` is slow)."""
-    by_word = F.transform(F.split(text, NON_WORD_RUN_ANY_CASE), ascii_lower)
-    return F.array_remove(F.when(_is_ascii(text), F.split(F.lower(text), NON_WORD_RUN)).otherwise(by_word), "")
+def any_case_words(text: Column) -> Column:
+    """Maximal runs of digits, letters and non-ASCII characters, as they
+    stand. Lower-casing A-Z, or all letters, moves no boundary, so it can
+    wait until a word is looked at."""
+    return F.array_remove(F.split(text, NON_WORD_RUN), "")
 
 
 def positions(n: Column) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pluvio.llm.common import covered, let, positions, space_words, stored, words_at
 
 WINDOW = 8
+SPACES = " \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,6 @@ RULES = (
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule("symbols", "10 * n_symbols > 5 * n_words"),
     Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule("upper_case", "100 * n_upper > 60 * word_chars"),
 )
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
 FULL = Policy("full", 1, tuple(r.name for r in RULES))
@@ -57,13 +57,14 @@ def mask(policy: Policy, rules: tuple[Rule, ...] = RULES) -> int:
 def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the counts that the rules look at.
 
-    Repeated windows: the windows of eight words are hashed; only if two
-    hashes of a document agree are its windows sorted and compared word by
-    word with their neighbours, and the words they cover counted."""
+    Repeated windows: windows of four words are hashed, and if two agree,
+    windows of eight; only if two of those agree are the windows sorted and
+    compared word by word with their neighbours, and the words they cover
+    counted."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     d = d.select("doc_id", "text", space_words(F.col("text")).alias("words"),
-                 F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
+                 F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"))
 
     def pairs(a: Column, gap: int) -> Column:  # hash of the entries i and i + gap
         return let(a, lambda v: F.transform(positions(F.size(v) - gap), lambda i: F.xxhash64(F.get(v, i), F.get(v, i + gap))))
@@ -73,10 +74,11 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.size("words").alias("n"),
         F.length(F.array_join("words", "")).alias("word_chars"),
         F.regexp_count("text", F.lit("[#*$%&|<>]")).alias("n_symbols"),
-        F.regexp_count("text", F.lit("[A-Z]")).alias("n_upper"),
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        pairs(pairs(pairs(F.col("words"), 1), 2), 4).alias("hashes"))
+        pairs(pairs(F.col("words"), 1), 2).alias("fours"))
+    # a window of eight can only repeat where one of four does
+    d = d.withColumn("hashes", F.when(F.size(F.array_distinct("fours")) < F.size("fours"), pairs(F.col("fours"), 4))).drop("fours")
     by_hash = F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     d = d.withColumn("sorted", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), by_hash)).drop("hashes")
 
@@ -91,8 +93,7 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat = F.when(F.col("sorted").isNull(), 0).otherwise(covered(starts, WINDOW))
     return d.select("doc_id", F.col("n").cast("long").alias("n_words"), F.col("word_chars").cast("long").alias("word_chars"),
                     F.col("n_symbols").cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
-                    repeat.cast("long").alias("n_repeat_words"), F.col("n_lines").cast("long").alias("n_lines"),
-                    F.col("n_upper").cast("long").alias("n_upper"))
+                    repeat.cast("long").alias("n_repeat_words"), F.col("n_lines").cast("long").alias("n_lines"))
 
 
 def build_ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import lower_words, positions, stored, words_at
+from pluvio.llm.common import any_case_words, ascii_lower, positions, stored, words_at
 
 # The base phrases and their labels.
 BASE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -80,19 +80,21 @@ def postings(templates: tuple[Template, ...] = TEMPLATES) -> list[tuple[str, int
 
 
 def starts_of(phrase: list[str]) -> Column:
-    """Starts (words from 0) where ``phrase`` stands in the column ``w``."""
+    """Starts (words from 0) where ``phrase`` stands in the column ``w``;
+    looked for only if the text has its longest word at all."""
     def here(i: Column) -> Column:
-        return reduce(and_, [x == F.lit(p) for x, p in zip(words_at(F.col("w"), i, len(phrase)), phrase)])
+        return reduce(and_, [ascii_lower(x) == F.lit(p) for x, p in zip(words_at(F.col("w"), i, len(phrase)), phrase)])
     none = F.array().cast("array<int>")
-    return F.when(F.array_contains("w", max(phrase, key=len)), F.filter(positions(F.size("w") - len(phrase) + 1), here)).otherwise(none)
+    return F.when(F.contains(F.col("low"), F.lit(max(phrase, key=len))), F.filter(positions(F.size("w") - len(phrase) + 1), here)).otherwise(none)
 
 
 def signals(docs: DataFrame, templates: tuple[Template, ...], id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts, stored: word count, places of the base
     phrases and key phrases, and the known content words with positions."""
     vocab = sorted({w for w, _, _ in postings(templates)})
-    d = docs.select(F.col(id_col).alias("doc_id"), lower_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
-    known = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("pos"), x.alias("word"))), lambda s: s["word"].isin(vocab))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    d = docs.select(F.col(id_col).alias("doc_id"), any_case_words(text).alias("w"), F.lower(text).alias("low"))
+    known = F.array_compact(F.transform("w", lambda x, i: F.when(F.lower(x).isin(vocab), F.struct(i.alias("pos"), F.lower(x).alias("word")))))
     keys = sorted({" ".join(t.key_words) for t in templates})
     d = d.select("doc_id", F.size("w").cast("long").alias("n_words"), F.expr("uuid()").alias("row"),
                  F.struct(*[starts_of(p.split()).alias(label) for p, label in BASE_PHRASES.items()]).alias("base"),
@@ -125,7 +127,7 @@ def alignments(sig: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> D
     near = votes.join(sig.where(F.size("known") > 0).select("row", places.alias("places")), "row")
     there = F.exists(F.get("places", F.col("key")), lambda s: F.abs(s - (F.col("offset") + F.col("key_at"))) <= SLACK)
     return near.where(there).select("row", "template", "label", "offset", "agreed",
-                                    F.least(F.lit(1.0), F.col("agreed") / F.col("words")).alias("share"))
+                                    F.least(F.lit(1.0), F.col("agreed") / F.least(F.col("words"), F.lit(RARE_WORDS))).alias("share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -54,35 +54,45 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Remembered(dict):
+    """Word -> its ids as bytes, encoded when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.encode(word)
+        return ids
+
+
 class WordIds:
     """Token ids of texts by the tokenizers library, with the ids of each
-    white-space word remembered: a plain text is looked up word by word, any
-    other goes to the library whole."""
+    word that its split pattern gives remembered: a plain text is split and
+    looked up word by word, any other goes to the library whole."""
 
-    LIMIT = 500_000  # remembered words; a full memory is emptied
+    LIMIT = 1_000_000  # remembered words; a full memory is emptied
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.wide = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(self._word)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for p in _PRETOKEN.findall(word.lower())
-               for t in self.tok.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
-        return np.array(ids, dtype=np.uint32).tobytes()
+        ids = [t.id for t in self.tok.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return b"".join([i.to_bytes(self.wide.itemsize, "little") for i in ids])
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+    def encode(self, text: str) -> np.ndarray:
+        """Unsigned 32-bit ids."""
         if not _PLAIN.fullmatch(text) or "<|" in text and any(s in text.lower() for s in self.specials):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
-        parts, words = text.split(), self.words
-        if len(words) > self.LIMIT:
-            words.clear()
-        for w in set(parts).difference(words):
-            words[w] = self._word(w)
-        return b"".join(map(words.__getitem__, parts))
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if len(self.words) > self.LIMIT:
+            self.words.clear()
+        parts = map(self.words.__getitem__, _PRETOKEN.findall(text.lower()))
+        return np.frombuffer(b"".join(parts), dtype=self.wide).astype("<u4")
 
 
 _held: dict[str, WordIds] = {}
@@ -108,14 +118,14 @@ def cuts(n: int, cfg: Packing) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, cfg: Packing, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    end = np.array([cfg.end_id], dtype=np.uint32).tobytes()
+    end = np.array([cfg.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = word_ids(tokenizer_path)
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_id"].astype("Int64"), b["text"]):
-                data = (ids.encode(text) if isinstance(text, str) else b"") + end
+                data = (ids.encode(text).tobytes() if isinstance(text, str) else b"") + end
                 n = len(data) // 4
                 rows += [(doc, s, k, zlib.crc32(data[4 * s:4 * (s + k)]), n) for s, k in cuts(n, cfg)]
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])

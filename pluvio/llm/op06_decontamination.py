@@ -6,7 +6,8 @@ so its single rarest token (rarity: occurrences over all documents) is a
 sufficient prefix: document words are joined with that one token per distinct
 window, the token's offset fixes the only possible place, length and position
 bounds drop what would stick out, and the surviving places are verified word
-by word.
+by word. Tokens are joined by their full lower case, which is fast and finds
+a superset; the words verified are those with A-Z lowered.
 
 Null and empty texts have no words and no hits; items without words have no
 windows; equal windows are joined once and mapped to all their items; equal
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import bounded_broadcast, lower_words, positions, stored
+from pluvio.llm.common import any_case_words, ascii_lower, bounded_broadcast, positions, stored
 
 WIDTH = 13  # fixed value: words of a window
 IN_LIST = 20_000  # prefix tokens tested inside the row; more go straight to the join
@@ -26,25 +27,26 @@ IN_LIST = 20_000  # prefix tokens tested inside the row; more go straight to the
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct (window words, items)."""
-    d = items.select(F.col(id_col).alias("item_id"), lower_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where(F.size("w") > 0)
-    d = d.select("item_id", "w", F.size("w").alias("n"))
+    d = items.select(F.col(id_col).alias("item_id"), any_case_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where(F.size("w") > 0)
+    d = d.select("item_id", F.transform("w", ascii_lower).alias("w"), F.size("w").alias("n"))
+    d = d.select("item_id", "w", "n")
     d = d.select("item_id", F.explode(F.transform(positions(F.greatest(F.col("n") - (WIDTH - 1), F.lit(1))),
                                                   lambda i: F.slice("w", i + 1, WIDTH))).alias("win"))
     return d.groupBy("win").agg(F.collect_set("item_id").alias("items"))
 
 
 def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), lower_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
+    return docs.select(F.col(id_col).alias("doc_id"), any_case_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
 
 
 def with_prefix(windows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Add each window's rarest token and its offset there. The count runs
     over every word of every document, summed map-side; only words that occur
     in a window are kept."""
-    vocab, _ = bounded_broadcast(windows.select(F.explode("win").alias("token")).distinct())
-    words = tokens(docs, id_col, text_col).select(F.explode("w").alias("token"))
+    vocab, _ = bounded_broadcast(windows.select(F.explode("win").alias("token")).select(F.lower("token").alias("token")).distinct())
+    words = tokens(docs, id_col, text_col).select(F.explode("w").alias("token")).select(F.lower("token").alias("token"))
     freq = words.join(vocab, "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
-    each = windows.select("win_id", F.posexplode("win").alias("off", "token")).join(freq, "token", "left")
+    each = windows.select("win_id", F.posexplode("win").alias("off", "token")).withColumn("token", F.lower("token")).join(freq, "token", "left")
     rarest = each.groupBy("win_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token", "off")).alias("r"))
     return windows.join(rarest, "win_id").select("win_id", "win", "items", F.col("r.token").alias("token"), F.col("r.off").alias("off"),
                                                  F.size("win").alias("len"), F.col("r.df").alias("df")).where("df > 0")
@@ -65,18 +67,19 @@ def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", te
     near, _ = bounded_broadcast(prefixes.select("token", "off", "len", "win", F.col("items").cast("array<bigint>").alias("items")).unionByName(end))
     listed = [r[0] for r in prefixes.select("token").distinct().limit(IN_LIST + 1).collect()]
     if len(listed) <= IN_LIST:
-        at = F.array_compact(F.transform("w", lambda x, i: F.when(x.isin(listed) if listed else F.lit(False), i)))
+        at = F.array_compact(F.transform("w", lambda x, i: F.when(F.lower(x).isin(listed) if listed else F.lit(False), i)))
     else:
         at = positions(F.size("w"))
     reach = range(-(WIDTH - 1), WIDTH)
-    around = F.transform(F.col("at"), lambda i: F.struct(i.alias("pos"), F.get("w", i).alias("token"),
+    around = F.transform(F.col("at"), lambda i: F.struct(i.alias("pos"), F.lower(F.get("w", i)).alias("token"),
                                                          F.array(*[F.get("w", F.when(i + k >= 0, i + k)) for k in reach]).alias("ctx")))
     stop = F.array(F.struct(F.col("n").alias("pos"), F.lit("").alias("token"), F.expr("cast(array() as array<string>)").alias("ctx")))
     d = tokens(docs, id_col, text_col).select("doc_id", "w", F.size("w").alias("n"), at.alias("at"))
     d = d.select("doc_id", "n", F.explode(F.concat(around, stop)).alias("a")).select("doc_id", "n", "a.pos", "a.token", "a.ctx")
     start = F.col("pos") - F.col("off")
     fits = (start >= 0) & (start + F.col("len") <= F.col("n"))
-    same = F.slice("ctx", F.lit(WIDTH) - F.col("off"), F.col("len")) == F.col("win")
+    there = F.transform(F.slice("ctx", F.lit(WIDTH) - F.col("off"), F.col("len")), ascii_lower)
+    same = there == F.col("win")
     return d.join(near, "token").where(fits & same).select("doc_id", start.alias("start"), "len", "items")
 
 

@@ -7,7 +7,8 @@ token of the encoding of a prefix is the one vocabulary piece that ends there
 and is compatible with the last token before it (two tokens are compatible if
 encoding their concatenation gives them back). A state holds, for every
 suffix that may still grow into a piece, that suffix, the last token before
-it and the tokens since; states that agree in this are one state.
+it and the tokens since; states that agree in this are one state. Between two
+characters that stand side by side in no piece the automaton starts afresh.
 
 No piece reaches from a letter into a following space mark, nor over a
 character that the vocabulary lacks, so every state map of a text chunk with
@@ -41,8 +42,35 @@ class ChunkMap:
     tail: str
 
 
+class State(dict):
+    """One state; its entries are the transitions compiled so far: character
+    -> (next state, tokens added)."""
+
+    __slots__ = ("compiler", "suffix", "marks")
+
+    def __init__(self, compiler: Transducer, suffix: str, marks: tuple):
+        super().__init__()
+        self.compiler, self.suffix, self.marks = compiler, suffix, marks
+
+    def __missing__(self, char: str) -> tuple[State, int]:
+        move = self[char] = self.compiler.move(self, char)
+        return move
+
+
+class Counted(dict):
+    """Segment -> tokens, counted when first asked for."""
+
+    def __init__(self, compiler: Transducer):
+        super().__init__()
+        self.compiler = compiler
+
+    def __missing__(self, segment: str) -> int:
+        n = self[segment] = self.compiler.run(segment)
+        return n
+
+
 class Transducer:
-    LIMIT = 400_000  # states, and counted segments, kept before a fresh start
+    STATES, SEGMENTS = 400_000, 1_000_000  # kept before a fresh start
 
     def __init__(self, path: str):
         import sentencepiece
@@ -51,83 +79,81 @@ class Transducer:
                       if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
         self.letters = {c for p in self.score for c in p}
         self.prefixes = {p[:k] for p in self.score for k in range(1, len(p))}
+        self.inside = {a + b for p in self.score for a, b in zip(p, p[1:])}  # neighbours in some piece
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score) or "\n" in self.letters:
             raise ValueError("the vocabulary has pieces across the boundaries that the compiler relies on")
         self.segment = re.compile(r" *[^ \n]+|\n| +")
         self.pairs: dict[tuple[str, str], bool] = {}
         self.single: dict[str, bool] = {}
-        self.counted: dict[str, int] = {}
         self._fresh()
 
     def _fresh(self) -> None:
-        self.start = ("", ((0, "", 0),))
-        self.number = {self.start: 0}
-        self.states = [self.start]
-        self.moves: list[dict[str, tuple[int, int]]] = [{}]
+        self.start = State(self, "", ((0, "", 0),))
+        self.states = {("", self.start.marks): self.start}
+        self.counted = Counted(self)
 
     def merge(self, text: str) -> list[str]:
         """Encoding of a short string by the merge rules themselves."""
-        parts = list(text)
+        parts, score = list(text), self.score
         while len(parts) > 1:
-            best = max(((self.score[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score), default=None)
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                x = score.get(parts[i] + parts[i + 1])
+                if x is not None and (best is None or x > best):
+                    best, at = x, i
             if best is None:
                 break
-            i = -best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
     def _fits(self, last: str, piece: str) -> bool:
         own = self.single.get(piece)
         if own is None:
             own = self.single[piece] = len(self.merge(piece)) == 1
-        if not own or not last:
+        if not own or not last or last[-1] + piece[0] not in self.inside:
             return own
         key = (last, piece)
         if key not in self.pairs:
             self.pairs[key] = self.merge(last + piece) == [last, piece]
         return self.pairs[key]
 
-    def _move(self, state: int, char: str) -> tuple[int, int]:
+    def move(self, state: State, char: str) -> tuple[State, int]:
         """Compile one transition: (next state, tokens added)."""
-        suffix, marks = self.states[state]
+        if char == " ":
+            char = SPACE
+        suffix, marks = state.suffix, state.marks
         if char not in self.letters:  # byte pieces; nothing reaches across
-            move = (0, len(char.encode("utf-8", "surrogatepass")))
-        else:
-            # marks: (length of a live suffix, last token before it, tokens since)
-            end = next(((suffix[len(suffix) - d:] + char, since) for d, last, since in reversed(marks)
-                        if suffix[len(suffix) - d:] + char in self.score and self._fits(last, suffix[len(suffix) - d:] + char)), None)
-            if end is None:
-                raise ValueError(f"no piece ends at {char!r} after {suffix!r}")
-            piece, since = end
-            added = 1 - since
-            live = [(d + 1, last, s + added) for d, last, s in marks if suffix[len(suffix) - d:] + char in self.prefixes]
-            deepest = live[-1][0] if live else 0
-            new = ((suffix + char)[len(suffix) + 1 - deepest:], ((0, piece, 0), *live))
-            move = (self.number.setdefault(new, len(self.states)), added)
-            if move[0] == len(self.states):
-                self.states.append(new)
-                self.moves.append({})
-        self.moves[state][char] = move
-        return move
+            return self.start, len(char.encode("utf-8", "surrogatepass"))
+        if suffix and suffix[-1] + char not in self.inside:  # nothing reaches across
+            return self.start[char]
+        # marks: (length of a live suffix, last token before it, tokens since)
+        n = len(suffix)
+        end = next(((suffix[n - d:] + char, since) for d, last, since in reversed(marks)
+                    if suffix[n - d:] + char in self.score and self._fits(last, suffix[n - d:] + char)), None)
+        if end is None:
+            raise ValueError(f"no piece ends at {char!r} after {suffix!r}")
+        piece, since = end
+        added = 1 - since
+        live = [(d + 1, last, s + added) for d, last, s in marks if suffix[n - d:] + char in self.prefixes]
+        # the last character stays known even where no piece goes on from it
+        deepest = live[-1][0] if live else 1
+        new = ((suffix + char)[n + 1 - deepest:], ((0, piece, 0), *live))
+        if new not in self.states:
+            self.states[new] = State(self, *new)
+        return self.states[new], added
 
     def run(self, segment: str) -> int:
         """Tokens of a segment that starts at a boundary."""
-        if len(self.states) > self.LIMIT:
-            self._fresh()
-        state, tokens, moves = 0, 0, self.moves
-        for c in segment.replace(" ", SPACE):
-            move = moves[state].get(c) or self._move(state, c)
-            state = move[0]
-            tokens += move[1]
+        state, tokens = self.start, 0
+        for c in segment:
+            state, n = state[c]
+            tokens += n
         return tokens
 
     def _sum(self, segments: list[str]) -> int:
-        known = self.counted
-        if len(known) > self.LIMIT:
-            known.clear()
-        for s in set(segments).difference(known):
-            known[s] = self.run(s)
-        return sum(map(known.__getitem__, segments))
+        if len(self.states) > self.STATES or len(self.counted) > self.SEGMENTS:
+            self._fresh()
+        return sum(map(self.counted.__getitem__, segments))
 
     def chunk_map(self, chunk: str) -> ChunkMap:
         segments = self.segment.findall(chunk)

@@ -12,17 +12,16 @@ cov AS (SELECT doc_id, sum(least(8, coalesce(lead_i - i, 8))) AS n FROM (
   SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS lead_i FROM rep) GROUP BY doc_id),
 m AS (
   SELECT d.doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
-    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
     CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id),
 k AS (
   SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words,
     n_words < 20 AS r0, 100 * n_repeat_words > 30 * n_words AS r1, word_chars < 2 * n_words OR word_chars > 20 * n_words AS r2,
-    10 * n_symbols > 5 * n_words AS r3, 100 * (len(lines) - len(list_distinct(lines))) > 50 * len(lines) AS r4,
-    100 * n_upper > 60 * word_chars AS r5 FROM m),
+    10 * n_symbols > 5 * n_words AS r3, 100 * (len(lines) - len(list_distinct(lines))) > 50 * len(lines) AS r4 FROM m),
 b AS (
-  SELECT *, CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT AS BIGINT) AS fail_bits FROM k)
+  SELECT *, CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT AS BIGINT) AS fail_bits FROM k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
 
