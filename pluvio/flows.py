@@ -14,19 +14,24 @@ per-run decisions.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.models.selection import retrain_and_compare
+from pluvio.models.registry import version_now
+from pluvio.models.selection import retrain
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel
 from pluvio.operators import monitor as mo
 from pluvio.operators import store as st
+from pluvio.session import materialize
 
 
 def daily_flow(spark: SparkSession, features: DataFrame, model: TwoStageModel, root: str,
                keys: list[str], target_col: str, version: str, wet_threshold: float = 0.5) -> DataFrame:
-    """ML13 + SNK3: score tomorrow for every series and store it (idempotent)."""
+    """ML13 + SNK3: score tomorrow for every series and store it (idempotent).
+    The tables are partitioned by month, so a run rewrites the months it
+    touches only."""
     complete = features.na.drop(subset=list(model.cfg.features))
     last = st.latest_by_key(complete, keys, ["fecha"])
     scored = model.transform(last)
@@ -40,39 +45,52 @@ def daily_flow(spark: SparkSession, features: DataFrame, model: TwoStageModel, r
     actuals = observed.select(*keys, "fecha", F.round(target_col, 3).alias("mm_actual"),
                               (F.col(target_col) > wet_threshold).cast("int").alias("did_rain"),
                               F.current_timestamp().alias("recorded_at"))
-    st.upsert(spark, f"{root}/predictions", preds, keys + ["fecha"], ["predicted_at"])
-    st.upsert(spark, f"{root}/actuals", actuals, keys + ["fecha"], ["recorded_at"])
-    return spark.read.parquet(f"{root}/predictions")
+    month = F.date_format("fecha", "yyyy-MM")
+    st.upsert(spark, f"{root}/predictions", preds.withColumn("month", month), keys + ["fecha"], ["predicted_at"], "month")
+    st.upsert(spark, f"{root}/actuals", actuals.withColumn("month", month), keys + ["fecha"], ["recorded_at"], "month")
+    return spark.read.parquet(f"{root}/predictions").drop("month")
 
 
 def monthly_flow(spark: SparkSession, root: str, keys: list[str], reference_date: dt.date,
                  clean_features: DataFrame | None = None, cfg: TwoStageConfig | None = None,
                  baseline_rmse: float = mo.BASELINE_RMSE, pct: float = mo.RMSE_MAX_PCT_INCREASE,
-                 recall_min: float = mo.RECALL_MIN, wet_threshold: float = mo.WET_THRESHOLD) -> DataFrame:
-    """AGG12 + AGG18 (+ ML14/ML15 when degraded) + SNK4 for every series."""
+                 recall_min: float = mo.RECALL_MIN, wet_threshold: float = mo.WET_THRESHOLD,
+                 retrainer: Callable = retrain) -> DataFrame:
+    """AGG12 + AGG18 (+ ML14/ML15 when degraded) + SNK4 for every series.
+
+    The challenger is compared with the measured RMSE of the degraded series,
+    pooled over their days. The log says per series what became of it:
+    ``retrained`` and ``new_model_version`` are set only where a model was
+    published; a series that is not degraded gets no retraining note; a
+    retraining that fails is a note, not the end of the run."""
     start = reference_date - dt.timedelta(days=30)
     end = reference_date - dt.timedelta(days=1)
     pairs = mo.forecast_vs_actual(spark.read.parquet(f"{root}/actuals"), spark.read.parquet(f"{root}/predictions"),
                                   start, end, keys)
     perf = mo.recent_performance(pairs, keys, threshold=wet_threshold)
     perf = perf.withColumn("degraded", mo.degradation(F.col("rmse"), F.col("recall"), baseline_rmse, pct, recall_min))
-    n_degraded = perf.filter("degraded").count()          # one tiny action: any series to retrain?
-    retrained, version, note = 0, None, "no degradation"
-    if n_degraded and clean_features is not None and cfg is not None:
-        bad = perf.filter("degraded").select(*keys)
-        decision = retrain_and_compare(clean_features.join(bad, keys, "left_semi"), keys, cfg,
-                                       current_rmse=baseline_rmse).first()
-        retrained = 1
-        version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M") if decision["promote"] else None
-        note = f"challenger rmse={decision['rmse_new']:.3f}; {'promoted' if decision['promote'] else 'kept current'}"
+    perf = materialize(perf)  # one row per series; read by the decision and by the log
+    sums = perf.filter("degraded").agg(F.sum("n_days").alias("n"), F.sqrt(F.sum(F.col("rmse") ** 2 * F.col("n_days")) / F.sum("n_days")).alias("rmse")).first()
+    version, note = None, "degraded; not retrained"
+    if sums["n"] and clean_features is not None and cfg is not None:
+        try:
+            bad = perf.filter("degraded").select(*[F.col(k).alias(f"_b_{k}") for k in keys])
+            rows = clean_features.join(bad, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys], "left_semi")
+            decision = retrainer(spark, root, rows, keys, cfg, sums["rmse"], version_now())
+            version = decision["version"]
+            note = (f"challenger rmse={decision['rmse_new']:.3f} against {sums['rmse']:.3f}; "
+                    + (f"published {version}" if version else "kept current"))
+        except Exception as e:  # noqa: BLE001 — logged: the evaluation itself must not be lost
+            note = f"retraining failed: {type(e).__name__}: {str(e)[:200]}"
     log_rows = perf.select(
         F.current_timestamp().cast("timestamp_ntz").alias("evaluated_at"),
         F.lit(start).alias("period_start"), F.lit(end).alias("period_end"), "n_days",
         F.col("rmse").alias("rmse_current"), F.col("recall").alias("recall_current"),
         F.lit(float(baseline_rmse)).alias("rmse_baseline"), F.lit(float(recall_min)).alias("recall_baseline"),
         F.col("degraded").cast("int").alias("degraded"),
-        (F.col("degraded") & F.lit(bool(retrained))).cast("int").alias("retrained"),
+        (F.col("degraded") & F.lit(version is not None)).cast("int").alias("retrained"),
         F.when(F.col("degraded"), F.lit(version)).alias("new_model_version"),
-        F.concat_ws(" | ", *[F.col(k).cast("string") for k in keys], F.lit(note)).alias("notes"))
+        F.concat_ws(" | ", *[F.col(k).cast("string") for k in keys],
+                    F.when(F.col("degraded"), F.lit(note)).otherwise(F.lit("no degradation"))).alias("notes"))
     st.append_log(spark, f"{root}/retraining_log", log_rows)
     return spark.read.parquet(f"{root}/retraining_log")

@@ -8,10 +8,11 @@ grouped aggregation over the unioned predictions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_single_stage, fit_two_stage
@@ -27,41 +28,56 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+CV_METRICS = ["mae", "rmse", "r2", "mape", "accuracy", "precision", "recall", "f1_score",
+              "true_positives", "false_positives", "true_negatives", "false_negatives"]
+
+
 def run_cv(folded: DataFrame, features: list[str], label: str, params: dict | None = None,
-           folds: list[int] | None = None, parallelism: int = 2, threshold: float = 1.0) -> DataFrame:
-    """ML9 — single-stage CV: fit per fold, predict its test rows, metrics per
-    fold plus the average row (AGG6 + AGG10)."""
+           folds: list[int] | None = None, parallelism: int = 2, threshold: float = 1.0,
+           fit: Callable = fit_single_stage, time: str = "fecha") -> DataFrame:
+    """ML9/UDF3 — CV of any model: ``fit(train, features, label, params)``
+    returns an object whose ``transform`` adds ``y_hat``. Per fold the
+    metrics, sizes and periods, and the average row (AGG6 + AGG10)."""
     folds = folds or [r[0] for r in folded.select("fold").distinct().orderBy("fold").collect()]
 
     def one(f):
         tr = folded.filter((F.col("fold") == f) & (F.col("role") == "train"))
         te = folded.filter((F.col("fold") == f) & (F.col("role") == "test"))
-        return fit_single_stage(tr, features, label, params).transform(te)
+        return fit(tr, features, label, params).transform(te)
 
     with ThreadPoolExecutor(parallelism) as ex:
         preds = _union(list(ex.map(one, folds)))
     fm = mt.evaluate(preds, label, "y_hat", ["fold"], threshold)
-    return mt.fold_summary(fm, ["mae", "rmse", "r2", "mape", "accuracy", "f1_score"])
+    train, test = F.col("role") == "train", F.col("role") == "test"
+    extent = folded.groupBy(F.col("fold").cast("string").alias("fold")).agg(
+        F.count_if(train).alias("train_size"), F.count_if(test).alias("test_size"),
+        *[f(F.when(r, F.col(time))).alias(f"{n}_{e}") for n, r in (("train", train), ("test", test)) for e, f in (("start", F.min), ("end", F.max))])
+    return mt.fold_summary(fm, CV_METRICS).join(extent, "fold", "left")
 
 
 def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] | None = None,
                      val_ratio: float = 0.2, thresholds=mt.CLF_THRESHOLDS, peak: float = mt.PEAK_THRESHOLD,
-                     parallelism: int = 2, clf_cache: dict | None = None) -> DataFrame:
+                     parallelism: int = 2, clf_cache: dict | None = None,
+                     tune: bool = True, regress: bool = True) -> DataFrame:
     """ML10 — per fold: classifier threshold tuned on the inner validation
     part (AGG9), refit on the full training part, evaluation on the test part
     (AGG7). ``clf_cache`` (fold → (threshold, classifier)) lets a regressor
-    grid reuse one classifier per fold across configurations."""
+    grid reuse one classifier per fold across configurations. Without
+    ``tune`` the configured threshold stays; without ``regress`` only the
+    classifier is fitted."""
     staged = inner_validation(folded, val_ratio)
     folds = folds or [r[0] for r in staged.select("fold").distinct().orderBy("fold").collect()]
 
     def classifier_for(f, train):
         if clf_cache is not None and f in clf_cache:
             return clf_cache[f]
-        fit_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "fit"))
-        val_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "val"))
-        tuned = TwoStageModel(cfg, fit_classifier(fit_rows, cfg), None)
-        best = mt.best_threshold(tuned.predict_proba(val_rows), cfg.label, "prob", (), thresholds,
-                                 cfg.clf_thr).first()["best_threshold"]
+        best = cfg.threshold
+        if tune:
+            fit_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "fit"))
+            val_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "val"))
+            tuned = TwoStageModel(cfg, fit_classifier(fit_rows, cfg), None)
+            best = mt.best_threshold(tuned.predict_proba(val_rows), cfg.label, "prob", (), thresholds,
+                                     cfg.clf_thr).first()["best_threshold"]
         out = (best, fit_classifier(train, cfg))
         if clf_cache is not None:
             clf_cache[f] = out
@@ -71,32 +87,33 @@ def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] |
         train = staged.filter((F.col("fold") == f) & (F.col("role") != "test"))
         test = staged.filter((F.col("fold") == f) & (F.col("role") == "test"))
         best, clf = classifier_for(f, train)
-        full = fit_two_stage(train, replace(cfg, threshold=best), clf=clf)
-        return full.transform(test).withColumn("threshold", F.lit(best))
+        at = replace(cfg, threshold=best)
+        full = fit_two_stage(train, at, clf=clf) if regress else TwoStageModel(at, clf, None)
+        return best, materialize(full.transform(test).select("fold", cfg.label, "prob", "y_hat"))
 
     with ThreadPoolExecutor(parallelism) as ex:
-        preds = _union(list(ex.map(one, folds)))
-    # per-fold threshold differs: evaluate each fold at its own cut
-    outs = []
-    for f in folds:
-        p = preds.filter(F.col("fold") == f)
-        thr = p.select("threshold").first()[0]
-        outs.append(mt.two_stage_metrics(p, cfg.label, "y_hat", "prob", thr, ["fold"],
-                                         clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr, peak=peak))
-    return _union(outs)
+        done = list(ex.map(one, folds))
+    # the threshold differs from fold to fold: each is evaluated at its own cut
+    return _union([mt.two_stage_metrics(p, cfg.label, "y_hat", "prob", thr, ["fold"],
+                                        clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr, peak=peak) for thr, p in done])
 
 
 def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], stage: str = "clf",
              folds: list[int] | None = None, parallelism: int = 2) -> DataFrame:
     """ML11/ML12/JOIN5 — configs × folds plan; per fold metrics, then the
-    grid summary (AGG11). For the regressor grid the classifier and its
-    threshold stay fixed (``base``)."""
+    grid summary (AGG11). The classifier grid fits classifiers only. For the
+    regressor grid the classifier and its threshold stay fixed (``base``) and
+    the least mean RMSE on wet rows ranks first; a configuration may set its
+    own ``log_target``."""
     cached = materialize(folded)  # read by every config × fold fit: compute once, cut lineage
     clf_cache = {} if stage == "reg" else None  # classifier fixed: fit once per fold, reuse
     rows = []
     for name, params in grid.items():
-        cfg = replace(base, clf_params=params) if stage == "clf" else replace(base, reg_params=params)
-        fm = run_cv_two_stage(cached, cfg, folds, parallelism=parallelism, clf_cache=clf_cache)
+        params = dict(params)
+        cfg = replace(base, log_target=params.pop("log_target", base.log_target))
+        cfg = replace(cfg, clf_params=params) if stage == "clf" else replace(cfg, reg_params=params)
+        fm = run_cv_two_stage(cached, cfg, folds, parallelism=parallelism, clf_cache=clf_cache,
+                              tune=stage == "clf", regress=stage == "reg")
         rows.append(fm.withColumn("config", F.lit(name)))
     fm = _union(rows).withColumnRenamed("f1_clf", "f1")
     if stage == "clf":
@@ -104,15 +121,15 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
                               ["f1", "fbeta", "precision", "recall"])
     else:
         out = mt.grid_summary(fm, "config", ["mae_rain", "rmse_rain", "r2_rain", "recall_picos", "rmse", "r2"],
-                              ["rmse_rain", "r2_rain"], threshold_col=None, rank_by="r2_rain")
+                              ["rmse_rain", "r2_rain"], threshold_col=None, rank_by="rmse_rain", ascending=True)
     return out
 
 
 def retrain_and_compare(clean: DataFrame, spec_keys, cfg: TwoStageConfig, current_rmse: float,
                         holdout: int = 90) -> DataFrame:
-    """ML14/ML15 — validate on the last ``holdout`` rows of each series,
-    refit on everything, and promote only when the challenger's RMSE beats
-    the current one. Returns one decision row."""
+    """ML14/ML15 — train a challenger without the last ``holdout`` rows of
+    each series, validate it on them, and decide for it only when its RMSE
+    beats the current one. Returns one decision row; ``retrain`` publishes."""
     from pluvio.operators.splits import last_rows
     from pluvio.series import SeriesSpec
     spec = SeriesSpec(keys=tuple(spec_keys), time="fecha")
@@ -123,3 +140,15 @@ def retrain_and_compare(clean: DataFrame, spec_keys, cfg: TwoStageConfig, curren
                                       F.count(F.lit(1)).alias("n_val"))
     return r.withColumns({"rmse_current": F.lit(float(current_rmse)),
                           "promote": F.col("rmse_new") < F.lit(float(current_rmse))})
+
+
+def retrain(spark: SparkSession, root: str, clean: DataFrame, spec_keys, cfg: TwoStageConfig, current_rmse: float,
+            version: str, holdout: int = 90) -> dict:
+    """ML14/ML15/SNK7 — compare as ``retrain_and_compare``; if the challenger
+    wins, refit on all rows and publish that model as ``version`` with its
+    metadata. A rejected challenger leaves the store as it is."""
+    from pluvio.models.registry import publish
+    decision = retrain_and_compare(clean, spec_keys, cfg, current_rmse, holdout).first().asDict()
+    if decision["promote"]:
+        publish(spark, root, fit_two_stage(clean, cfg), clean, version, baseline_metrics={"rmse": decision["rmse_new"]})
+    return decision | {"version": version if decision["promote"] else None}

@@ -13,13 +13,14 @@ on the driver.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +32,32 @@ KNOBS = {
     "min_child_samples": "minInstancesPerNode", "subsample": "subsamplingRate",
     "colsample_bytree": "featureSubsetStrategy", "random_state": "seed", "max_bins": "maxBins",
 }
-# Knobs that only steer the reference's booster internals and have no GBT
-# counterpart; they are accepted and recorded but do not change the fit.
-NO_COUNTERPART = {"num_leaves", "reg_alpha", "reg_lambda", "objective", "verbose", "n_jobs",
-                  "is_unbalance", "scale_pos_weight", "boosting_type", "tweedie_variance_power",
-                  "alpha", "min_split_gain", "subsample_freq", "class_weight"}
-
-
-def gbt_params(params: dict) -> dict:
-    """Translate reference-style knobs to MLlib; unknown knobs raise."""
+# Knobs about logging and threads, not about the fit.
+QUIET = {"verbose", "n_jobs"}
+# Knobs that weigh the classes (see ``positive_weight``) and that choose the
+# regressor (see ``regressor``); handled there, not by the tree parameters.
+WEIGHT_KNOBS = {"scale_pos_weight", "is_unbalance", "class_weight"}
+OBJECTIVE_KNOBS = {"objective", "alpha", "tweedie_variance_power"}
+
+
+def gbt_params(params: dict, handled: set[str] = frozenset()) -> dict:
+    """Translate reference-style knobs to MLlib. A knob without a counterpart
+    raises; none is ignored. ``num_leaves`` bounds the depth: a tree of depth
+    d has at most 2^d leaves, so the depth is at most ceil(log2(leaves)).
+    ``boosting_type`` must be the plain one."""
     out = {}
     for k, v in (params or {}).items():
+        if k in QUIET or k in handled:
+            continue
+        if k == "boosting_type" and v == "gbdt":
+            continue
+        if k == "num_leaves":
+            depth = max(1, math.ceil(math.log2(int(v))))
+            out["maxDepth"] = min(depth, out.get("maxDepth", depth), int(params.get("max_depth", depth)))
+            continue
+        if k == "max_depth" and "num_leaves" in params:
+            out["maxDepth"] = min(int(v), out.get("maxDepth", int(v)))
+            continue
         if k in KNOBS:
             name = KNOBS[k]
             if name == "featureSubsetStrategy":
@@ -51,10 +67,8 @@ def gbt_params(params: dict) -> dict:
             else:
                 v = float(v)
             out[name] = v
-        elif k in NO_COUNTERPART:
-            continue
         else:
-            raise ValueError(f"parameter {k!r} has no MLlib GBT counterpart")
+            raise ValueError(f"parameter {k!r} (= {v!r}) has no MLlib counterpart")
     out.setdefault("seed", 42)
     return out
 
@@ -104,19 +118,22 @@ class TwoStageModel:
         if self.reg is not None:
             self.reg.write().overwrite().save(f"{path}/reg")
         spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(json.dumps(asdict(self.cfg)),)], "cfg string").coalesce(1) \
+        saved = {"config": asdict(self.cfg), "has_regressor": self.reg is not None}
+        spark.createDataFrame([(json.dumps(saved),)], "cfg string").coalesce(1) \
             .write.mode("overwrite").text(f"{path}/config")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TwoStageModel":
-        """SRC7 — read a saved model back."""
-        cfg = TwoStageConfig(**json.loads(spark.read.text(f"{path}/config").first()[0]))
-        clf = PipelineModel.load(f"{path}/clf")
-        try:
-            reg = PipelineModel.load(f"{path}/reg")
-        except Exception:  # noqa: BLE001 — saved without a regressor
-            reg = None
-        return cls(cfg, clf, reg)
+        """SRC7 — read a saved model back. Only a model saved without a
+        regressor loads without one; a missing or broken part is an error."""
+        saved = json.loads(spark.read.text(f"{path}/config").first()[0])
+        reg = PipelineModel.load(f"{path}/reg") if saved["has_regressor"] else None
+        return cls(TwoStageConfig(**saved["config"]), PipelineModel.load(f"{path}/clf"), reg)
+
+    def predict_one(self, spark: SparkSession, row: dict) -> dict:
+        """ML6/ML8 — prob, mm and y_hat of one feature row."""
+        one = spark.createDataFrame([tuple(float(row[c]) for c in self.cfg.features)], ", ".join(f"`{c}` double" for c in self.cfg.features))
+        return self.transform(one).select("prob", "mm", "y_hat").first().asDict()
 
 
 def class_weight(df: DataFrame, label: str, thr: float) -> float:
@@ -125,14 +142,47 @@ def class_weight(df: DataFrame, label: str, thr: float) -> float:
     return (r["n"] / r["p"]) if r["p"] else 1.0
 
 
+def positive_weight(df: DataFrame, cfg: TwoStageConfig) -> float:
+    """Weight of the positive rows: ``scale_pos_weight`` if given, 1 if
+    balancing is switched off, else ``n_neg / n_pos``."""
+    p = cfg.clf_params or {}
+    if p.get("class_weight", "balanced") not in ("balanced", None):
+        raise ValueError(f"class_weight {p['class_weight']!r} has no MLlib counterpart")
+    if p.get("scale_pos_weight") is not None:
+        return float(p["scale_pos_weight"])
+    if p.get("is_unbalance", True) is False and p.get("class_weight") != "balanced":
+        return 1.0
+    return class_weight(df, cfg.label, cfg.clf_thr)
+
+
 def fit_classifier(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel:
-    """ML7 stage 1 — GBT classifier on ``y > clf_thr`` with positives weighted
-    ``n_neg/n_pos``."""
-    w = class_weight(df, cfg.label, cfg.clf_thr)
+    """ML7 stage 1 — GBT classifier on ``y > clf_thr`` with weighted positives."""
+    w = positive_weight(df, cfg)
     lab = (F.col(cfg.label) > cfg.clf_thr).cast("double")
     d = df.withColumns({"_cls": lab, "_w": F.when(lab == 1.0, F.lit(w)).otherwise(F.lit(1.0))})
     return Pipeline(stages=[_assembler(cfg.features), GBTClassifier(
-        labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params))]).fit(d)
+        labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params, WEIGHT_KNOBS))]).fit(d)
+
+
+def regressor(params: dict, label: str):
+    """ML6 — the estimator of an ``objective``: squared or absolute loss are
+    boosted trees, huber and tweedie are MLlib's linear estimators for them;
+    any other objective (quantiles, say) raises. The linear ones take no tree
+    knobs: only ``n_estimators`` maps, to their iterations."""
+    p = dict(params or {})
+    objective = p.get("objective", "regression")
+    common = dict(labelCol=label, featuresCol="features")
+    if objective in ("regression", "regression_l2", "l2", "mse", "regression_l1", "l1", "mae"):
+        loss = "absolute" if objective in ("regression_l1", "l1", "mae") else "squared"
+        return GBTRegressor(lossType=loss, **common, **gbt_params(p, {"objective"}))
+    p = {k: v for k, v in p.items() if k not in QUIET}
+    extra = set(p) - {"objective", "alpha", "tweedie_variance_power", "n_estimators", "random_state"}
+    if objective not in ("huber", "tweedie") or extra:
+        raise ValueError(f"objective {objective!r} with {sorted(extra)} has no MLlib counterpart")
+    n = {"maxIter": int(p["n_estimators"])} if "n_estimators" in p else {}
+    if objective == "huber":
+        return LinearRegression(loss="huber", epsilon=float(p.get("alpha", 1.35)), **common, **n)
+    return GeneralizedLinearRegression(family="tweedie", variancePower=float(p.get("tweedie_variance_power", 1.5)), linkPower=0.0, **common, **n)
 
 
 def fit_regressor(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel | None:
@@ -142,8 +192,7 @@ def fit_regressor(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel | None:
     if not wet.limit(1).count():
         return None
     tgt = F.log1p(cfg.label) if cfg.log_target else F.col(cfg.label)
-    return Pipeline(stages=[_assembler(cfg.features), GBTRegressor(
-        labelCol="_t", featuresCol="features", **gbt_params(cfg.reg_params))]).fit(wet.withColumn("_t", tgt))
+    return Pipeline(stages=[_assembler(cfg.features), regressor(cfg.reg_params, "_t")]).fit(wet.withColumn("_t", tgt))
 
 
 def fit_two_stage(df: DataFrame, cfg: TwoStageConfig, clf: PipelineModel | None = None) -> TwoStageModel:
@@ -163,7 +212,6 @@ class SingleStageModel:
 
 
 def fit_single_stage(df: DataFrame, features: list[str], label: str, params: dict | None = None) -> SingleStageModel:
-    """ML6 — ``Pipeline(VectorAssembler, GBTRegressor)``."""
-    p = Pipeline(stages=[_assembler(features),
-                         GBTRegressor(labelCol=label, featuresCol="features", **gbt_params(params or {}))])
+    """ML6 — ``Pipeline(VectorAssembler, regressor of the objective)``."""
+    p = Pipeline(stages=[_assembler(features), regressor(params or {}, label)])
     return SingleStageModel(p.fit(df), features)

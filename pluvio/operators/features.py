@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.series import CHUNK, HALO, IDX, SeriesSpec, SeriesWindow
+from pluvio.series import CHUNK, HALO, IDX, SeriesSpec, SeriesWindow, join_null_safe
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical features.
@@ -78,6 +78,8 @@ WMO_MISSING = "desconocido"
 WMO_CATEGORIES = ["despejado", "nublado", "niebla", "lluvia_leve", "nieve", "tormenta", "desconocido"]
 # ---------------------------------------------------------------------------
 
+CARRY_CHUNKS = 256  # chunks per group of the streak carry
+
 
 # ----------------------------- column builders -----------------------------
 
@@ -186,10 +188,17 @@ def with_window_features(df: DataFrame, spec: SeriesSpec, stage1: dict, *,
     marks = sw.indexed.select(*keys, F.explode(F.array(own, nxt)).alias("_m"))
     per_chunk = marks.groupBy(*keys, F.col("_m.c").alias(CHUNK)).agg(*[
         F.max(f"_m.{n}").alias(f"_pv_cm_{n}") for n, _, _ in streaks])
-    prior = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(*keys, CHUNK, *[
-        F.max(f"_pv_cm_{n}").over(prior).alias(f"_pv_carry_{n}") for n, _, _ in streaks])
-    d = d.join(carry, keys + [CHUNK], "left")
+    # carry in two levels: over groups of chunks (a row per million rows of a
+    # series), then inside a group, so no window grows with a long series
+    per_chunk = per_chunk.withColumn("_pv_g", F.floor(F.col(CHUNK) / CARRY_CHUNKS).cast("long"))
+    before = (Window.unboundedPreceding, -1)
+    groups = per_chunk.groupBy(*keys, "_pv_g").agg(*[F.max(f"_pv_cm_{n}").alias(f"_pv_gm_{n}") for n, _, _ in streaks])
+    over_groups = Window.partitionBy(*keys).orderBy("_pv_g").rowsBetween(*before)
+    groups = groups.select(*keys, "_pv_g", *[F.max(f"_pv_gm_{n}").over(over_groups).alias(f"_pv_gc_{n}") for n, _, _ in streaks])
+    in_group = Window.partitionBy(*keys, "_pv_g").orderBy(CHUNK).rowsBetween(*before)
+    carry = join_null_safe(per_chunk, groups, keys + ["_pv_g"]).select(*keys, CHUNK, *[
+        F.greatest(F.col(f"_pv_gc_{n}"), F.max(f"_pv_cm_{n}").over(in_group)).alias(f"_pv_carry_{n}") for n, _, _ in streaks])
+    d = join_null_safe(d, carry, keys + [CHUNK], "left")
     d = d.withColumns({
         name: (F.col(IDX) - F.greatest(F.col(f"_pv_lw_{name}"), F.col(f"_pv_carry_{name}"))).cast("int")
         for name, _, _ in streaks})

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.series import join_null_safe
+
 # Fixed values of the reference.
 F_BETA = 1.3                       # recall weighs more than precision
 CLF_RAIN_THRESHOLD = 0.5           # "it rains" for the classifier label
@@ -91,11 +93,11 @@ def roc_auc(df: DataFrame, label: Column, score: str, keys=(), buckets: int = AU
         .alias("_carry"))
     below = F.coalesce(F.sum("_neg").over(
         Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    r = s.join(carry, keys + ["_b"], "inner").withColumn("_below", F.col("_carry") + below)
+    r = join_null_safe(s, carry, keys + ["_b"]).withColumn("_below", F.col("_carry") + below)
     tot_p, tot_n = F.sum("_pos"), F.sum("_neg")
     u = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0))
     return r.groupBy(*keys).agg(
-        F.when((tot_p > 0) & (tot_n > 0), u / (tot_p * tot_n)).alias("auc"))
+        F.when((tot_p > 0) & (tot_n > 0), u / (tot_p.cast("double") * tot_n)).alias("auc"))
 
 
 def two_stage_aggs(y: str, y_pred: str, prob: str, threshold: float,
@@ -126,9 +128,12 @@ def two_stage_metrics(df: DataFrame, y: str, y_pred: str, prob: str, threshold:
                       **kw) -> DataFrame:
     """AGG7 — all stage-1/stage-2/combined metrics plus exact AUC per group."""
     keys = list(keys)
+    if not keys:  # one group: keyed by a constant, so both sides still meet by key
+        one = df.withColumn("_one", F.lit(1))
+        return two_stage_metrics(one, y, y_pred, prob, threshold, ["_one"], **kw).drop("_one")
     m = df.groupBy(*keys).agg(*two_stage_aggs(y, y_pred, prob, threshold, **kw))
     auc = roc_auc(df, F.col(y) > kw.get("clf_thr", CLF_RAIN_THRESHOLD), prob, keys)
-    return m.join(auc, keys, "left") if keys else m.join(auc, how="left")
+    return join_null_safe(m, auc, keys, "left")
 
 
 def best_threshold(df: DataFrame, y: str, prob: str, keys=(), thresholds=CLF_THRESHOLDS,
@@ -162,10 +167,11 @@ def fold_summary(fold_metrics: DataFrame, metrics: list[str], fold_col: str = "f
 
 def grid_summary(fold_metrics: DataFrame, config_col: str, metrics: list[str],
                  std_metrics: list[str], threshold_col: str | None = "threshold",
-                 rank_by: str = "fbeta") -> DataFrame:
+                 rank_by: str = "fbeta", ascending: bool = False) -> DataFrame:
     """AGG11/ORD4 — per configuration: mean and sample std of fold metrics,
     the modal threshold (smallest on ties), robust score ``mean − std`` and a
-    rank (score descending, name ascending breaks ties, NULLs last)."""
+    rank (score descending, name ascending breaks ties, NULLs last). With
+    ``ascending`` (errors) the rank is by the mean itself, least first."""
     aggs = [F.avg(m).alias(f"avg_{m}") for m in metrics]
     aggs += [F.stddev_samp(m).alias(f"std_{m}") for m in std_metrics]
     if threshold_col:
@@ -173,7 +179,8 @@ def grid_summary(fold_metrics: DataFrame, config_col: str, metrics: list[str],
     g = fold_metrics.groupBy(config_col).agg(*aggs)
     g = g.withColumn("robust_score", F.col(f"avg_{rank_by}") - F.col(f"std_{rank_by}"))
     # the leaderboard is one row per configuration (tens of rows): rank it
-    w = Window.orderBy(F.col("robust_score").desc_nulls_last(), F.col(config_col).asc())
+    by = F.col(f"avg_{rank_by}").asc_nulls_last() if ascending else F.col("robust_score").desc_nulls_last()
+    w = Window.orderBy(by, F.col(config_col).asc())
     return g.withColumn("rank", F.row_number().over(w))
 
 

@@ -39,11 +39,12 @@ def forecast_vs_actual(actuals: DataFrame, predictions: DataFrame, start=None, e
 def monthly_periods(df: DataFrame, time: str = "fecha", days: int = 30) -> DataFrame:
     """WIN9 for every monthly run at once: each row goes to the runs whose
     trailing period ``[ref - days, ref - 1]`` contains it, with ``ref`` the
-    first day of a month. A row belongs to at most two such periods, so the
-    expansion is a bounded ``explode`` — no join, no cross product."""
+    first day of a month. A row belongs to about ``days / 30`` such periods,
+    so the expansion is a bounded ``explode`` — no join, no cross product."""
     t = F.col(time)
     m0 = F.trunc(t, "month")
-    cands = F.array(F.add_months(m0, 1), F.add_months(m0, 2))
+    # a period of `days` days reaches back over at most days // 28 + 1 month starts
+    cands = F.array(*[F.add_months(m0, k) for k in range(1, days // 28 + 2)])
     ok = F.filter(cands, lambda r: (F.date_sub(r, days) <= t) & (t <= F.date_sub(r, 1)))
     return df.withColumn("ref_date", F.explode(ok)).withColumns({
         "period_start": F.date_sub("ref_date", days), "period_end": F.date_sub("ref_date", 1)})
@@ -83,10 +84,10 @@ def degradation_limit(baseline_rmse: float = BASELINE_RMSE, pct: float = RMSE_MA
 
 
 def dashboard_series(pairs: DataFrame) -> DataFrame:
-    """PRJ9/ORD1 — rounded predicted/observed/probability, flags as booleans
-    and a NULL-safe absolute error (NULL unless both values exist), in date
-    order for charts."""
-    return pairs.orderBy("fecha").select(
+    """PRJ9 — rounded predicted/observed/probability, flags as booleans
+    and a NULL-safe absolute error (NULL unless both values exist). Charts
+    order the rows by date where they present them."""
+    return pairs.select(
         "fecha", F.round("mm_predicted", 3).alias("predicted"), F.round("mm_actual", 3).alias("observed"),
         F.round("prob_rain", 4).alias("prob_rain"), F.col("will_rain").cast("boolean").alias("will_rain"),
         F.col("did_rain").cast("boolean").alias("did_rain"),

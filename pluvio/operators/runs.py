@@ -53,7 +53,8 @@ def search(runs: DataFrame, tags: dict[str, str] | None = None, order_metric: st
 def typed_param(v: Column) -> Column:
     """FN16 — string param → struct(kind, bool, int, float, string):
     NULL → NULL; 'true'/'false' (any case, trimmed) → bool; digits only (no
-    '.') → int; parses as a number → float; otherwise the trimmed string."""
+    '.') → int; parses as a number → float; otherwise the trimmed string. An
+    integer beyond 64 bits keeps its digits in the string field."""
     t = F.trim(v)
     low = F.lower(t)
     is_bool = low.isin("true", "false")
@@ -67,7 +68,7 @@ def typed_param(v: Column) -> Column:
         F.when(kind == "bool", low == "true").alias("bool_value"),
         F.when(kind == "int", t.try_cast("long")).alias("int_value"),
         F.when(kind == "float", as_float).alias("float_value"),
-        F.when(kind == "string", t).alias("str_value"))
+        F.when((kind == "string") | (kind == "int") & t.try_cast("long").isNull(), t).alias("str_value"))
 
 
 def typed_params(runs: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def typed_params(runs: DataFrame) -> DataFrame:
 def strip_prefix(params: Column, prefix: str) -> Column:
     """FN17 — keep keys starting with ``prefix`` and drop the prefix."""
     kept = F.map_filter(params, lambda k, v: k.startswith(prefix))
-    return F.transform_keys(kept, lambda k, v: F.substring(k, len(prefix) + 1, 10_000))
+    return F.transform_keys(kept, lambda k, v: F.substr(k, F.lit(len(prefix) + 1)))
 
 
 def drop_keys(params: Column, keys: list[str] = NO_MODEL_KEYS) -> Column:

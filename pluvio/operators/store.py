@@ -60,9 +60,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-               mode: str = "overwrite") -> None:
-    """SNK1 — full (or dynamic-partition) overwrite; schema may change."""
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+               mode: str = "overwrite", only_touched: bool = False) -> None:
+    """SNK1 — full overwrite: what was there before is gone, the schema may
+    change. With ``only_touched`` just the partitions that ``df`` has are
+    replaced."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_touched else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -80,8 +82,9 @@ def init_tables(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key: ``max_by(row, (order...))`` as a grouped aggregate
-    — no sort of the data, map-side pre-combination for hot keys."""
+    """Newest row per key: ``max_by(row, (order...))`` as a grouped aggregate.
+    Rows of a hot key are combined map-side before the shuffle. The buffer is
+    a struct, so Spark aggregates over rows sorted by key."""
     others = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]),
                                          F.struct(*[F.col(c) for c in order])).alias("_r"))
@@ -127,7 +130,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
         touched = updates.select(partition_col).distinct()
         existing = existing.join(touched, partition_col, "left_semi")
     merged = merge_latest(existing, updates.select(*existing.columns), keys, order).checkpoint()
-    save_table(merged, path, [partition_col] if partition_col else None)
+    save_table(merged, path, [partition_col] if partition_col else None, only_touched=bool(partition_col))
     return spark.read.parquet(path)
 
 
@@ -141,14 +144,17 @@ def with_sequence_ids(new_rows: DataFrame, start_after: DataFrame | None, order:
     return d.withColumn(id_col, base + F.col("_seq") + 1).drop("_seq")
 
 
-def append_log(spark: SparkSession, path: str, rows: DataFrame, order: str = "evaluated_at") -> None:
+def append_log(spark: SparkSession, path: str, rows: DataFrame, order: str = "evaluated_at",
+               replay_keys: list[str] | None = None) -> None:
     """SNK4 — append evaluation rows with auto-increment ids, metrics 4 dp.
 
-    Rows whose ``order`` value is already logged are skipped, so re-running
-    an append after a failure does not duplicate entries."""
+    Every row is kept, equal time stamps or not. Only if the caller names
+    ``replay_keys`` (a run id and the series, say) are rows skipped whose keys
+    are logged already, so that a repeated run adds nothing."""
     existing = spark.read.parquet(path) if _exists(spark, path) else None
-    if existing is not None:
-        rows = rows.join(existing.select(order).distinct(), order, "left_anti")
+    if existing is not None and replay_keys:
+        logged = existing.select(*[F.col(c).alias(f"_l_{c}") for c in replay_keys]).distinct()
+        rows = rows.join(logged, [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in replay_keys], "left_anti")
     out = with_sequence_ids(rows, existing, order)
     out = out.withColumns({c: F.round(c, 4) for c in
                            ["rmse_current", "recall_current", "rmse_baseline", "recall_baseline"]

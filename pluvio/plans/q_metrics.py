@@ -10,6 +10,7 @@ from pluvio.operators import metrics as mt
 from pluvio.operators.models import hurdle_combine, importance_share
 from pluvio.plans import bindings as b
 from pluvio.plans.registry import present, query, rnd
+from pluvio.series import join_null_safe
 
 THR = 0.3  # classifier probability cut of the stand-in scores
 
@@ -199,7 +200,7 @@ def q_cv_summary(spark, sf_dir):
 def _grid_fold_metrics(s):
     """Per (config, fold): tune the threshold on that fold, evaluate stage 1 at it."""
     thr = mt.best_threshold(s, "y", "prob", ["config", "fold"])
-    j = s.join(thr, ["config", "fold"], "inner")
+    j = join_null_safe(s, thr, ["config", "fold"])
     yb = F.col("y") > mt.CLF_RAIN_THRESHOLD
     pb = F.col("prob") > F.col("best_threshold")
     c = mt.confusion(yb, pb)
@@ -209,7 +210,7 @@ def _grid_fold_metrics(s):
         mt._ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), mt.fbeta_from_counts(tp, fp, fn).alias("fbeta"),
         mt._ratio(tp, tp + fp).alias("precision"), mt._ratio(tp, tp + fn).alias("recall"))
     auc = mt.roc_auc(s, F.col("y") > mt.CLF_RAIN_THRESHOLD, "prob", ["config", "fold"])
-    return m.join(auc, ["config", "fold"], "left")
+    return join_null_safe(m, auc, ["config", "fold"], "left")
 
 
 _GRID_M = ["auc", "f1", "fbeta", "precision", "recall"]

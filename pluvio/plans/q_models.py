@@ -69,7 +69,7 @@ def q_fit_two_stage(spark, sf_dir):
 
 def _folded(spark, sf_dir, k=2):
     c = _clean(spark, sf_dir)
-    return c, sp.assign_folds(c, qf.D_SPEC, n_splits=k, test_size=365, min_train_size=1095, strategy="sliding")
+    return c, sp.assign_folds(c, qf.D_SPEC, n_splits=k, test_size=365, min_train_size=1095, strategy="sliding", short="drop")
 
 
 @query("cv_single_stage")

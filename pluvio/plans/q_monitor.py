@@ -12,7 +12,6 @@ from pluvio.plans import sqlgen as sg
 from pluvio.plans.registry import present, query, rnd
 from pluvio.session import checkpoint_dir, scratch_path
 
-START, END = "1995-01-01", "2001-12-31"   # evaluation period (inclusive)
 BASE_RMSE = 2.0                           # stand-in baseline RMSE (units of P)
 RECALL_MIN = 0.5
 
@@ -23,19 +22,21 @@ p AS (SELECT CAST(l_shipdate AS DATE) AS fecha, ROUND(LEAST(COUNT(*) / CAST(48 A
              ROUND(COUNT(*) / CAST(4 AS DOUBLE), 3) AS mm_predicted FROM lineitem GROUP BY 1),
 pp AS (SELECT *, CAST(prob_rain > 0.5 AS INTEGER) AS will_rain, 'v1' AS model_version FROM p),
 fva AS (SELECT a.fecha, a.mm_actual, a.did_rain, pp.prob_rain, pp.mm_predicted, pp.will_rain, pp.model_version
-        FROM a LEFT JOIN pp ON a.fecha = pp.fecha
-        WHERE a.fecha BETWEEN DATE '{START}' AND DATE '{END}')"""
+        FROM a LEFT JOIN pp ON a.fecha = pp.fecha)"""
 
 
 def _fva(spark, sf_dir):
-    return mo.forecast_vs_actual(b.actuals_by_day(spark, sf_dir), b.predictions_by_day(spark, sf_dir),
-                                 START, END)
+    """Every month there is: the monitoring queries run over whole tables."""
+    return mo.forecast_vs_actual(b.actuals_by_day(spark, sf_dir), b.predictions_by_day(spark, sf_dir))
 
 
-@query("forecast_vs_actual", f"WITH {P_SQL} SELECT * FROM fva")
+PERIOD = ("1995-01-01", "1996-12-31")  # inclusive: the period is what forecast_vs_actual is about
+
+
+@query("forecast_vs_actual", f"WITH {P_SQL} SELECT * FROM fva WHERE fecha BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}'")
 def q_forecast_vs_actual(spark, sf_dir):
     """JOIN2/FLT1 — actuals in the period ⟕ predictions by date."""
-    return present(_fva(spark, sf_dir))
+    return present(mo.forecast_vs_actual(b.actuals_by_day(spark, sf_dir), b.predictions_by_day(spark, sf_dir), *PERIOD))
 
 
 _PERIODS_SQL = """
@@ -59,8 +60,8 @@ mon AS (SELECT ref_date, period_start, period_end, CAST({n} AS INTEGER) AS n_day
         FROM per GROUP BY 1, 2, 3)"""
 
 
-def _monitor(spark, sf_dir):
-    per = mo.monthly_periods(_fva(spark, sf_dir))
+def _monitor(spark, sf_dir, days=30):
+    per = mo.monthly_periods(_fva(spark, sf_dir), days=days)
     return mo.recent_performance(per, ["ref_date", "period_start", "period_end"], threshold=b.P_WET_THRESHOLD)
 
 
@@ -72,6 +73,16 @@ def q_monitor_metrics(spark, sf_dir):
     return present(_monitor(spark, sf_dir))
 
 
+_PERIODS_90_SQL = _PERIODS_SQL.replace("INTERVAL 30 DAY", "INTERVAL 90 DAY").replace("range(1, 3)", "range(1, 5)")
+
+
+@query("monitor_metrics_90_days", f"WITH {P_SQL}, {_PERIODS_90_SQL}, {_monitor_sql()} "
+       f"SELECT ref_date, period_start, period_end, n_days, {rnd('rmse')} AS rmse, {rnd('recall')} AS recall, n_wet FROM mon")
+def q_monitor_metrics_90_days(spark, sf_dir):
+    """WIN9 — the same over 90 days: a row belongs to three or four periods."""
+    return present(_monitor(spark, sf_dir, 90))
+
+
 _DEGRADED_SQL = (f"COALESCE(rmse > {BASE_RMSE * 1.2} AND COALESCE(recall < {RECALL_MIN}, FALSE), FALSE)")
 
 
@@ -98,9 +109,9 @@ ds AS (SELECT fecha, ROUND(mm_predicted, 3) AS predicted, ROUND(mm_actual, 3) AS
 SELECT *, CASE WHEN error IS NULL THEN NULL WHEN error < 2.0 THEN 'good' WHEN error < 5.0 THEN 'warn' ELSE 'bad' END AS error_band
 FROM ds""")
 def q_dashboard_series(spark, sf_dir):
-    """PRJ9/FN21 — rounded dashboard rows, boolean flags, NULL-safe error and its band."""
+    """PRJ9/ORD1/FN21 — rounded dashboard rows, boolean flags, NULL-safe error and its band, by date."""
     s = mo.dashboard_series(_fva(spark, sf_dir))
-    return present(s.withColumn("error_band", mo.error_band(F.col("error"))))
+    return present(s.withColumn("error_band", mo.error_band(F.col("error")))).orderBy("fecha")
 
 
 def _dm_sql():

@@ -53,7 +53,15 @@ def q_train_test_split(spark, sf_dir):
 
 def _folded(spark, sf_dir, strategy):
     return sp.assign_folds(_clean(spark, sf_dir), SPEC, n_splits=K, test_size=TEST,
-                           min_train_size=MIN_TRAIN, strategy=strategy)
+                           min_train_size=MIN_TRAIN, strategy=strategy, short="drop")
+
+
+@query("short_series", f"WITH {_CLEAN_SQL} SELECT series, n, CAST({TEST + MIN_TRAIN} AS BIGINT) AS needed "
+       f"FROM (SELECT series, COUNT(*) AS n FROM clean GROUP BY 1) x WHERE n < {TEST + MIN_TRAIN}")
+def q_short_series(spark, sf_dir):
+    """ML2 — the series that the fold queries leave out, with their length
+    and the length needed."""
+    return sp.short_series(sp.series_lengths(_clean(spark, sf_dir), SPEC), ["series"], TEST, MIN_TRAIN)
 
 
 _FOLD_COLS = ["series", "fecha", "i", "fold", "role", "train_lo", "train_hi", "test_hi"]

@@ -20,6 +20,13 @@ def _dirs(spark, name):
     return f"{base}/table", f"{base}/_checkpoint", base
 
 
+def _source(sf_dir, name):
+    """(path, name filter) of a table for a file stream. A stream takes a
+    glob of paths: it matches a table that is one file and finds the part
+    files of a table that is a folder."""
+    return f"{sf_dir.rstrip('/')}/{name}.parque[t]", None
+
+
 @query("stream_daily_rollup", f"""
 SELECT event_type, CAST(ts AS DATE) AS fecha, {rnd('AVG(value)')} AS value_mean, {rnd('MIN(value)')} AS value_min,
        {rnd('MAX(value)')} AS value_max, COUNT(value) AS value_count
@@ -30,7 +37,7 @@ def q_stream_daily_rollup(spark, sf_dir):
     pin_utc(spark)
     target, ckpt, _ = _dirs(spark, "stream-rollup")
     schema = b.table(spark, sf_dir, "events").schema
-    out = sj.run_daily_rollup(spark, sf_dir, "events.parquet", schema,
+    out = sj.run_daily_rollup(spark, *_source(sf_dir, "events"), schema,
                               {"value": ["mean", "min", "max", "count"]}, ["event_type"], target, ckpt)
     return present(out)
 
@@ -49,7 +56,7 @@ def q_stream_upsert(spark, sf_dir):
     pin_utc(spark)
     target, ckpt, _ = _dirs(spark, "stream-upsert")
     schema = b.table(spark, sf_dir, "orders").schema
-    o = sj.file_stream(spark, sf_dir, schema, "orders.parquet")
+    o = sj.file_stream(spark, _source(sf_dir, "orders")[0], schema)
     prob = F.floor(F.col("o_totalprice") / 60) / 10000.0
     writes = o.select(
         F.to_date("o_orderdate").alias("fecha"), (F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS")).alias("predicted_at"),

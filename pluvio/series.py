@@ -24,7 +24,7 @@ Two physical plans are offered for window work:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +47,6 @@ class SeriesSpec:
     keys: tuple[str, ...] = ()
     time: str = "fecha"
     chunk_rows: int | None = None
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(self.keys))
@@ -71,6 +70,17 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)) for c in targets})
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL (a series whose key is
+    NULL is a series), keeping the left side's columns once. Still an
+    equi-join: Spark hashes or sorts on the coalesced keys."""
+    if not cols:
+        raise ValueError("no join columns")
+    r = right.withColumnsRenamed({c: f"_pv_j_{c}" for c in cols})
+    on = [F.col(c).eqNullSafe(F.col(f"_pv_j_{c}")) for c in cols]
+    return left.join(r, on, how).drop(*[f"_pv_j_{c}" for c in cols])
+
+
 def _bucket(time_col: str) -> Column:
     """Deterministic calendar bucket (year*12 + month) — never sampled bounds."""
     t = F.col(time_col)
@@ -105,7 +115,7 @@ def dense_index(df: DataFrame, spec: SeriesSpec, name: str = IDX,
     w_off = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (numbered.filter(F.col("_pv_rn") == 1)
                .select(*keys, BUCKET, F.coalesce(F.sum("_pv_n").over(w_off), F.lit(0)).alias("_pv_off")))
-    out = (numbered.join(offsets, keys + [BUCKET], "inner")
+    out = (join_null_safe(numbered, offsets, keys + [BUCKET])
            .withColumn(name, (F.col("_pv_off") + F.col("_pv_rn") - 1).cast("long"))
            .drop("_pv_off", "_pv_rn", "_pv_n", BUCKET))
     return out
@@ -151,7 +161,7 @@ def range_index(df: DataFrame, order_cols: list[str], name: str = IDX,
                        F.coalesce(F.sum("_pv_n").over(before), F.lit(0)).alias("_pv_off")))
     if not keys:
         offsets = F.broadcast(offsets)
-    return (ranged.join(offsets, keys + [PART], "inner")
+    return (join_null_safe(ranged, offsets, keys + [PART])
             .withColumn(name, (F.col("_pv_off") + F.col("_pv_r") - F.col("_pv_first")).cast("long"))
             .drop(PART, "_pv_r", "_pv_first", "_pv_off"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,17 +60,20 @@ def get_session(master: str | None = None, app: str = "pluvio",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) do we create one under the system temp folder.
+    The cluster names it in ``spark.checkpoint.dir``. A session on one
+    machine (master ``local[...]``: tests, trials) may leave it unset and gets
+    a temporary folder; anywhere else that folder would be seen by one machine
+    only, so the missing setting is an error.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pluvio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

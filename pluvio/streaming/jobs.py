@@ -11,7 +11,6 @@ clock times are read as UTC (the session time zone is pinned to UTC).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,7 +44,9 @@ PART = "_month"  # storage partition of streaming targets: calendar month of the
 
 
 def upsert_sink(target: str, keys: list[str], order: list[str], partition_col: str | None = None):
-    """foreachBatch sink: keyed upsert; the batch id orders versions of a key.
+    """foreachBatch sink: keyed upsert. The event columns ``order`` decide
+    which version of a key wins, whenever it arrives; the batch id only
+    decides between equal ones.
     With ``partition_col`` (a date column) the target is partitioned by its
     calendar month and each micro-batch rewrites only the months it touches,
     not the whole table."""
@@ -55,7 +56,7 @@ def upsert_sink(target: str, keys: list[str], order: list[str], partition_col: s
         if partition_col:
             rows = rows.withColumn(PART, F.date_format(F.col(partition_col), "yyyy-MM"))
             part = PART
-        st.upsert(batch.sparkSession, target, rows, keys, ["_batch"] + order, partition_col=part)
+        st.upsert(batch.sparkSession, target, rows, keys, order + ["_batch"], partition_col=part)
     return write
 
 
@@ -159,18 +160,17 @@ def streak_stream(daily: DataFrame, threshold: float) -> DataFrame:
 
 def ordered_file_drop(df: DataFrame, directory: str, part_col: str, keys: list[str] | tuple = ()) -> list:
     """Write a derived table as one file batch per value of ``part_col`` in
-    ascending order, so a file stream sees them in time order. Rows of one
-    key within one value go to a single file (``repartition(keys)``): files
-    of one write job are not created in row order, so splitting a key's
-    period over several files could hand its later rows to an earlier
-    micro-batch."""
+    ascending order, so a file stream sees them in time order. The table is
+    computed once; each batch then reads its own partition. Rows of one key
+    within one value go to a single file (``repartition(keys)``): files of
+    one write job are not created in row order, so splitting a key's period
+    over several files could hand its later rows to an earlier micro-batch."""
+    spark, staged = df.sparkSession, directory.rstrip("/") + "-staged"
+    df.write.mode("overwrite").partitionBy(part_col).parquet(staged)
+    df = spark.read.parquet(staged)
     values = [r[0] for r in df.select(part_col).distinct().orderBy(part_col).collect()]
     for v in values:
         part = df.filter(F.col(part_col) == v).drop(part_col)
         part = part.repartition(*keys) if keys else part.coalesce(1)
         part.write.mode("append").parquet(directory)
     return values
-
-
-def path_join(*p: str) -> str:
-    return os.path.join(*p)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pluvio.session import get_session
-    s = get_session("local[4]", app="pluvio-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app="pluvio-tests", shuffle_partitions=4,
+                    **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="pluvio-tests-")})
     yield s
     s.stop()

@@ -1,11 +1,19 @@
 """Model invariants: probability in [0,1], amounts >= 0, prob <= thr ⇒ 0,
 save/load gives equal predictions, unmapped knobs raise."""
 
+import datetime as dt
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from pluvio.models.two_stage import TwoStageModel, fit_two_stage, gbt_params
+from pluvio.flows import monthly_flow
+from pluvio.models.registry import live_metadata, load_live, publish
+from pluvio.models.selection import retrain, run_cv
+from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_two_stage, gbt_params, positive_weight, regressor
+from pluvio.operators import splits as sp
 from pluvio.plans import q_models as qm
+from pluvio.series import SeriesSpec
 from pluvio.session import scratch_path
 from tests.conftest import SF001
 
@@ -39,8 +47,110 @@ def test_save_load_same_predictions(spark, fitted):
 
 def test_knob_mapping():
     p = gbt_params({"n_estimators": 10, "learning_rate": 0.05, "max_depth": 4, "subsample": 0.8,
-                    "colsample_bytree": 0.7, "num_leaves": 31})
+                    "colsample_bytree": 0.7, "num_leaves": 31, "verbose": -1})
     assert p == {"maxIter": 10, "stepSize": 0.05, "maxDepth": 4, "subsamplingRate": 0.8,
                  "featureSubsetStrategy": "0.7", "seed": 42}
+    assert gbt_params({"num_leaves": 7})["maxDepth"] == 3 and gbt_params({"num_leaves": 7, "max_depth": 2})["maxDepth"] == 2
+    for knob in ("gamma_knob", "reg_alpha", "scale_pos_weight", "objective", "drop_rate"):
+        with pytest.raises(ValueError):
+            gbt_params({knob: 1})
+    with pytest.raises(ValueError):
+        gbt_params({"boosting_type": "dart"})
     with pytest.raises(ValueError):
-        gbt_params({"gamma_knob": 1})
+        regressor({"objective": "quantile", "alpha": 0.85}, "y")
+
+
+def test_objectives_choose_the_estimator():
+    assert regressor({"objective": "regression_l1"}, "y").getLossType() == "absolute"
+    assert regressor({}, "y").getLossType() == "squared"
+    assert regressor({"objective": "huber", "alpha": 1.5}, "y").getEpsilon() == 1.5
+    t = regressor({"objective": "tweedie", "tweedie_variance_power": 1.3}, "y")
+    assert t.getFamily() == "tweedie" and t.getVariancePower() == 1.3
+
+
+def test_positive_weights_change_the_fit(fitted):
+    c, m = fitted
+    probs = []
+    for w in (4.0, 6.0):
+        cfg = replace(m.cfg, clf_params={**m.cfg.clf_params, "scale_pos_weight": w})
+        assert positive_weight(c, cfg) == w
+        probs.append(TwoStageModel(cfg, fit_classifier(c, cfg), None).predict_proba(c).agg(F.avg("prob")).first()[0])
+    assert probs[0] < probs[1]
+    assert positive_weight(c, replace(m.cfg, clf_params={"is_unbalance": False})) == 1.0
+
+
+def test_missing_regressor_is_an_error(spark, fitted):
+    import shutil
+    c, m = fitted
+    path = scratch_path(spark, "test-model")
+    m.save(path)
+    local = path.removeprefix("file:")
+    shutil.move(f"{local}/reg", f"{local}/elsewhere")
+    with pytest.raises(Exception):
+        TwoStageModel.load(spark, path)
+    TwoStageModel(m.cfg, m.clf, None).save(path)
+    assert TwoStageModel.load(spark, path).reg is None
+
+
+def test_cv_takes_any_model(spark, fitted):
+    c, m = fitted
+
+    class Mean:
+        def __init__(self, y):
+            self.y = y
+
+        def transform(self, df):
+            return df.withColumn("y_hat", F.lit(self.y))
+
+    folded = sp.assign_folds(c, SeriesSpec(keys=("series",), time="fecha"), n_splits=2, test_size=50, min_train_size=200, short="drop")
+    out = run_cv(folded, m.cfg.features, m.cfg.label, fit=lambda tr, f, lab, p: Mean(tr.agg(F.avg(lab)).first()[0]))
+    rows = {r.fold: r for r in out.collect()}
+    assert set(rows) == {"1", "2", "promedio"} and rows["1"].test_size == folded.where("fold = 1 AND role = 'test'").count()
+    assert rows["1"].train_end <= rows["1"].test_end and rows["promedio"].train_size is None
+
+
+def test_monthly_flow_logs_what_happened(spark):
+    d0 = dt.date(2024, 3, 1)
+    days = [d0 + dt.timedelta(i) for i in range(30)]
+    actual = [(s, d, 10.0, 1, dt.datetime(2024, 4, 1)) for s in ("bad", "good") for d in days]
+    pred = [(s, d, 0.9, 0.0 if s == "bad" else 10.0, 1, "v1", dt.datetime(2024, 4, 1)) for s in ("bad", "good") for d in days]
+    seen = []
+
+    def run(retrainer):
+        root = scratch_path(spark, "test-flow")
+        spark.createDataFrame(actual, "series string, fecha date, mm_actual double, did_rain int, recorded_at timestamp").write.parquet(f"{root}/actuals")
+        spark.createDataFrame(pred, "series string, fecha date, prob_rain double, mm_predicted double, will_rain int, model_version string, "
+                                    "predicted_at timestamp").write.parquet(f"{root}/predictions")
+        feats = spark.createDataFrame([("bad", d0), ("good", d0)], "series string, fecha date")
+        out = monthly_flow(spark, root, ["series"], dt.date(2024, 3, 31), feats, TwoStageConfig(features=[]), retrainer=retrainer)
+        return {r.notes.split(" | ")[0]: (r.degraded, r.retrained, r.new_model_version, r.notes.split(" | ")[1]) for r in out.collect()}
+
+    def won(spark, root, rows, keys, cfg, current, version):
+        seen.append((current, [r.series for r in rows.collect()]))
+        return {"rmse_new": 1.0, "promote": True, "version": "20240401_0000"}
+
+    got = run(won)
+    assert seen == [(10.0, ["bad"])]
+    assert got["good"] == (0, 0, None, "no degradation")
+    assert got["bad"] == (1, 1, "20240401_0000", "challenger rmse=1.000 against 10.000; published 20240401_0000")
+    lost = run(lambda *a: {"rmse_new": 20.0, "promote": False, "version": None})
+    assert lost["bad"][:3] == (1, 0, None) and lost["bad"][3].endswith("kept current")
+
+    def broken(*a):
+        raise RuntimeError("no rows")
+    failed = run(broken)
+    assert failed["bad"] == (1, 0, None, "retraining failed: RuntimeError: no rows") and failed["good"][0] == 0
+
+
+def test_retrain_publishes_only_a_better_model(spark, fitted):
+    c, m = fitted
+    root = scratch_path(spark, "test-store")
+    publish(spark, root, m, c, "20200101_0000")
+    assert retrain(spark, root, c, ["series"], m.cfg, -1.0, "20200102_0000", holdout=30)["version"] is None
+    assert live_metadata(spark, root).first()["version"] == "20200101_0000"
+    assert retrain(spark, root, c, ["series"], m.cfg, 1e9, "20200103_0000", holdout=30)["version"] == "20200103_0000"
+    live = live_metadata(spark, root).first()
+    assert live["version"] == "20200103_0000" and live["n_samples"] == c.count()
+    row = c.first().asDict()
+    one = load_live(spark, root).predict_one(spark, row)
+    assert 0 <= one["prob"] <= 1 and one["y_hat"] >= 0

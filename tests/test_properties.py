@@ -42,14 +42,14 @@ def test_short_series(spark):
     assert [r["racha_seca"] for r in out] == [0, 1, 2, 3, 0]   # dry while previous value <= 2
     assert out[-1]["precip_t1"] is None
     lengths = spark.createDataFrame([("s", 5)], "series string, n long")
-    assert sp.fold_bounds(lengths, ["series"], 5, 365, 1095).count() == 0
+    assert sp.fold_bounds(lengths, ["series"], 5, 365, 1095, short="drop").count() == 0
 
 
 @settings(max_examples=12, deadline=None)
 @given(n=st.integers(1, 60), k=st.integers(1, 6), strategy=st.sampled_from(["expanding", "sliding"]))
 def test_fold_bounds_property(spark, n, k, strategy):
     lengths = spark.createDataFrame([("s", n)], "series string, n long")
-    got = sorted(tuple(r) for r in sp.fold_bounds(lengths, ["series"], k, 4, 10, strategy)
+    got = sorted(tuple(r) for r in sp.fold_bounds(lengths, ["series"], k, 4, 10, strategy, short="drop")
                  .select("fold", "train_lo", "train_hi", "test_hi").collect())
     exp = expected_bounds(n, k, 4, 10, strategy)
     assert got == exp

@@ -28,7 +28,7 @@ def expected_bounds(n, k, test, min_train, strategy):
 @pytest.mark.parametrize("n,k", [(30, 1), (30, 2), (30, 5), (47, 5), (25, 3), (24, 3), (100, 4)])
 def test_fold_bounds(spark, strategy, n, k):
     lengths = spark.createDataFrame([("s", n)], "series string, n long")
-    got = sorted(tuple(r) for r in sp.fold_bounds(lengths, ["series"], k, 5, 20, strategy)
+    got = sorted(tuple(r) for r in sp.fold_bounds(lengths, ["series"], k, 5, 20, strategy, short="drop")
                  .select("fold", "train_lo", "train_hi", "test_hi").collect())
     assert got == expected_bounds(n, k, 5, 20, strategy)
 
@@ -37,7 +37,7 @@ def test_assign_folds_roles(spark):
     rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=i)) for s, n in (("a", 40), ("b", 33), ("c", 10)) for i in range(n)]
     df = spark.createDataFrame(rows, "series string, fecha date")
     f = sp.assign_folds(df, SeriesSpec(keys=("series",), time="fecha"), n_splits=3, test_size=5, min_train_size=20,
-                        strategy="expanding")
+                        strategy="expanding", short="drop")
     ext = {(r["series"], r["fold"], r["role"]): r for r in sp.fold_extent(f, ["series"], "fecha").collect()}
     assert not any(k[0] == "c" for k in ext)               # too short: no folds
     for s in ("a", "b"):

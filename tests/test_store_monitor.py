@@ -37,6 +37,37 @@ def test_append_log_ids_continue(spark):
     assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
 
 
+def test_append_log_keeps_equal_stamps(spark):
+    path = scratch_path(spark, "test-log")
+    t = dt.datetime(2024, 1, 1)
+    schema = "evaluated_at timestamp, run string, series string"
+    st.append_log(spark, path, spark.createDataFrame([(t, "r1", "a"), (t, "r1", None)], schema))
+    st.append_log(spark, path, spark.createDataFrame([(t, "r2", "a"), (t, "r2", None)], schema))
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+    again = spark.createDataFrame([(t, "r2", "a"), (t, "r2", None), (t, "r2", "b")], schema)
+    st.append_log(spark, path, again, replay_keys=["run", "series"])
+    got = sorted((r["id"], r["run"], r["series"] or "") for r in spark.read.parquet(path).collect())
+    assert len(got) == 5 and got[-1] == (5, "r2", "b")
+
+
+def test_full_overwrite_leaves_nothing_behind(spark):
+    path = scratch_path(spark, "test-full")
+    st.save_table(spark.createDataFrame([(1, 1995), (2, 1996)], "v int, yr int"), path, ["yr"])
+    st.save_table(spark.createDataFrame([(3, 1996)], "v int, yr int"), path, ["yr"])
+    assert [(r.v, r.yr) for r in spark.read.parquet(path).collect()] == [(3, 1996)]
+    st.save_table(spark.createDataFrame([(4, 1997)], "v int, yr int"), path, ["yr"], only_touched=True)
+    assert sorted((r.v, r.yr) for r in spark.read.parquet(path).collect()) == [(3, 1996), (4, 1997)]
+
+
+def test_monthly_periods_of_any_length(spark):
+    days = [dt.date(2023, 1, 1) + dt.timedelta(i) for i in range(800)]
+    df = spark.createDataFrame([(d,) for d in days], "fecha date")
+    for n in (1, 28, 45, 90, 365):
+        counts = {r.ref_date: r["count"] for r in mo.monthly_periods(df, days=n).groupBy("ref_date").count().collect()}
+        inner = [c for ref, c in counts.items() if days[0] <= ref - dt.timedelta(n) and ref - dt.timedelta(1) <= days[-1]]
+        assert inner and set(inner) == {n}
+
+
 def test_init_tables_idempotent(spark):
     root = scratch_path(spark, "test-init")
     p1 = st.init_tables(spark, root)

@@ -45,3 +45,24 @@ def test_stream_rollup_equals_batch(spark):
     a = {(r["k"], r["fecha"]): (round(r["v_mean"], 9), r["v_max"], r["v_count"]) for r in out.collect()}
     b = {(r["k"], r["fecha"]): (round(r["v_mean"], 9), r["v_max"], r["v_count"]) for r in exp.collect()}
     assert a == b
+
+
+def test_upsert_newest_event_wins_over_later_arrival(spark):
+    checkpoint_dir(spark)
+    base = scratch_path(spark, "test-stream-upsert")
+    schema = "fecha date, predicted_at timestamp, v int"
+    d = dt.date(2024, 1, 1)
+    for i, (day, v) in enumerate([(5, 50), (2, 20), (5, 55)]):  # one file and micro-batch each
+        spark.createDataFrame([(d, dt.datetime(2024, 1, day), v)], schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    s = sj.file_stream(spark, f"{base}/src", spark.read.parquet(f"{base}/src").schema, max_files=1)
+    got = sj.run_upsert(spark, s, ["fecha"], ["predicted_at"], f"{base}/out", f"{base}/ckpt", partition_col="fecha").collect()
+    assert len(got) == 1 and got[0].predicted_at.day == 5
+
+
+def test_stream_reads_a_table_folder(spark):
+    checkpoint_dir(spark)
+    base = scratch_path(spark, "test-stream-folder")
+    df = spark.range(100).selectExpr("id % 3 AS k", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS ts", "CAST(id AS DOUBLE) AS v")
+    df.repartition(4).write.parquet(f"{base}/events.parquet")
+    out = sj.run_daily_rollup(spark, f"{base}/events.parque[t]", None, df.schema, {"v": ["count"]}, ["k"], f"{base}/out", f"{base}/ckpt")
+    assert out.agg(F.sum("v_count")).first()[0] == 100
