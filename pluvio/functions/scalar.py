@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from pluvio.operators.monitor import degradation_limit, error_band, service_stat
 from pluvio.operators.runs import drop_keys, strip_prefix, typed_param  # noqa: F401  FN16-18
 
 __all__ = [
-    "wind_components", "cyclic", "clip_zero", "square", "round_to", "as_int_flag", "truncate_int",
+    "clip_zero", "square", "round_to", "as_int_flag", "truncate_int",
     "days_after", "days_before", "date_parts", "version_stamp", "safe_date", "label", "month_day",
     "null_default", "json_field", "seasonal_columns", "wmo_group", "wmo_onehot_columns", "hurdle",
     "magnitude", "degradation_limit", "error_band", "service_status", "drop_keys", "strip_prefix",
@@ -21,18 +19,6 @@ __all__ = [
 ]
 
 
-def wind_components(speed: Column, direction_deg: Column) -> tuple[Column, Column]:
-    """FN1 — (u, v) = (-s·sin(dir), -s·cos(dir)), direction in degrees."""
-    ang = F.radians(direction_deg)
-    return -speed * F.sin(ang), -speed * F.cos(ang)
-
-
-def cyclic(value: Column, period: float) -> tuple[Column, Column]:
-    """FN2 — sin/cos encoding of a cyclic value."""
-    a = F.lit(2 * math.pi) * value / period
-    return F.sin(a), F.cos(a)
-
-
 def clip_zero(x: Column) -> Column:
     """FN7 — max(x, 0), NULL stays NULL."""
     return F.when(x.isNull(), None).otherwise(F.greatest(x, F.lit(0.0)))

@@ -74,6 +74,14 @@ def load_live(spark: SparkSession, root: str) -> TwoStageModel:
     return TwoStageModel.load(spark, path)
 
 
+def load_from_run(spark: SparkSession, runs: DataFrame, run_id: str) -> TwoStageModel:
+    """ML16 — the model that a logged run points to (tag ``model_path``)."""
+    row = runs.where(F.col("run_id") == run_id).select(F.col("tags")["model_path"].alias("p")).first()
+    if row is None or row["p"] is None:
+        raise ValueError(f"run {run_id!r} has no model_path tag")
+    return TwoStageModel.load(spark, row["p"])
+
+
 def importance_table(spark: SparkSession, model: TwoStageModel, top_n: int | None = None) -> DataFrame:
     """AGG17 — classifier feature importances as rows (one per feature, a
     vector of model width — tiny) with their shares."""

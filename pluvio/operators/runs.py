@@ -7,7 +7,7 @@ and ranking runs are plain DataFrame operations on that table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,29 @@ def to_metric_map(*pairs: tuple[str, Column], prefix: str = "") -> Column:
     return F.transform_keys(m, lambda k, v: F.concat(F.lit(prefix), k)) if prefix else m
 
 
+def cv_runs(fold_metrics: DataFrame, fold_col: str, metrics: list[str], run_name: str,
+            tags: dict[str, str] | None = None, params: dict | None = None) -> DataFrame:
+    """SNK5 — rows for the runs table: one parent with the average metrics
+    (keys prefixed ``cv_avg_``) and one child per fold."""
+    def of(d: DataFrame, run_id: Column, parent: Column, prefix: str) -> DataFrame:
+        text = lambda m: F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(str(v)))]) if m else F.create_map().cast("map<string,string>")
+        return d.select(run_id.alias("run_id"), parent.cast("string").alias("parent_run_id"), F.lit(run_name).alias("run_name"),
+                        text(tags).alias("tags"), text(params).alias("params"),
+                        to_metric_map(*[(m, F.col(m)) for m in metrics], prefix=prefix).alias("metrics"))
+    children = of(fold_metrics, F.concat(F.lit(f"{run_name}-"), F.col(fold_col).cast("string")), F.lit(f"{run_name}-parent"), "")
+    parent = of(fold_metrics.agg(*[F.avg(m).alias(m) for m in metrics]), F.lit(f"{run_name}-parent"), F.lit(None), "cv_avg_")
+    return children.unionByName(parent)
+
+
+def append_runs(rows: DataFrame, path: str) -> None:
+    """SNK5 — append to the runs table; an append never rewrites older runs."""
+    rows.select(*RUNS_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUNS_SCHEMA).parquet(path)
+
+
 def search(runs: DataFrame, tags: dict[str, str] | None = None, order_metric: str | None = None,
            ascending: bool = True) -> DataFrame:
     """SRC6 — runs whose tags equal the given values, ordered by a metric

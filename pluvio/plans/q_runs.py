@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pluvio.operators import runs as rn
 from pluvio.plans import bindings as b
 from pluvio.plans.registry import present, query, rnd
+from pluvio.session import scratch_path
 
 
 def runs_table(spark, sf_dir):
@@ -142,16 +143,13 @@ UNION ALL SELECT run_id, parent_run_id, metric, {rnd('value')} AS value FROM par
 
 @query("runs_from_cv", _cv_runs_sql())
 def q_runs_from_cv(spark, sf_dir):
-    """SNK5 — a parent run and one child run per fold: non-NULL metrics as a
-    map, parent metrics prefixed ``cv_avg_`` (fold = year of the scored rows)."""
+    """SNK5/SRC6 — cross-validation (fold = year of the scored rows) logged
+    as a parent run and one child run per fold, appended to a runs table in
+    two writes and searched there by tag."""
     from pluvio.operators import metrics as mt
-    s = b.scored_orders(spark, sf_dir)
-    fm = mt.evaluate(s, "y", "y_pred", ["yr"])
-    child = fm.select(F.concat(F.lit("cv-"), F.col("yr").cast("string")).alias("run_id"),
-                      F.lit("cv-parent").alias("parent_run_id"),
-                      rn.to_metric_map(*[(m, F.col(m)) for m in _CV_M]).alias("metrics"))
-    parent = fm.agg(*[F.avg(m).alias(m) for m in _CV_M]).select(
-        F.lit("cv-parent").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
-        rn.to_metric_map(*[(m, F.col(m)) for m in _CV_M], prefix="cv_avg_").alias("metrics"))
-    runs = child.unionByName(parent)
-    return present(runs.select("run_id", "parent_run_id", F.explode("metrics").alias("metric", "value")))
+    fm = mt.evaluate(b.scored_orders(spark, sf_dir), "y", "y_pred", ["yr"])
+    path = scratch_path(spark, "runs")
+    rn.append_runs(rn.cv_runs(fm, "yr", _CV_M, "cv", {"stage": "cv"}, {"threshold": 1.0}), path)
+    rn.append_runs(rn.cv_runs(fm.limit(0), "yr", _CV_M, "other", {"stage": "other"}), path)
+    found = rn.search(rn.read_runs(spark, path), {"stage": "cv"})
+    return present(found.select("run_id", "parent_run_id", F.explode("metrics").alias("metric", "value")))

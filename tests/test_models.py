@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio.flows import monthly_flow
-from pluvio.models.registry import live_metadata, load_live, publish
-from pluvio.models.selection import retrain, run_cv
-from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_two_stage, gbt_params, positive_weight, regressor
+from pluvio.models.registry import live_metadata, load_from_run, load_live, publish
+from pluvio.models import grids
+from pluvio.models.selection import retrain, run_cv, run_grid
+from pluvio.models.two_stage import WEIGHT_KNOBS, TwoStageConfig, TwoStageModel, fit_classifier, fit_two_stage, gbt_params, positive_weight, regressor
+from pluvio.operators import runs as rn
 from pluvio.operators import splits as sp
 from pluvio.plans import q_models as qm
 from pluvio.series import SeriesSpec
@@ -154,3 +156,37 @@ def test_retrain_publishes_only_a_better_model(spark, fitted):
     row = c.first().asDict()
     one = load_live(spark, root).predict_one(spark, row)
     assert 0 <= one["prob"] <= 1 and one["y_hat"] >= 0
+
+
+def test_runs_are_logged_and_load_their_model(spark, fitted):
+    c, m = fitted
+    base = scratch_path(spark, "test-runs")
+    m.save(f"{base}/model")
+    fm = spark.createDataFrame([(1, 2.0, None), (2, 4.0, 0.5)], "fold int, rmse double, r2 double")
+    rn.append_runs(rn.cv_runs(fm, "fold", ["rmse", "r2"], "a", {"stage": "cv", "model_path": f"{base}/model"}, {"depth": 3}), f"{base}/runs")
+    rn.append_runs(rn.cv_runs(fm.where("fold = 1"), "fold", ["rmse", "r2"], "b", {"stage": "cv"}), f"{base}/runs")
+    runs = rn.read_runs(spark, f"{base}/runs")
+    got = {r.run_id: (r.parent_run_id, r.metrics) for r in runs.collect()}
+    assert got["a-parent"] == (None, {"cv_avg_rmse": 3.0, "cv_avg_r2": 0.5}) and got["a-1"] == ("a-parent", {"rmse": 2.0}) and len(got) == 5
+    best = rn.best_per_group(runs.where("parent_run_id IS NULL"), F.col("tags")["stage"], "cv_avg_rmse").first()
+    assert best.run_id == "b-parent"
+    loaded = load_from_run(spark, runs, "a-parent")
+    assert loaded.cfg == m.cfg
+    with pytest.raises(ValueError):
+        load_from_run(spark, runs, "b-parent")
+
+
+def test_grid_entries_are_distinct_models():
+    clf = {n: (tuple(sorted(gbt_params(p, WEIGHT_KNOBS).items())), p.get("scale_pos_weight"), p.get("is_unbalance")) for n, p in grids.CLASSIFIERS.items()}
+    assert len(set(clf.values())) == len(clf)
+    for p in grids.REGRESSORS.values():
+        regressor({k: v for k, v in p.items() if k != "log_target"}, "y")
+
+
+def test_classifier_grid_ranks_and_regressor_grid_orders_by_error(spark, fitted):
+    c, m = fitted
+    folded = sp.assign_folds(c, SeriesSpec(keys=("series",), time="fecha"), n_splits=2, test_size=60, min_train_size=200, short="drop")
+    small = {"n_estimators": 2, "max_depth": 2}
+    out = run_grid(folded, replace(m.cfg, clf_params=small, clf_thr=20.0, reg_thr=20.0), {"l1": {**small, "objective": "regression_l1"}, "l2": small}, stage="reg").collect()
+    by_rank = sorted(out, key=lambda r: r["rank"])
+    assert [r["rank"] for r in by_rank] == [1, 2] and by_rank[0]["avg_rmse_rain"] <= by_rank[1]["avg_rmse_rain"]
