@@ -43,9 +43,13 @@ def with_prefix(windows: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     """Add each window's rarest token and its offset there. The count runs
     over every word of every document, summed map-side; only words that occur
     in a window are kept."""
-    vocab, _ = bounded_broadcast(windows.select(F.explode("win").alias("token")).select(F.lower("token").alias("token")).distinct())
+    vocab, small = bounded_broadcast(windows.select(F.explode("win").alias("token")).select(F.lower("token").alias("token")).distinct())
     words = tokens(docs, id_col, text_col).select(F.explode("w").alias("token")).select(F.lower("token").alias("token"))
-    freq = words.join(vocab, "token", "left_semi").groupBy("token").agg(F.count("*").alias("df"))
+    if small:
+        words = words.join(vocab, "token", "left_semi")
+    freq = words.groupBy("token").agg(F.count("*").alias("df"))
+    if not small:  # the vocabulary is shuffled, so the words are summed up first
+        freq = freq.join(vocab, "token", "left_semi")
     each = windows.select("win_id", F.posexplode("win").alias("off", "token")).withColumn("token", F.lower("token")).join(freq, "token", "left")
     rarest = each.groupBy("win_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token", "off")).alias("r"))
     return windows.join(rarest, "win_id").select("win_id", "win", "items", F.col("r.token").alias("token"), F.col("r.off").alias("off"),

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.textvec import chunks, mix, word_hashes
+from pluvio.llm.textvec import LONG, chunks, mix, pieces, word_hashes
 
 TERMS = 4096  # hashed trigrams; two more terms follow
 DIM = TERMS + 2
@@ -54,7 +54,13 @@ class Space:
 
 
 def term_counts(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, term, count), every text's terms together."""
+    """(text number, term, count), every text's terms together. A text of
+    several MB is counted piece by piece; the pieces end behind a word."""
+    if any(len(b) > LONG for b in encoded):
+        parts = [(i, term_counts([p])) for i, b in enumerate(encoded) for p in pieces(b)]
+        keys = np.concatenate([i * DIM + t for i, (_, t, _) in parts])
+        keys, back = np.unique(keys, return_inverse=True)
+        return keys // DIM, keys % DIM, np.bincount(back, np.concatenate([c for _, (_, _, c) in parts])).astype(np.int64)
     buf = np.frombuffer(b"\x00".join(encoded) + b"\x00", dtype=np.uint8)
     cls = _CLASS[buf].copy()
     ends = np.cumsum([len(b) + 1 for b in encoded]) - 1
@@ -69,8 +75,9 @@ def term_counts(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     text = of[:-2][inside]
     words, n = word_hashes(encoded)
     own = np.repeat(np.arange(len(n)), n)
-    again = (own[1:] == own[:-1]) & (words[1:] == words[:-1])
-    key = np.concatenate([text * DIM + tri, own[1:] * DIM + np.where(again, TERMS, TERMS + 1)])
+    follows = own[1:] == own[:-1]
+    again = words[1:] == words[:-1]
+    key = np.concatenate([text * DIM + tri, (own[1:] * DIM + np.where(again, TERMS, TERMS + 1))[follows]])
     keys, counts = np.unique(key, return_counts=True)
     return keys // DIM, keys % DIM, counts
 

@@ -39,7 +39,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_LONG = 4 << 20
+LONG = 4 << 20  # bytes of a text that are handled at once
 _GAP = re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
 _inv = pow(int(_BASE), -1, 1 << 64)
 
@@ -62,18 +62,24 @@ def word_hashes(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every lower-cased word of all texts in order, and the
     number of words of each text. Words are runs of digits, letters and
     non-ASCII characters. Polynomial in an odd base modulo 2^64, finalised."""
-    if len(encoded) == 1 and len(encoded[0]) > _LONG:  # a long text goes in pieces cut behind a word
-        parts, at, text = [], 0, encoded[0]
-        while at < len(text):
-            cut = _GAP.search(text, at + _LONG // 2)
-            end = cut.end() if cut else len(text)
-            parts.append(word_hashes([text[at:end]])[0] if end - at <= _LONG else _one_buffer([text[at:end]])[0])
-            at = end
-        words = np.concatenate(parts)
-        return words, np.array([len(words)])
+    if any(len(b) > LONG for b in encoded):
+        per_text = [np.concatenate([_one_buffer([p])[0] for p in pieces(b)]) for b in encoded]
+        return np.concatenate(per_text), np.array([len(w) for w in per_text])
     return _one_buffer(encoded)
 
 
+def pieces(text: bytes) -> list[bytes]:
+    """A text in pieces of about half of LONG, cut behind the next byte that
+    is in no word (a word longer than that stays whole)."""
+    out, at = [], 0
+    while at < len(text):
+        cut = _GAP.search(text, at + LONG // 2)
+        end = cut.end() if cut else len(text)
+        out.append(text[at:end])
+        at = end
+    return out or [b""]
+
+
 def _one_buffer(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = b" ".join(encoded) + b" "
     buf = _LOWER[np.frombuffer(joined, dtype=np.uint8)]

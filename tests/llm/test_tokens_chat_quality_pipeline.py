@@ -66,12 +66,25 @@ def test_chat_round_trip(spark):
 
 def test_templates_that_rewrite_history_are_found():
     last_only = lambda turns: "".join(f"[{t if i == len(turns) - 1 else '...'}]" for i, (_, t) in enumerate(turns))
-    _, found = op9.spans([("user", "aa"), ("user", "bb")], last_only)
+    _, found, _ = op9.spans([("user", "aa"), ("user", "bb")], last_only)
     assert found == [None, None]
     counted = lambda turns: f"{len(turns)}:" + "".join(t for _, t in turns)
     assert op9.format_one([("user", "a"), ("assistant", "b")], counted)["n_rewritten"] == 2
 
 
+def test_long_conversations():
+    rnd = random.Random(9)
+    turns = [(rnd.choice(["user", "assistant"]), "".join(rnd.choice("ab<[\\\n|") for _ in range(rnd.randrange(9)))) for _ in range(300)]
+    out, found, context = op9.spans(turns)
+    assert context == op9.CONTEXT and op9.read_back(out, found) == turns
+    row = op9.format_one(turns)
+    assert [op9.unescape(out[a:b]) for a, b in zip(row["loss_starts"], row["loss_ends"])] == [t for r, t in turns if r == "assistant"]
+    numbered = lambda ts: "".join(f"{i}:{t};" for i, (_, t) in enumerate(ts))  # noqa: E731  needs all turns before
+    out, found, context = op9.spans(turns, numbered)
+    assert context == 0 and all(out[s[0]:s[1]] == f"{i}:{t};" for i, (s, (_, t)) in enumerate(zip(found, turns)))
+    assert op9.format_one(turns, lambda ts: f"{len(ts)}!" + "".join(t for _, t in ts))["n_rewritten"] > 0
+
+
 def test_any_appending_template_has_spans_and_masks():
     other = lambda turns: "BOS" + "".join(f"<{r.upper()}>{t.swapcase()}</{r}>" for r, t in turns)
     row = op9.format_one([("user", "Hi"), ("assistant", "Yo"), ("assistant", "</assistant>")], other)
@@ -88,6 +101,15 @@ def test_classifier_held_out_accuracy(spark):
     assert sum(p for p, y in test if y == 1) / sum(y for _, y in test) > 0.98
 
 
+def test_terms_of_a_long_text_come_piece_by_piece(monkeypatch):
+    text = ("Some words, words | and ### more.\n" * 400).encode()
+    whole = op10.matrix(*op10.term_counts([text, b"x", b""]), 3)
+    monkeypatch.setattr(op10, "LONG", 1 << 10)
+    monkeypatch.setattr("pluvio.llm.textvec.LONG", 1 << 10)
+    parts = op10.matrix(*op10.term_counts([text, b"x", b""]), 3)
+    assert abs(whole - parts).max() < 0.02 and (whole[1] == parts[1]).all() and not parts[2].any()
+
+
 def test_classifier_defined_results(spark, awkward, empty):
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 1), (7, 0), (None, 1), (5, None), (77, 1)], "doc_id long, quality int")
     rows = op10.report(awkward, labels).collect()
