@@ -47,7 +47,7 @@ def test_save_load_same_predictions(spark, fitted):
     assert a.join(b, ["series", "fecha"]).filter(F.abs(F.col("a") - F.col("b")) > 1e-12).count() == 0
 
 
-def test_knob_mapping():
+def test_knob_mapping(spark):
     p = gbt_params({"n_estimators": 10, "learning_rate": 0.05, "max_depth": 4, "subsample": 0.8,
                     "colsample_bytree": 0.7, "num_leaves": 31, "verbose": -1})
     assert p == {"maxIter": 10, "stepSize": 0.05, "maxDepth": 4, "subsamplingRate": 0.8,
@@ -62,7 +62,7 @@ def test_knob_mapping():
         regressor({"objective": "quantile", "alpha": 0.85}, "y")
 
 
-def test_objectives_choose_the_estimator():
+def test_objectives_choose_the_estimator(spark):
     assert regressor({"objective": "regression_l1"}, "y").getLossType() == "absolute"
     assert regressor({}, "y").getLossType() == "squared"
     assert regressor({"objective": "huber", "alpha": 1.5}, "y").getEpsilon() == 1.5
@@ -176,7 +176,7 @@ def test_runs_are_logged_and_load_their_model(spark, fitted):
         load_from_run(spark, runs, "b-parent")
 
 
-def test_grid_entries_are_distinct_models():
+def test_grid_entries_are_distinct_models(spark):
     clf = {n: (tuple(sorted(gbt_params(p, WEIGHT_KNOBS).items())), p.get("scale_pos_weight"), p.get("is_unbalance")) for n, p in grids.CLASSIFIERS.items()}
     assert len(set(clf.values())) == len(clf)
     for p in grids.REGRESSORS.values():
