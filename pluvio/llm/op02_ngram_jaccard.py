@@ -43,8 +43,8 @@ class Join:
     threshold: float = 0.8
     recall: float = 0.99999  # of a pair exactly at the threshold
     children: float = 2.0  # tokens that a set chooses at a node, on average
-    leaf: int = 800  # sets that are compared by brute force
-    depth: int = 5  # beyond it, large nodes are compared in blocks
+    leaf: int = 3000  # sets that are compared by brute force at once
+    depth: int = 5  # levels; what is larger below them is compared in blocks
 
     @property
     def runs(self) -> int:
@@ -127,30 +127,56 @@ def next_level(large: DataFrame, sets: DataFrame, cfg: Join) -> DataFrame:
         for b in batches:
             sk = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint32).reshape(-1, COORDS)
             row, path = chosen(b["path"].to_numpy().view(np.uint64), sk, cfg)
-            yield pd.DataFrame({"sid": b["sid"].to_numpy()[row], "path": path})
-    return large.join(sets.select("sid", "sketch"), "sid").select("sid", "path", "sketch").mapInPandas(run, "sid binary, path long")
+            yield pd.DataFrame({"sid": b["sid"].to_numpy()[row], "path": path, "parent": b["path"].to_numpy()[row]})
+    return large.join(sets.select("sid", "sketch"), "sid").select("sid", "path", "sketch").mapInPandas(run, "sid binary, path long, parent long")
 
 
 def leaves(sets: DataFrame, cfg: Join) -> DataFrame:
-    """(sid, path) of every leaf with two sets or more. Node sizes are summed
-    map-side; a node that nobody shares is dropped, one above ``leaf`` is
-    split again, and what is still too large at the last level is cut into
-    blocks, each pair of blocks a leaf of its own."""
+    """(sid, path, n) of every leaf with two sets or more. Node sizes are
+    summed map-side; a node that nobody shares is dropped. One above ``leaf``
+    is split if that at least halves the pairs to compare (the squares of its
+    children's sizes); a dense node, whose sets are alike, would only be
+    repeated in its children, so it is a leaf of any size."""
     out, rows = None, stored(first_level(sets, cfg), "paths")
     for level in range(1, cfg.depth + 1):
         n = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        met = stored(rows.join(n, "path"), "nodes")
-        small = met.where(F.col("n") <= cfg.leaf).select("sid", "path")
+        met = stored(rows.join(n, "path").select("sid", "path", "n"), "nodes")
+        small = met.where(F.col("n") <= cfg.leaf)
         out = small if out is None else out.unionByName(small)
         large = met.where(F.col("n") > cfg.leaf)
         if large.isEmpty():
             return out
-        if level < cfg.depth:
-            rows = stored(next_level(large, sets, cfg), "paths")
-    blocks = F.ceil(2 * F.col("n") / cfg.leaf).cast("int")
+        if level == cfg.depth:
+            return out.unionByName(large)
+        kids = stored(next_level(large, sets, cfg), "paths")
+        sizes = kids.groupBy("parent", "path").agg(F.count("*").cast("double").alias("c"))
+        pairs = sizes.groupBy("parent").agg(F.sum(F.col("c") * F.col("c")).alias("pairs"))
+        nodes = large.select("path", "n").distinct().join(pairs, F.col("path") == F.col("parent"), "left")
+        dense = stored(nodes.where(2 * F.coalesce("pairs", F.lit(0.0)) >= F.col("n") * F.col("n")).select("path"), "dense")
+        out = out.unionByName(large.join(dense, "path", "left_semi").select("sid", "path", "n"))
+        rows = kids.join(dense.withColumnRenamed("path", "parent"), "parent", "left_anti").select("sid", "path")
+    return out
+
+
+def dealt(met: DataFrame, cfg: Join) -> DataFrame:
+    """Add the bucket that a leaf's rows meet in. A leaf above the bound is
+    cut into blocks by a hash of the set, and each pair of blocks is a bucket
+    in which only pairs across the two are compared (for a block with itself:
+    all of its pairs), so no task ever holds more than a leaf's bound."""
+    blocks = F.greatest(F.lit(1), F.ceil(2 * F.col("n") / cfg.leaf)).cast("int")
+    blocks = F.when(F.col("n") <= cfg.leaf, 1).otherwise(blocks)
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
-    large = large.select("sid", "path", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    return out.unionByName(large.select("sid", F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path")))
+    d = met.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return d.withColumns({"bucket": F.xxhash64("path", low, high), "cross": low != high}).drop("n", "other")
+
+
+def to_compare(b: pd.DataFrame) -> np.ndarray | bool:
+    """Pairs that a bucket is there for."""
+    if not b["cross"].iloc[0]:
+        return True
+    own = b["own"].to_numpy()
+    return own[:, None] != own[None, :]
 
 
 def first_meetings(path: int, lists: list[np.ndarray]) -> np.ndarray:
@@ -183,14 +209,14 @@ def agreement(sk: np.ndarray) -> np.ndarray:
 
 
 def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole buckets from batches sorted by path; at most one is carried over."""
+    """Whole buckets from batches sorted by bucket; at most one is carried over."""
     held: list[pd.DataFrame] = []
     for b in batches:
-        path = b["path"].to_numpy()
+        path = b["bucket"].to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]]) if len(path) else [0]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             piece = b.iloc[lo:hi]
-            if held and held[0]["path"].iloc[0] != path[lo]:
+            if held and held[0]["bucket"].iloc[0] != path[lo]:
                 yield held[0] if len(held) == 1 else pd.concat(held)
                 held = []
             held.append(piece)
@@ -198,16 +224,20 @@ def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held[0] if len(held) == 1 else pd.concat(held)
 
 
+_PLACE = ["bucket", "path", "own", "cross"]
+_PLACE_TYPES = "bucket long, path long, own int, cross boolean"
+
+
 def candidates(members: DataFrame, cfg: Join) -> DataFrame:
-    """(path, sid, leaves) of the sets that have, in that leaf, a partner they
-    meet first there and whose sketch agrees well enough."""
+    """Rows of the sets that have, in that bucket, a partner they meet first
+    in that leaf and whose sketch agrees well enough."""
     def run(batches):
         out = []
         for b in buckets(batches):
             if len(b) < 2:
                 continue
             sk = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint8).reshape(-1, COORDS)
-            good = agreement(sk) >= cfg.agree
+            good = (agreement(sk) >= cfg.agree) & to_compare(b)
             np.fill_diagonal(good, False)
             if good.any():
                 has = good.any(axis=1)
@@ -215,14 +245,14 @@ def candidates(members: DataFrame, cfg: Join) -> DataFrame:
                 good &= first_meetings(b["path"].iloc[0], list(b["leaves"]))
                 b = b[good.any(axis=1)]
                 if len(b):
-                    out.append(b[["path", "sid", "leaves"]])
+                    out.append(b[_PLACE + ["sid", "leaves"]])
             if sum(map(len, out)) > 2000:
                 yield pd.concat(out)
                 out = []
         if out:
             yield pd.concat(out)
-    dealt = members.repartition("path").sortWithinPartitions("path")
-    return dealt.mapInPandas(run, "path long, sid binary, leaves array<long>")
+    met = members.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInPandas(run, f"{_PLACE_TYPES}, sid binary, leaves array<long>")
 
 
 def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -250,17 +280,18 @@ def verified(found: DataFrame, docs: DataFrame, classes: DataFrame, cfg: Join) -
     there, and the least set id of its component there. The texts of
     representatives come in by one join and are cut into shingles again."""
     want = found.join(classes.select("sid", "copies", F.col("rep").alias("doc_id")), "sid")
-    want = want.groupBy("doc_id", "sid", "copies").agg(F.collect_list("path").alias("paths"), F.first("leaves").alias("leaves"))
-    texts = want.join(docs.where("doc_id IS NOT NULL"), "doc_id").select("sid", "copies", "paths", "leaves", "text")
+    want = want.groupBy("doc_id", "sid", "copies").agg(F.collect_list(F.struct(*_PLACE)).alias("places"), F.first("leaves").alias("leaves"))
+    texts = want.join(docs.where("doc_id IS NOT NULL"), "doc_id").select("sid", "copies", "places", "leaves", "text")
 
     def cut(batches):
         for b in batches:
             for first, sets in sets_of(b["text"], cfg.words):
                 part = b.iloc[first:first + len(sets)]
-                rows = [(p, s, c, lv, t.tobytes()) for s, c, ps, lv, t in zip(part["sid"], part["copies"], part["paths"], part["leaves"], sets)
+                rows = [(*(p[k] for k in _PLACE), s, c, lv, t.tobytes())
+                        for s, c, ps, lv, t in zip(part["sid"], part["copies"], part["places"], part["leaves"], sets)
                         if len(t) and set_id(t) == s for p in ps]
                 if rows:
-                    yield pd.DataFrame(rows, columns=["path", "sid", "copies", "leaves", "tokens"])
+                    yield pd.DataFrame(rows, columns=[*_PLACE, "sid", "copies", "leaves", "tokens"])
 
     def check(batches):
         out = []
@@ -268,7 +299,7 @@ def verified(found: DataFrame, docs: DataFrame, classes: DataFrame, cfg: Join) -
             b = b[~b["sid"].duplicated()]
             if len(b) < 2:
                 continue
-            ok = similar([np.frombuffer(t, dtype=np.uint64) for t in b["tokens"]], cfg.threshold)
+            ok = similar([np.frombuffer(t, dtype=np.uint64) for t in b["tokens"]], cfg.threshold) & to_compare(b)
             if ok.any():
                 ok &= first_meetings(b["path"].iloc[0], list(b["leaves"]))
                 sid, copies = b["sid"].to_numpy(), b["copies"].to_numpy()
@@ -279,8 +310,8 @@ def verified(found: DataFrame, docs: DataFrame, classes: DataFrame, cfg: Join) -
         if out:
             yield pd.DataFrame(out, columns=["sid", "links", "root"])
 
-    cutup = texts.mapInPandas(cut, "path long, sid binary, copies long, leaves array<long>, tokens binary")
-    return cutup.repartition("path").sortWithinPartitions("path").mapInPandas(check, "sid binary, links long, root binary")
+    cutup = texts.mapInPandas(cut, f"{_PLACE_TYPES}, sid binary, copies long, leaves array<long>, tokens binary")
+    return cutup.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(check, "sid binary, links long, root binary")
 
 
 def roots(ok: np.ndarray, sid: np.ndarray) -> list[bytes]:
@@ -332,11 +363,12 @@ def join(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col:
     rows = stored(embed(docs, cfg), "sketches")
     ids = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
-    met = stored(leaves(classes, cfg).distinct(), "leaves")
+    met = stored(leaves(classes, cfg), "leaves")
     low = F.expr("cast(array_join(transform(sequence(0, 63), i -> substring(hex(sketch), 8 * i + 1, 2)), '') as string)")
     byte = F.unhex(low).alias("sketch")  # the low byte of each value
-    of_set = met.groupBy("sid").agg(F.sort_array(F.collect_list("path")).alias("leaves")).join(classes.select("sid", byte), "sid")
-    members = of_set.select("sid", "sketch", "leaves", F.explode("leaves").alias("path"))
+    of_set = met.groupBy("sid").agg(F.sort_array(F.collect_set(F.struct("path", "n"))).alias("met")).join(classes.select("sid", byte), "sid")
+    members = of_set.select("sid", "sketch", F.col("met.path").alias("leaves"), F.explode("met").alias("m"))
+    members = dealt(members.select("sid", "sketch", "leaves", "m.path", "m.n"), cfg)
     found = stored(candidates(members, cfg), "candidates")
     links = stored(verified(found, docs, classes, cfg), "links")
     comp = components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
