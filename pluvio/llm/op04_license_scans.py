@@ -2,10 +2,11 @@
 
 The templates' content words form an index (word -> template, position). Of
 each file only the content words that the index knows are kept, with their
-positions; their document frequency over all files gives the IDF. A file's
-highest-IDF words look up the postings; a template matches where enough words
-agree on one relative position (file position - template position); a match
-counts once the template's mandatory key phrase stands at that place.
+positions, and all of them look up the postings: the index is a few dozen
+words, so no choice among them by IDF is needed, and none of a file's
+licences can crowd out another. A template matches where enough words agree
+on one relative position (file position - template position); a match counts
+once the template's mandatory key phrase stands at that place.
 
 Null and empty texts have no words and no labels; files are read whole; equal
 files are judged alike; other columns are ignored.
@@ -69,8 +70,8 @@ TEMPLATES = (
 )
 # Words of the templates that any text has.
 FUNCTION_WORDS = frozenset("a and any are as at by can for in is it may not of or that the this to under use with without you".split())
-RARE_WORDS = 12  # looked up per file
-AGREE = 0.6  # share of a template's content words that must agree on one place
+FULL_WORDS = 12  # agreeing words that count as a whole template, however long it is
+AGREE = 0.6  # share of a template's content words (FULL_WORDS at most) that must agree on one place
 SLACK = 2  # words by which the key phrase may stand off that place
 
 
@@ -107,27 +108,21 @@ def alignments(sig: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> D
     spark = sig.sparkSession
     post = postings(templates)
     of_template = {t: len({i for _, u, i in post if u == t}) for t in range(len(templates))}
-    df = (sig.select(F.explode(F.array_distinct(F.transform("known", lambda s: s["word"]))).alias("word"))
-          .groupBy("word").agg(F.count("*").alias("df")).collect())  # at most the index's vocabulary
-    by_idf = [r.word for r in sorted(df, key=lambda r: (r.df, r.word))]
     keys = sorted({" ".join(t.key_words) for t in templates})
     key_of = {t: keys.index(" ".join(x.key_words)) for t, x in enumerate(templates)}
     index = spark.createDataFrame([(w, t, i, of_template[t], templates[t].key_at, key_of[t], templates[t].label) for w, t, i in post],
                                   "word string, template int, tpos int, words int, key_at int, key int, label string")
-    order = F.array(*[F.lit(w) for w in by_idf]).cast("array<string>")
-    rare = F.slice(F.array_intersect(order, F.transform("known", lambda s: s["word"])), 1, RARE_WORDS)
-    hits = sig.where(F.size("known") > 0).select("row", "known", rare.alias("rare"), "keys")
-    hits = hits.select("row", F.explode(F.filter("known", lambda s: F.array_contains("rare", s["word"]))).alias("s")).select("row", "s.*")
+    hits = sig.where(F.size("known") > 0).select("row", F.explode("known").alias("s")).select("row", "s.*")
     votes = (hits.join(F.broadcast(index), "word")  # the templates' words: a fixed few hundred rows
              .groupBy("row", "template", (F.col("pos") - F.col("tpos")).alias("offset"))
              .agg(F.count("*").alias("agreed"), F.first("words").alias("words"), F.first("key_at").alias("key_at"),
                   F.first("key").alias("key"), F.first("label").alias("label"))
-             .where((F.col("agreed") >= 2) & (F.col("agreed") >= F.least(F.lit(AGREE) * F.col("words"), F.lit(RARE_WORDS * AGREE)))))
+             .where((F.col("agreed") >= 2) & (F.col("agreed") >= F.least(F.lit(AGREE) * F.col("words"), F.lit(FULL_WORDS * AGREE)))))
     places = F.array(*[F.col("keys")[f"k{i}"] for i in range(len(keys))])
     near = votes.join(sig.where(F.size("known") > 0).select("row", places.alias("places")), "row")
     there = F.exists(F.get("places", F.col("key")), lambda s: F.abs(s - (F.col("offset") + F.col("key_at"))) <= SLACK)
     return near.where(there).select("row", "template", "label", "offset", "agreed",
-                                    F.least(F.lit(1.0), F.col("agreed") / F.least(F.col("words"), F.lit(RARE_WORDS))).alias("share"))
+                                    F.least(F.lit(1.0), F.col("agreed") / F.least(F.col("words"), F.lit(FULL_WORDS))).alias("share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

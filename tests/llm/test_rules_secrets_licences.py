@@ -132,5 +132,19 @@ def test_licence_templates_need_their_key_phrase(spark):
     assert got[4] == ("cc-by,cc-by-nc-4.0", 1.0) and got[5] == ("", 0.0) and got[6] == ("", 0.0)
 
 
+def test_licence_words_do_not_crowd_each_other_out(spark):
+    """Every pair of templates, and a template among many other template words."""
+    ts = op4.TEMPLATES
+    pairs = [(a, b) for a in range(len(ts)) for b in range(len(ts)) if ts[a].label != ts[b].label]
+    vocab = sorted({w for w, _, _ in op4.postings()})
+    rows = [(i, f"{ts[a].text}. Then other words follow here. {ts[b].text}.") for i, (a, b) in enumerate(pairs)]
+    rows += [(1000 + t, " and ".join(vocab) + f". {x.text}.") for t, x in enumerate(ts)]
+    got = {r.doc_id: r for r in op4.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert {ts[a].label, ts[b].label} <= set(got[i].labels.split(",")) and got[i].score == 1.0
+    for t, x in enumerate(ts):
+        assert x.label in got[1000 + t].labels.split(",") and got[1000 + t].score == 1.0
+
+
 def test_licences_on_empty_table(empty):
     assert op4.scan(empty).count() == 0
