@@ -35,8 +35,13 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return d.groupBy("win").agg(F.collect_set("item_id").alias("items"))
 
 
+def text_key(text: Column) -> Column:
+    """Content key of a text; a null text is an empty one."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), any_case_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
+    return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), any_case_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
 
 
 def with_prefix(windows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,8 +62,9 @@ def with_prefix(windows: DataFrame, docs: DataFrame, id_col: str, text_col: str)
 
 
 def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, len, items): places where a window stands whole, and
-    for every document one end row (start = number of words, len 0).
+    """(doc_id, text_key, start, len, items): places where a window stands
+    whole, and for every document row one end row (start = number of words,
+    len 0).
 
     A document word that is some window's prefix token carries the words
     around it that a window through it could need, so verification needs no
@@ -78,13 +84,14 @@ def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", te
     around = F.transform(F.col("at"), lambda i: F.struct(i.alias("pos"), F.lower(F.get("w", i)).alias("token"),
                                                          F.array(*[F.get("w", F.when(i + k >= 0, i + k)) for k in reach]).alias("ctx")))
     stop = F.array(F.struct(F.col("n").alias("pos"), F.lit("").alias("token"), F.expr("cast(array() as array<string>)").alias("ctx")))
-    d = tokens(docs, id_col, text_col).select("doc_id", "w", F.size("w").alias("n"), at.alias("at"))
-    d = d.select("doc_id", "n", F.explode(F.concat(around, stop)).alias("a")).select("doc_id", "n", "a.pos", "a.token", "a.ctx")
+    d = tokens(docs, id_col, text_col).select("doc_id", "text_key", "w", F.size("w").alias("n"), at.alias("at"))
+    d = d.select("doc_id", "text_key", "n", F.explode(F.concat(around, stop)).alias("a"))
+    d = d.select("doc_id", "text_key", "n", "a.pos", "a.token", "a.ctx")
     start = F.col("pos") - F.col("off")
     fits = (start >= 0) & (start + F.col("len") <= F.col("n"))
     there = F.transform(F.slice("ctx", F.lit(WIDTH) - F.col("off"), F.col("len")), ascii_lower)
     same = there == F.col("win")
-    return d.join(near, "token").where(fits & same).select("doc_id", start.alias("start"), "len", "items")
+    return d.join(near, "token").where(fits & same).select("doc_id", "text_key", start.alias("start"), "len", "items")
 
 
 def hit_count(places: Column) -> Column:
@@ -97,31 +104,41 @@ def hit_count(places: Column) -> Column:
     return F.aggregate(places, zero, step, lambda a: a["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per doc_id: n_words, n_hit, n_items, item_ids, contaminated.
+def judged(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per doc_id and text: text_key, n_rows (document rows that are
+    so), n_words, n_hit, n_items, item_ids, contaminated.
 
     Places are gathered per document (at most one per word and length), never
     per item or window, so an item that many documents share is no hot key.
-    Rows that repeat a doc_id (null included) are one document: the longest
-    gives n_words, the hits of all count."""
+    Rows that repeat a doc_id (null included) with other texts are documents
+    of their own."""
     # numbered by content, so a recomputation gives the same numbers
     wins = item_windows(items, item_id, item_text).withColumn("win_id", F.sha2(F.array_join("win", " ").cast("binary"), 256))
     wins = stored(wins, "windows")
     prefixes = stored(with_prefix(wins, docs, id_col, text_col), "prefixes")
-    hits = occurrences(docs, prefixes, id_col, text_col).groupBy("doc_id").agg(
+    hits = occurrences(docs, prefixes, id_col, text_col).groupBy("doc_id", "text_key").agg(
+        F.count_if(F.col("len") == 0).alias("n_rows"),
         F.sort_array(F.collect_set(F.struct("start", "len"))).alias("places"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
         F.max(F.when(F.col("len") == 0, F.col("start"))).cast("long").alias("n_words"))
     n_hit = hit_count(F.col("places")).cast("long")
-    return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "item_ids").withColumn(
+    return hits.select("doc_id", "text_key", "n_rows", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "item_ids").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, item_ids,
+    contaminated."""
+    rows = judged(docs, items, id_col, text_col, item_id, item_text).withColumn("copy", F.explode(F.sequence(F.lit(1), "n_rows")))
+    return rows.drop("text_key", "n_rows", "copy")
+
+
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     ids = F.array_join(F.sort_array(F.transform("item_ids", lambda i: i.cast("string"))), ",")
     return contamination(docs, items).select("doc_id", "n_words", "n_hit", "n_items",
                                              F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
-__all__ = ["contamination", "item_windows", "occurrences", "report"]
+__all__ = ["contamination", "item_windows", "judged", "occurrences", "report", "text_key"]

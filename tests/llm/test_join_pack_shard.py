@@ -118,6 +118,22 @@ def test_contamination_matches_brute_force(spark, monkeypatch, listed):
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got.collect()} == brute_contamination(docs, items)
 
 
+def test_contamination_judges_every_row_by_its_own_text(spark, tmp_path):
+    import corpus_pipeline as cp
+    item = " ".join(f"q{i}" for i in range(13))
+    clean, long = "nothing of it here", " ".join(f"z{i}" for i in range(1000))
+    docs = [(None, clean), (None, "x " + item), (None, long), (None, None), (7, clean), (7, item), (7, long), (8, item), (8, item), (9, "")]
+    items = [(1, item)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in op6.contamination(d, it).collect()]
+    want = [(i, *brute_contamination([(0, t)], items)[0]) for i, t in docs]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    it.write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = [tuple(r) for r in cp.decontaminate(spark, d, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted([(i, t) for i, t in docs if item not in (t or "")], key=str)
+
+
 def test_contamination_without_items_or_documents(spark, awkward, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.n_hit == 0 and not r.contaminated for r in op6.contamination(awkward, none).collect())
