@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pluvio.models import grids
 from pluvio.models import registry as reg
 from pluvio.models.selection import retrain_and_compare, run_cv, run_cv_two_stage, run_grid
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_single_stage, fit_two_stage
@@ -67,14 +68,14 @@ def q_fit_two_stage(spark, sf_dir):
     return present(m.transform(te).select("series", "fecha", "precip_t1", "prob", "mm", "y_hat"))
 
 
-def _folded(spark, sf_dir, k=2):
+def _folded(spark, sf_dir, k=sp.N_SPLITS):
     c = _clean(spark, sf_dir)
     return c, sp.assign_folds(c, qf.D_SPEC, n_splits=k, test_size=365, min_train_size=1095, strategy="sliding", short="drop")
 
 
 @query("cv_single_stage")
 def q_cv_single_stage(spark, sf_dir):
-    """ML9/UDF3 — single-stage CV (2 sliding folds) with the average row."""
+    """ML9/UDF3 — single-stage CV (5 sliding folds) with the average row."""
     c, f = _folded(spark, sf_dir)
     return present(run_cv(f, _features(c), "precip_t1", SMALL, threshold=WET))
 
@@ -89,18 +90,19 @@ def q_cv_two_stage(spark, sf_dir):
 
 @query("clf_grid")
 def q_clf_grid(spark, sf_dir):
-    """ML11 — classifier grid (2 configurations × 2 folds) summarised."""
+    """ML11 — classifier grid (the 9 entries that MLlib can fit × 5 folds)
+    summarised."""
     c, f = _folded(spark, sf_dir)
-    grid = {"clf_shallow": {**SMALL, "max_depth": 2}, "clf_deep": {**SMALL, "max_depth": 4}}
-    return present(run_grid(f, _cfg(c), grid, stage="clf"))
+    return present(run_grid(f, _cfg(c), grids.CLASSIFIERS, stage="clf", parallelism=sp.N_SPLITS))
 
 
 @query("reg_grid")
 def q_reg_grid(spark, sf_dir):
-    """ML12 — regressor grid with the classifier fixed."""
+    """ML12 — regressor grid (the 6 entries that MLlib can fit × 5 folds)
+    with the classifier fixed to the first of its grid."""
     c, f = _folded(spark, sf_dir)
-    grid = {"reg_slow": {**SMALL, "learning_rate": 0.1}, "reg_fast": {**SMALL, "learning_rate": 0.5}}
-    return present(run_grid(f, _cfg(c), grid, stage="reg"))
+    base = _cfg(c, clf_params=grids.CLASSIFIERS["clf_unbalance_base"])
+    return present(run_grid(f, base, grids.REGRESSORS, stage="reg", parallelism=sp.N_SPLITS))
 
 
 @query("score_next_day")

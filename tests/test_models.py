@@ -190,3 +190,26 @@ def test_classifier_grid_ranks_and_regressor_grid_orders_by_error(spark, fitted)
     out = run_grid(folded, replace(m.cfg, clf_params=small, clf_thr=20.0, reg_thr=20.0), {"l1": {**small, "objective": "regression_l1"}, "l2": small}, stage="reg").collect()
     by_rank = sorted(out, key=lambda r: r["rank"])
     assert [r["rank"] for r in by_rank] == [1, 2] and by_rank[0]["avg_rmse_rain"] <= by_rank[1]["avg_rmse_rain"]
+
+
+def test_grid_and_cv_queries_take_every_entry_and_five_folds(spark, fitted, monkeypatch):
+    c, seen, folds = fitted[0], [], []
+
+    def assign(df, spec, n_splits, **kw):
+        folds.append(n_splits)
+        return df.limit(1)
+
+    def grid(folded, cfg, entries, stage, **kw):
+        seen.append((stage, entries))
+        return folded
+
+    def cv(folded, *a, **kw):
+        return folded
+    monkeypatch.setattr(qm, "_clean", lambda *a: c)
+    monkeypatch.setattr(qm.sp, "assign_folds", assign)
+    monkeypatch.setattr(qm, "run_grid", grid)
+    monkeypatch.setattr(qm, "run_cv", cv)
+    monkeypatch.setattr(qm, "run_cv_two_stage", cv)
+    for q in (qm.q_clf_grid, qm.q_reg_grid, qm.q_cv_single_stage, qm.q_cv_two_stage):
+        q(spark, SF001)
+    assert seen == [("clf", grids.CLASSIFIERS), ("reg", grids.REGRESSORS)] and folds == [5] * 4
