@@ -16,7 +16,7 @@ from pluvio.llm import op03_secret_scans as op3
 from pluvio.llm import op05_packing as op5
 from pluvio.llm import op06_decontamination as op6
 from pluvio.llm import op10_quality_classifier as op10
-from pluvio.llm.common import table
+from pluvio.llm.common import table, text_key
 from pluvio.llm.queries import tokenizer_file
 from pluvio.session import scratch_path
 
@@ -30,18 +30,23 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: the least doc_id, and
-    one row of it. Texts without words are no duplicates of each other."""
-    classes = op2.join(docs)
-    keep = classes.where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    one row of it. Texts without words are no duplicates of each other.
+    Rows are looked up by doc_id and text, so rows that repeat a doc_id with
+    texts of other classes stay."""
+    found = op2.members_of_classes(docs).where("doc_id = class_id").withColumnRenamed("text_key", "_text_key")
+    keep = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "_text_key")).alias("r")).select("r.*")
+    wordless = found.where("root IS NULL").select("doc_id", "_text_key").distinct()
+    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+    named = keyed.join(keep, ["doc_id", "_text_key"], "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    named = named.unionByName(keyed.join(wordless, ["doc_id", "_text_key"], "left_semi"))
+    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go, each row by its own text."""
     found = op6.judged(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
     found = found.select(F.col("doc_id").alias("_bad"), F.col("text_key").alias("_bad_text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (op6.text_key(F.col("text")) == F.col("_bad_text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (text_key(F.col("text")) == F.col("_bad_text"))
     return docs.join(found, same, "left_anti")
 
 

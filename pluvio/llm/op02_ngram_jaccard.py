@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import stored
+from pluvio.llm.common import stored, text_key
 from pluvio.llm.textvec import chunks, mix, shingles, word_hashes
 
 COORDS = 64
@@ -88,7 +88,7 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def embed(docs: DataFrame, cfg: Join) -> DataFrame:
-    """(doc_id, sid, sketch); sid is null for texts without words."""
+    """(doc_id, text_key, sid, sketch); sid is null for texts without words."""
     def run(batches):
         for b in batches:
             sids, sketches = [None] * len(b), [None] * len(b)
@@ -97,8 +97,8 @@ def embed(docs: DataFrame, cfg: Join) -> DataFrame:
                 if full:
                     for i, row in zip(full, sketch([sets[i] for i in full])):
                         sids[first + i], sketches[first + i] = set_id(sets[i]), row.tobytes()
-            yield pd.DataFrame({"doc_id": b["doc_id"], "sid": sids, "sketch": sketches})
-    return docs.mapInPandas(run, "doc_id long, sid binary, sketch binary")
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text_key": b["text_key"], "sid": sids, "sketch": sketches})
+    return docs.mapInPandas(run, "doc_id long, text_key binary, sid binary, sketch binary")
 
 
 def chosen(paths: np.ndarray, sketches: np.ndarray, cfg: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -355,12 +355,12 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
 
 
-def join(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, rep_id (least id among equal sets),
-    class_id (least id of the connected component), n_links (other documents
-    at or above the threshold, copies included)."""
+def members_of_classes(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``join`` with text_key and root: the connected component itself (null
+    for texts without words and rows without doc_id), as components that
+    share a repeated doc_id may have the same class_id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stored(embed(docs, cfg), "sketches")
+    rows = stored(embed(docs.withColumn("text_key", text_key(F.col("text"))), cfg), "sketches")
     ids = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
     met = stored(leaves(classes, cfg), "leaves")
@@ -377,7 +377,14 @@ def join(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col:
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
     n = links.groupBy("sid").agg(F.sum("links").alias("links"))
     named = named.join(least, "root").join(n, "sid", "left").select(
-        "sid", "rep", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")).join(named, "sid", "left").select(
-        "doc_id", F.coalesce("rep", "doc_id").alias("rep_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
+        "sid", "root", "rep", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return rows.select("doc_id", "text_key", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")).join(named, "sid", "left").select(
+        "doc_id", "text_key", "root", F.coalesce("rep", "doc_id").alias("rep_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def join(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, rep_id (least id among equal sets),
+    class_id (least id of the connected component), n_links (other documents
+    at or above the threshold, copies included)."""
+    return members_of_classes(docs, cfg, id_col, text_col).drop("text_key", "root")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import any_case_words, ascii_lower, bounded_broadcast, positions, stored
+from pluvio.llm.common import any_case_words, ascii_lower, bounded_broadcast, positions, stored, text_key
 
 WIDTH = 13  # fixed value: words of a window
 IN_LIST = 20_000  # prefix tokens tested inside the row; more go straight to the join
@@ -35,11 +35,6 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return d.groupBy("win").agg(F.collect_set("item_id").alias("items"))
 
 
-def text_key(text: Column) -> Column:
-    """Content key of a text; a null text is an empty one."""
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
-
-
 def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), any_case_words(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
 
@@ -141,4 +136,4 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
                                              F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
-__all__ = ["contamination", "item_windows", "judged", "occurrences", "report", "text_key"]
+__all__ = ["contamination", "item_windows", "judged", "occurrences", "report"]

@@ -86,6 +86,17 @@ def test_join_defined_results(spark, awkward, empty):
     assert op2.join(empty).count() == 0
 
 
+def test_deduplicate_keeps_one_row_of_each_class_when_ids_repeat(spark):
+    import corpus_pipeline as cp
+    text = lambda c, n=60: " ".join(f"{c}{i}" for i in range(n))
+    near = text("a") + " end"
+    rows = [(1, text("a")), (5, near), (5, text("b")), (5, text("b")), (5, text("b") + " end"), (5, text("c")),
+            (6, None), (6, ""), (None, text("a"))]
+    left = [tuple(r) for r in cp.deduplicate(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    assert len(left) == 6 and sorted(t[:1] for i, t in left if i == 5) == ["b", "c"] and near not in [t for _, t in left]
+    assert (1, text("a")) in left and (None, text("a")) in left and (6, None) in left and (6, "") in left
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in op2.components(spark.createDataFrame(edges, "a long, b long")).collect()}
