@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Arrow batches of at most ``n`` rows for the jobs run inside: rows that
+    carry texts or lists are wide, and a batch is held whole on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(n, int(before) if int(before) > 0 else n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it until no column has it
+    (Spark compares names without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once inside an expression (a one-element transform), so
     that a lambda which uses it per element does not recompute it."""

@@ -89,31 +89,39 @@ def scan(blobs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
 
 
 class BlobLedger:
-    """Ledger table in the shared folder: (blob, rule_version, spans).
-
-    Each scan appends one batch folder named by a caller-given batch number,
-    so a repeated batch replaces itself."""
+    """Ledger table in the shared folder: (blob, spans), one folder per rule
+    version and scan. A ledger without a folder yet is an empty one; every
+    scan appends a batch with the next free number and never touches an
+    earlier one, so findings are only added. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         self.schema = "blob binary, spans array<struct<start:int,ord:int,kind:string,end:int>>, rule_version string, batch int"
 
-    def read(self, rule_version: str) -> DataFrame:
+    def batches(self, rule_version: str) -> list[int]:
+        """Numbers of the scans so far, from the names of their folders."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rule_version={rule_version}")
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+    def read(self, rule_version: str = RULE_VERSION) -> DataFrame:
         """Scanned blobs of one rule version, from every batch so far."""
+        if not self.batches(rule_version):
+            return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path).where(F.col("rule_version") == rule_version)
 
-    def scan_unseen(self, docs: DataFrame, rule_version: str = RULE_VERSION, batch: int = 0, first: bool = False,
-                    kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+    def scan_unseen(self, docs: DataFrame, rule_version: str = RULE_VERSION, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
         """Scan each (blob, rule version) of ``docs`` (doc_id, blob, text) that
-        no earlier batch has. One copy per blob is kept map-side before the
-        shuffle, so thousands of copies cost one scan and no hot task."""
-        blobs = docs.select("blob", "text").dropDuplicates(["blob"])
-        if not first:
-            seen = self.read(rule_version).where(F.col("batch") != batch).select("blob")
-            blobs = blobs.join(seen, "blob", "left_anti")
-        found = scan(blobs, kinds)
-        out = f"{self.path}/rule_version={rule_version}/batch={batch}"
-        found.write.mode("overwrite").parquet(out)
+        no earlier batch has, and return the ledger. One copy per blob is kept
+        map-side before the shuffle, so thousands of copies cost one scan and
+        no hot task. A scan that fails leaves an empty batch at most; the next
+        one scans its blobs again."""
+        blobs, done = docs.select("blob", "text").dropDuplicates(["blob"]), self.batches(rule_version)
+        if done:
+            blobs = blobs.join(self.read(rule_version).select("blob"), "blob", "left_anti")
+        batch = done[-1] + 1 if done else 0
+        scan(blobs, kinds).write.mode("errorifexists").parquet(f"{self.path}/rule_version={rule_version}/batch={batch}")
         return self.read(rule_version)
 
 
@@ -122,11 +130,13 @@ def addressed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob"), text.alias("text"))
 
 
-def findings(docs: DataFrame, ledger: BlobLedger, rule_version: str = RULE_VERSION, batch: int = 0, first: bool = False,
+def findings(docs: DataFrame, ledger: BlobLedger, rule_version: str = RULE_VERSION, scanned: bool = False,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its blob and spans (empty array: none)."""
+    """One row per document: its blob and spans (empty array: none). Unseen
+    blobs are scanned first, unless the caller has had them ``scanned``."""
     paths = addressed(docs, id_col, text_col)
-    hits = ledger.scan_unseen(paths, rule_version, batch, first).where(F.size("spans") > 0).select("blob", "spans")
+    every = ledger.read(rule_version) if scanned else ledger.scan_unseen(paths, rule_version)
+    hits = every.where(F.size("spans") > 0).select("blob", "spans")
     none = F.expr("cast(array() as array<struct<start:int,ord:int,kind:string,end:int>>)")
     return (paths.select("doc_id", "blob").join(hits, "blob", "left")
             .select("doc_id", "blob", F.coalesce("spans", none).alias("spans")))
@@ -149,10 +159,14 @@ def count_of(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def report(docs: DataFrame, ledger: BlobLedger, first: bool = True) -> DataFrame:
+def report(docs: DataFrame, ledger: BlobLedger, deliveries: tuple[Column, ...] = ()) -> DataFrame:
     """The digest columns of ``op3``: counts and base spans are of the base
-    kinds, ``spans`` has the further kinds too."""
-    f = findings(docs, ledger, first=first)
+    kinds, ``spans`` has the further kinds too. ``deliveries`` are conditions
+    that part the documents; each part is scanned in turn over the one ledger,
+    so a later part is scanned for blobs that no earlier one had."""
+    for part in deliveries:
+        ledger.scan_unseen(addressed(docs.where(part)))
+    f = findings(docs, ledger, scanned=bool(deliveries))
     return f.select("doc_id", *[count_of(k) for k in BASE_KINDS], F.sha2(joined(F.col("spans"), BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
                     joined(F.col("spans")).alias("spans"))
 

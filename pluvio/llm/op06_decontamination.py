@@ -11,7 +11,9 @@ a superset; the words verified are those with A-Z lowered.
 
 Null and empty texts have no words and no hits; items without words have no
 windows; equal windows are joined once and mapped to all their items; equal
-items each count.
+items each count; item ids keep their type; texts are judged whole at any
+length; repeated rows are judged once and written as often as they occur;
+empty tables give no rows (no items: no hits); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -65,11 +67,13 @@ def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", te
     around it that a window through it could need, so verification needs no
     second join and no text is shuffled. Up to ``IN_LIST`` prefix tokens are
     tested inside the row first; beyond that every word goes to the join. The
-    end row meets the empty window on the empty token, which is no word."""
-    spark = docs.sparkSession
+    end row meets the empty window on the empty token, which is no word; in a
+    join that shuffles it goes round the join instead, as all documents would
+    meet on that token."""
+    spark, none = docs.sparkSession, F.array().cast(prefixes.schema["items"].dataType)
     end = spark.range(1).select(F.lit("").alias("token"), F.lit(0).alias("off"), F.lit(0).alias("len"),
-                                F.expr("cast(array() as array<string>)").alias("win"), F.expr("cast(array() as array<bigint>)").alias("items"))
-    near, _ = bounded_broadcast(prefixes.select("token", "off", "len", "win", F.col("items").cast("array<bigint>").alias("items")).unionByName(end))
+                                F.expr("cast(array() as array<string>)").alias("win"), none.alias("items"))
+    near, small = bounded_broadcast(prefixes.select("token", "off", "len", "win", "items").unionByName(end))
     listed = [r[0] for r in prefixes.select("token").distinct().limit(IN_LIST + 1).collect()]
     if len(listed) <= IN_LIST:
         at = F.array_compact(F.transform("w", lambda x, i: F.when(F.lower(x).isin(listed) if listed else F.lit(False), i)))
@@ -86,7 +90,11 @@ def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", te
     fits = (start >= 0) & (start + F.col("len") <= F.col("n"))
     there = F.transform(F.slice("ctx", F.lit(WIDTH) - F.col("off"), F.col("len")), ascii_lower)
     same = there == F.col("win")
-    return d.join(near, "token").where(fits & same).select("doc_id", "text_key", start.alias("start"), "len", "items")
+    columns = ["doc_id", "text_key", start.alias("start"), "len", "items"]
+    if small:
+        return d.join(near, "token").where(fits & same).select(*columns)
+    met = d.where("token <> ''").join(near, "token").where(fits & same).select(*columns)
+    return met.unionByName(d.where("token = ''").select("doc_id", "text_key", F.col("pos").alias("start"), F.lit(0).alias("len"), none.alias("items")))
 
 
 def hit_count(places: Column) -> Column:

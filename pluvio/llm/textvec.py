@@ -6,10 +6,13 @@ bytes or words, never a Python loop over words.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -39,6 +42,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+def trim() -> None:
+    """Hand free memory back to the system at the end of a partition; the
+    worker process stays and would keep it otherwise. Does nothing where the
+    C library or pyarrow lacks the call."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release is not None:
+        release(0)
+
+
 LONG = 4 << 20  # bytes of a text that are handled at once
 _GAP = re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
 _inv = pow(int(_BASE), -1, 1 << 64)

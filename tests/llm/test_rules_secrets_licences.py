@@ -69,7 +69,7 @@ def test_spans_match_plain_scan(spark, awkward):
     texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(60))) for _ in range(200)]
     docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
     ledger = op3.BlobLedger(spark, scratch_path(spark, "ledger"))
-    rows = op3.findings(docs, ledger, first=True)
+    rows = op3.findings(docs, ledger)
     got = sorted(([r.doc_id or -1, [tuple(s) for s in r.spans]] for r in rows.collect()), key=str)
     want = sorted(([r.doc_id or -1, plain_spans(r.text)] for r in docs.collect()), key=str)
     assert got == want
@@ -79,21 +79,31 @@ def test_spans_match_plain_scan(spark, awkward):
 
 
 def test_ledger_scans_only_unseen_blobs(spark):
-    path = scratch_path(spark, "ledger")
-    ledger = op3.BlobLedger(spark, path)
+    """Scans in a row with default arguments: every batch stays."""
+    ledger = op3.BlobLedger(spark, scratch_path(spark, "ledger"))
+    assert ledger.batches(op3.RULE_VERSION) == [] and ledger.read().count() == 0
     a = spark.createDataFrame([(1, "token=aaaaaaaaaaaa1"), (2, "plain"), (3, "plain")], "doc_id long, text string")
     b = spark.createDataFrame([(4, "token=aaaaaaaaaaaa1"), (5, "AKIA" + "A" * 16), (6, "plain")], "doc_id long, text string")
-    assert {r.doc_id: len(r.spans) for r in op3.findings(a, ledger, first=True).collect()} == {1: 1, 2: 0, 3: 0}
-    assert {r.doc_id: len(r.spans) for r in op3.findings(b, ledger, batch=1).collect()} == {4: 1, 5: 1, 6: 0}
-    sizes = {r.batch: r["count"] for r in ledger.read(op3.RULE_VERSION).groupBy("batch").count().collect()}
-    assert sizes == {0: 2, 1: 1}
-    op3.findings(b, ledger, batch=1).count()  # a repeated batch replaces itself
-    assert ledger.read(op3.RULE_VERSION).count() == 3
+    c = spark.createDataFrame([(7, "new"), (8, "AKIA" + "A" * 16)], "doc_id long, text string")
+    found = [{r.doc_id: len(r.spans) for r in op3.findings(d, ledger).collect()} for d in (a, b, c, a)]
+    assert found == [{1: 1, 2: 0, 3: 0}, {4: 1, 5: 1, 6: 0}, {7: 0, 8: 1}, {1: 1, 2: 0, 3: 0}]
+    sizes = {r.batch: r["count"] for r in ledger.read().groupBy("batch").count().collect()}
+    assert sizes == {0: 2, 1: 1, 2: 1} and ledger.batches(op3.RULE_VERSION) == [0, 1, 2, 3]
+    assert ledger.read("other rules").count() == 0 and {r.doc_id: len(r.spans) for r in op3.findings(a, ledger, "other rules").collect()} == found[0]
+    assert ledger.read("other rules").count() == 2 and ledger.read().count() == 4
+
+
+def test_report_over_deliveries_equals_one_scan(spark, awkward):
+    fresh = lambda: op3.BlobLedger(spark, scratch_path(spark, "ledger"))
+    odd = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(False))
+    ledger = fresh()
+    parts = op3.report(awkward, ledger, (odd, ~odd)).collect()
+    assert sorted(parts, key=str) == sorted(op3.report(awkward, fresh()).collect(), key=str) and ledger.batches(op3.RULE_VERSION) == [0, 1]
 
 
 def test_redaction(spark):
     d = spark.createDataFrame([(1, "token=aaaaaaaaaaaa1 mid AKIA" + "B" * 16 + " end"), (2, "AKIA" + "C" * 16), (3, "clean")], "doc_id long, text string")
-    f = op3.findings(d, op3.BlobLedger(spark, scratch_path(spark, "ledger")), first=True).join(d, "doc_id")
+    f = op3.findings(d, op3.BlobLedger(spark, scratch_path(spark, "ledger"))).join(d, "doc_id")
     got = {r.doc_id: r.t for r in f.select("doc_id", op3.redacted(F.col("text"), F.col("spans")).alias("t")).collect()}
     assert got == {1: "[SECRET] mid [SECRET] end", 2: "[SECRET]", 3: "clean"}
 
