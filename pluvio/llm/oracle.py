@@ -88,4 +88,17 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op3_secret_scans": op3(), "op6_decontamination": OP6}
+_DRAW = [f"CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), {1 + 8 * k}, 8) AS BIGINT)" for k in range(4)]
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  {', '.join(f'{x} AS h{k + 1}' for k, x in enumerate(_DRAW))} FROM documents),
+c AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS z FROM d),
+p AS (SELECT *, array_to_string(list_slice(u, 1, a), '') AS p, array_to_string(list_slice(u, a + 1, z), '') AS m, array_to_string(list_slice(u, z + 1, len(u)), '') AS s,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, len(u) AS n, form, CASE WHEN form <> 'plain' THEN len(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+ORACLE = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op3_secret_scans": op3(), "op6_decontamination": OP6,
+          "op11_fill_in_middle": OP11}

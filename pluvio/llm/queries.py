@@ -15,6 +15,9 @@ from pluvio.llm import op07_token_counts as op7
 from pluvio.llm import op08_sharding as op8
 from pluvio.llm import op09_chat_format as op9
 from pluvio.llm import op10_quality_classifier as op10
+from pluvio.llm import op11_fill_in_middle as op11
+from pluvio.llm import op12_pii as op12
+from pluvio.llm import op13_embedding_whitening as op13
 from pluvio.llm.common import table
 from pluvio.llm.oracle import ORACLE
 from pluvio.session import scratch_path
@@ -32,8 +35,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents come in two deliveries, by source, over one ledger."""
     ledger = op3.BlobLedger(spark, scratch_path(spark, "blob-ledger"))
-    return op3.report(table(spark, sf_dir, "documents"), ledger)
+    later = F.pmod(F.xxhash64("source"), F.lit(2)) == 1
+    return op3.report(table(spark, sf_dir, "documents"), ledger, (~later, later))
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +81,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.report(table(spark, sf_dir, "documents"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.report(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op5_packing, op6_decontamination,
-                                 op7_token_counts, op8_sharding, op9_chat_format, op10_quality_classifier)}
+                                 op7_token_counts, op8_sharding, op9_chat_format, op10_quality_classifier, op11_fill_in_middle, op12_pii,
+                                 op13_embedding_whitening)}
 
 __all__ = ["ORACLE", "QUERIES"]
