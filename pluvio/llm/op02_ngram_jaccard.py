@@ -30,8 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import stored, text_key
-from pluvio.llm.textvec import chunks, mix, shingles, word_hashes
+from pluvio.llm.common import arrow_rows, stored, text_key
+from pluvio.llm.textvec import chunks, mix, shingles, trim, word_hashes
 
 COORDS = 64
 _SEEDS = mix(np.arange(1, COORDS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -43,18 +43,28 @@ class Join:
     threshold: float = 0.8
     recall: float = 0.99999  # of a pair exactly at the threshold
     children: float = 2.0  # tokens that a set chooses at a node, on average
-    leaf: int = 3000  # sets that are compared by brute force at once
+    leaf: int = 1000  # sets that are compared by brute force at once
     depth: int = 5  # levels; what is larger below them is compared in blocks
 
+    def miss(self, runs: int) -> float:
+        """Chance that a pair at the threshold shares no leaf in any run. All
+        runs draw on one sketch, so the number k of tokens that the pair
+        shares is drawn once, from Binomial(64, threshold). Given k, a shared
+        node has Binomial(k, children / 64) shared children, and the chance
+        that a run reaches the deepest level follows by iteration."""
+        total = 0.0
+        for k in range(COORDS + 1):
+            alive = 1.0
+            for _ in range(self.depth):
+                alive = 1 - (1 - self.children / COORDS * alive) ** k
+            total += math.comb(COORDS, k) * self.threshold ** k * (1 - self.threshold) ** (COORDS - k) * (1 - alive) ** runs
+        return total
+
     @property
     def runs(self) -> int:
-        """A pair's shared children are Poisson with mean children * threshold
-        at every level; the chance that one of them survives to the deepest
-        level follows by iteration."""
-        alive = 1.0
-        for _ in range(self.depth):
-            alive = 1 - math.exp(-self.children * self.threshold * alive)
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - alive))
+        """Least number of runs that misses a pair at the threshold with a
+        chance of at most ``1 - recall``."""
+        return next(r for r in range(1, 1000) if self.miss(r) <= 1 - self.recall)
 
     @property
     def agree(self) -> int:
@@ -98,6 +108,7 @@ def embed(docs: DataFrame, cfg: Join) -> DataFrame:
                     for i, row in zip(full, sketch([sets[i] for i in full])):
                         sids[first + i], sketches[first + i] = set_id(sets[i]), row.tobytes()
             yield pd.DataFrame({"doc_id": b["doc_id"], "text_key": b["text_key"], "sid": sids, "sketch": sketches})
+        trim()
     return docs.mapInPandas(run, "doc_id long, text_key binary, sid binary, sketch binary")
 
 
@@ -199,15 +210,46 @@ def first_meetings(path: int, lists: list[np.ndarray]) -> np.ndarray:
     return met == 0
 
 
-def agreement(sk: np.ndarray) -> np.ndarray:
+def met_before(path: int, lists: list[np.ndarray]) -> np.ndarray:
+    """Sets of a bucket that share one earlier leaf, the commonest there, if
+    most of them do; no pair of theirs is to be compared here."""
+    flat = np.concatenate(lists)
+    of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[flat < path]
+    flat = flat[flat < path]
+    out = np.zeros(len(lists), dtype=bool)
+    if len(flat):
+        ids, n = np.unique(flat, return_counts=True)
+        if 2 * n.max() > len(lists):
+            out[of[flat == ids[n.argmax()]]] = True
+    return out
+
+
+def agreement(sk: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sketch values in which each of ``rows`` agrees with every set."""
     if len(sk) <= 32:
-        return (sk[:, None, :] == sk[None, :, :]).sum(axis=2)
-    out = np.zeros((len(sk), len(sk)), dtype=np.uint8)
+        return (sk[rows][:, None, :] == sk[None, :, :]).sum(axis=2)
+    out = np.zeros((len(rows), len(sk)), dtype=np.uint8)
     for j in range(COORDS):
-        out += sk[:, None, j] == sk[None, :, j]
+        out += sk[rows, None, j] == sk[None, :, j]
     return out
 
 
+def agreeing(b: pd.DataFrame, least: int) -> np.ndarray:
+    """Matrix of the pairs that a bucket is there for and whose sketches agree
+    in ``least`` values. Where most sets of a large bucket have met in an
+    earlier leaf, only the others are compared with all."""
+    sk = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint8).reshape(-1, COORDS)
+    rows = np.arange(len(b))
+    if len(b) > 64:
+        rows = np.flatnonzero(~met_before(b["path"].iloc[0], list(b["leaves"])))
+    good, part = np.zeros((len(b), len(b)), dtype=bool), agreement(sk, rows) >= least
+    good[rows] = part
+    good[:, rows] |= part.T
+    good &= to_compare(b)
+    np.fill_diagonal(good, False)
+    return good
+
+
 def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Whole buckets from batches sorted by bucket; at most one is carried over."""
     held: list[pd.DataFrame] = []
@@ -236,11 +278,9 @@ def candidates(members: DataFrame, cfg: Join) -> DataFrame:
         for b in buckets(batches):
             if len(b) < 2:
                 continue
-            sk = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint8).reshape(-1, COORDS)
-            good = (agreement(sk) >= cfg.agree) & to_compare(b)
-            np.fill_diagonal(good, False)
-            if good.any():
-                has = good.any(axis=1)
+            good = agreeing(b, cfg.agree)
+            has = good.any(axis=1)
+            if has.any():
                 b, good = b[has], good[np.ix_(has, has)]
                 good &= first_meetings(b["path"].iloc[0], list(b["leaves"]))
                 b = b[good.any(axis=1)]
@@ -251,26 +291,40 @@ def candidates(members: DataFrame, cfg: Join) -> DataFrame:
                 out = []
         if out:
             yield pd.concat(out)
+        trim()
     met = members.repartition("bucket").sortWithinPartitions("bucket")
     return met.mapInPandas(run, f"{_PLACE_TYPES}, sid binary, leaves array<long>")
 
 
+TOKENS_AT_ONCE = 1 << 20
+
+
 def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
-    """Exact: matrix of pairs with intersection >= threshold * union."""
-    m, sizes = len(sets), np.array([len(s) for s in sets])
-    tokens, col, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    of = np.repeat(np.arange(m), sizes)
-    shared = n[col] > 1
-    ids, col = np.unique(col[shared], return_inverse=True)
-    of, inter = of[shared], np.zeros((m, m), dtype=np.float32)
-    order = np.argsort(col, kind="stable")
-    of, col = of[order], col[order]
-    for lo in range(0, len(ids), 4096):
-        a, z = np.searchsorted(col, [lo, lo + 4096])
-        b = np.zeros((m, min(4096, len(ids) - lo)), dtype=np.float32)
-        b[of[a:z], col[a:z] - lo] = 1
-        inter += b @ b.T
-    ok = inter >= threshold * (sizes[:, None] + sizes[None, :] - inter) - 1e-6
+    """Exact: matrix of pairs with intersection >= threshold * union. Tokens
+    are sorted hashes, so long sets are gone through in ranges of the hash
+    and no step holds much more than TOKENS_AT_ONCE of them."""
+    m, sizes = len(sets), np.array([len(s) for s in sets], dtype=np.float32)
+    inter, n_parts = np.zeros((m, m), dtype=np.float32), 1 + int(sizes.sum()) // TOKENS_AT_ONCE
+    cuts = np.array([(p << 64) // n_parts for p in range(n_parts)], dtype=np.uint64)
+    at = np.array([[*np.searchsorted(s, cuts), len(s)] for s in sets])
+    for p in range(n_parts):
+        part = [s[x[p]:x[p + 1]] for s, x in zip(sets, at)]
+        tokens, col, n = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        of = np.repeat(np.arange(m), [len(x) for x in part])
+        shared = n[col] > 1
+        ids, col = np.unique(col[shared], return_inverse=True)
+        of = of[shared]
+        order = np.argsort(col, kind="stable")
+        of, col = of[order], col[order]
+        for lo in range(0, len(ids), 1024):
+            a, z = np.searchsorted(col, [lo, lo + 1024])
+            b = np.zeros((m, min(1024, len(ids) - lo)), dtype=np.float32)
+            b[of[a:z], col[a:z] - lo] = 1
+            inter += b @ b.T
+    ok, sizes = np.zeros((m, m), dtype=bool), sizes.astype(np.float64)
+    for lo in range(0, m, 256):
+        x = inter[lo:lo + 256].astype(np.float64)
+        ok[lo:lo + 256] = x >= threshold * (sizes[lo:lo + 256, None] + sizes[None, :] - x) - 1e-6
     np.fill_diagonal(ok, False)
     return ok
 
@@ -284,14 +338,24 @@ def verified(found: DataFrame, docs: DataFrame, classes: DataFrame, cfg: Join) -
     texts = want.join(docs.where("doc_id IS NOT NULL"), "doc_id").select("sid", "copies", "places", "leaves", "text")
 
     def cut(batches):
+        columns = [*_PLACE, "sid", "copies", "leaves", "tokens"]
         for b in batches:
+            rows, size = [], 0
             for first, sets in sets_of(b["text"], cfg.words):
                 part = b.iloc[first:first + len(sets)]
-                rows = [(*(p[k] for k in _PLACE), s, c, lv, t.tobytes())
-                        for s, c, ps, lv, t in zip(part["sid"], part["copies"], part["places"], part["leaves"], sets)
-                        if len(t) and set_id(t) == s for p in ps]
-                if rows:
-                    yield pd.DataFrame(rows, columns=[*_PLACE, "sid", "copies", "leaves", "tokens"])
+                for s, c, ps, lv, t in zip(part["sid"], part["copies"], part["places"], part["leaves"], sets):
+                    if not len(t) or set_id(t) != s:
+                        continue
+                    tokens = t.tobytes()
+                    for p in ps:
+                        rows.append((*(p[k] for k in _PLACE), s, c, lv, tokens))
+                        size += len(tokens) + 8 * len(lv)
+                        if size > 8 << 20:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
+        trim()
 
     def check(batches):
         out = []
@@ -309,6 +373,7 @@ def verified(found: DataFrame, docs: DataFrame, classes: DataFrame, cfg: Join) -
                 out = []
         if out:
             yield pd.DataFrame(out, columns=["sid", "links", "root"])
+        trim()
 
     cutup = texts.mapInPandas(cut, f"{_PLACE_TYPES}, sid binary, copies long, leaves array<long>, tokens binary")
     return cutup.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(check, "sid binary, links long, root binary")
@@ -359,6 +424,11 @@ def members_of_classes(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_i
     """``join`` with text_key and root: the connected component itself (null
     for texts without words and rows without doc_id), as components that
     share a repeated doc_id may have the same class_id."""
+    with arrow_rows(docs.sparkSession, 1000):
+        return _members(docs, cfg, id_col, text_col)
+
+
+def _members(docs: DataFrame, cfg: Join, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(embed(docs.withColumn("text_key", text_key(F.col("text"))), cfg), "sketches")
     ids = rows.where("sid IS NOT NULL AND doc_id IS NOT NULL")

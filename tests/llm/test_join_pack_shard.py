@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pluvio.llm import op02_ngram_jaccard as op2
 from pluvio.llm import op05_packing as op5
@@ -238,3 +239,49 @@ def test_shards(spark, awkward, empty):
     assert op8.shard(awkward).count() == awkward.count() and op8.shard(empty).count() == 0
 
 
+def test_shards_split_rows_that_repeat(spark):
+    """One text in all rows, without ids: the shards still come out even."""
+    d = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    got = op8.shard(d, 16, rows_per_block=100).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"),
+                                                                   F.max("slot").alias("last")).collect()
+    n = [r.n for r in got]
+    assert len(n) == 16 and sum(n) == 20_000 and max(n) <= 1.05 * min(n)
+    assert all(r.slots == r.n and r.last == r.n - 1 for r in got)
+
+
+def test_sampled_keys_are_bounded(spark):
+    rows = op8.measured(spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.col("id"), F.repeat(F.lit("x"), (F.col("id") % 97).cast("int"))).alias("text")))
+    total = rows.agg(F.sum("size")).first()[0]
+    cuts = op8.splitters(rows, 64, total, 500)
+    got = rows.groupBy(op8.range_of(F.col("key"), cuts).alias("r")).agg(F.sum("size").alias("b")).collect()
+    assert len(cuts) == 63 and len(got) == 64 and max(r.b for r in got) < 4 * total / 64
+
+
+def test_similar_in_ranges_of_the_hash(monkeypatch):
+    rnd = np.random.default_rng(4)
+    base = np.unique(rnd.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2))
+    sets = [np.unique(np.concatenate([base[rnd.random(len(base)) < p], rnd.integers(0, 1 << 63, 30, dtype=np.uint64)])) for p in (1, 1, .95, .9, .8, .5, 1, .99)]
+    want = [[i != j and len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    assert op2.similar(sets, 0.8).tolist() == want
+    monkeypatch.setattr(op2, "TOKENS_AT_ONCE", 100)
+    assert op2.similar(sets, 0.8).tolist() == want
+
+
+def test_runs_reach_the_recall():
+    cfg = op2.Join()
+    assert cfg.miss(cfg.runs) <= 1 - cfg.recall < cfg.miss(cfg.runs - 1)
+
+
+def test_item_ids_keep_their_type(spark):
+    d = spark.createDataFrame([(1, "the quick fox"), (2, "none")], "doc_id long, text string")
+    it = spark.createDataFrame([("a-1", "quick fox"), ("b/2", "Quick FOX")], "item_id string, text string")
+    assert {r.doc_id: sorted(r.item_ids) for r in op6.contamination(d, it).collect()} == {1: ["a-1", "b/2"], 2: []}
+
+
+def test_decontamination_without_broadcast(spark, monkeypatch):
+    """A benchmark too large to broadcast: end rows go round the join."""
+    monkeypatch.setattr(op6, "bounded_broadcast", lambda df: (df, False))
+    d = spark.createDataFrame([(1, "the quick fox"), (2, None), (3, ""), (3, "")], "doc_id long, text string")
+    it = spark.createDataFrame([(7, "quick fox")], "item_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_hit) for r in op6.contamination(d, it).collect())
+    assert got == [(1, 3, 2), (2, 0, 0), (3, 0, 0), (3, 0, 0)]
