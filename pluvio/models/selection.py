@@ -10,15 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
+from dataclasses import asdict, replace
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvio.models.fit_ledger import FitLedger, data_version, plan, work_off
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_single_stage, fit_two_stage
 from pluvio.operators import metrics as mt
 from pluvio.operators.splits import inner_validation
-from pluvio.session import materialize
+from pluvio.session import materialize, scratch_path
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -55,41 +57,42 @@ def run_cv(folded: DataFrame, features: list[str], label: str, params: dict | No
     return mt.fold_summary(fm, CV_METRICS).join(extent, "fold", "left")
 
 
+def _part(staged: DataFrame, fold, *roles: str) -> DataFrame:
+    return staged.filter((F.col("fold") == fold) & F.col("role").isin(*roles))
+
+
+def tuned_classifier(staged: DataFrame, fold, cfg: TwoStageConfig, tune: bool = True, thresholds=mt.CLF_THRESHOLDS):
+    """(threshold, classifier) of a fold: the threshold is tuned on the inner
+    validation part (AGG9) with a classifier fitted on the rest, then the
+    classifier is refitted on the full training part."""
+    best = cfg.threshold
+    if tune:
+        inner = TwoStageModel(cfg, fit_classifier(_part(staged, fold, "fit"), cfg), None)
+        best = mt.best_threshold(inner.predict_proba(_part(staged, fold, "val")), cfg.label, "prob", (), thresholds,
+                                 cfg.clf_thr).first()["best_threshold"]
+    return best, fit_classifier(_part(staged, fold, "fit", "val"), cfg)
+
+
+def score_fold(staged: DataFrame, fold, cfg: TwoStageConfig, best: float, clf, regress: bool = True) -> DataFrame:
+    """Predictions for a fold's test part with its own threshold."""
+    at = replace(cfg, threshold=best)
+    full = fit_two_stage(_part(staged, fold, "fit", "val"), at, clf=clf) if regress else TwoStageModel(at, clf, None)
+    return full.transform(_part(staged, fold, "test")).select("fold", cfg.label, "prob", "y_hat")
+
+
 def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] | None = None,
                      val_ratio: float = 0.2, thresholds=mt.CLF_THRESHOLDS, peak: float = mt.PEAK_THRESHOLD,
-                     parallelism: int = 2, clf_cache: dict | None = None,
-                     tune: bool = True, regress: bool = True) -> DataFrame:
+                     parallelism: int = 2, tune: bool = True, regress: bool = True) -> DataFrame:
     """ML10 — per fold: classifier threshold tuned on the inner validation
     part (AGG9), refit on the full training part, evaluation on the test part
-    (AGG7). ``clf_cache`` (fold → (threshold, classifier)) lets a regressor
-    grid reuse one classifier per fold across configurations. Without
-    ``tune`` the configured threshold stays; without ``regress`` only the
-    classifier is fitted."""
+    (AGG7). Without ``tune`` the configured threshold stays; without
+    ``regress`` only the classifier is fitted."""
     staged = inner_validation(folded, val_ratio)
     folds = folds or [r[0] for r in staged.select("fold").distinct().orderBy("fold").collect()]
 
-    def classifier_for(f, train):
-        if clf_cache is not None and f in clf_cache:
-            return clf_cache[f]
-        best = cfg.threshold
-        if tune:
-            fit_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "fit"))
-            val_rows = staged.filter((F.col("fold") == f) & (F.col("role") == "val"))
-            tuned = TwoStageModel(cfg, fit_classifier(fit_rows, cfg), None)
-            best = mt.best_threshold(tuned.predict_proba(val_rows), cfg.label, "prob", (), thresholds,
-                                     cfg.clf_thr).first()["best_threshold"]
-        out = (best, fit_classifier(train, cfg))
-        if clf_cache is not None:
-            clf_cache[f] = out
-        return out
-
     def one(f):
-        train = staged.filter((F.col("fold") == f) & (F.col("role") != "test"))
-        test = staged.filter((F.col("fold") == f) & (F.col("role") == "test"))
-        best, clf = classifier_for(f, train)
-        at = replace(cfg, threshold=best)
-        full = fit_two_stage(train, at, clf=clf) if regress else TwoStageModel(at, clf, None)
-        return best, materialize(full.transform(test).select("fold", cfg.label, "prob", "y_hat"))
+        best, clf = tuned_classifier(staged, f, cfg, tune, thresholds)
+        return best, materialize(score_fold(staged, f, cfg, best, clf, regress))
 
     with ThreadPoolExecutor(parallelism) as ex:
         done = list(ex.map(one, folds))
@@ -98,33 +101,75 @@ def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] |
                                         clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr, peak=peak) for thr, p in done])
 
 
-def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], stage: str = "clf",
-             folds: list[int] | None = None, parallelism: int = 2) -> DataFrame:
-    """ML11/ML12/JOIN5 — configs × folds plan; per fold metrics, then the
-    grid summary (AGG11). The classifier grid fits classifiers only. For the
-    regressor grid the classifier and its threshold stay fixed (``base``) and
-    the least mean RMSE on wet rows ranks first; a configuration may set its
-    own ``log_target``."""
-    cached = materialize(folded)  # read by every config × fold fit: compute once, cut lineage
-    clf_cache = {} if stage == "reg" else None  # classifier fixed: fit once per fold, reuse
-    rows = []
+ROWS_PER_TASK = 50_000  # of a fold's training part; fewer, larger tasks for the many small jobs of boosting
+
+
+def stored_folds(folded: DataFrame, val_ratio: float) -> tuple[DataFrame, dict]:
+    """The folds written once, a folder for each fold and role, in as many
+    files as their rows need; with the number of rows of each fold."""
+    staged = inner_validation(folded, val_ratio)
+    sizes = {r["fold"]: r["n"] for r in staged.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pieces = max(1, -(-max(sizes.values(), default=1) // ROWS_PER_TASK))
+    piece = F.pmod(F.xxhash64(*[c for c in staged.columns if c not in ("fold", "role")]), F.lit(pieces))
+    path = scratch_path(folded.sparkSession, "folds")
+    staged.repartition(max(1, len(sizes) * pieces), "fold", piece).write.partitionBy("fold", "role").parquet(path)
+    return folded.sparkSession.read.parquet(path), sizes
+
+
+def grid_configs(base: TwoStageConfig, grid: dict[str, dict], stage: str) -> dict[str, TwoStageConfig]:
+    """A configuration may set its own ``log_target``."""
+    out = {}
     for name, params in grid.items():
         params = dict(params)
         cfg = replace(base, log_target=params.pop("log_target", base.log_target))
-        cfg = replace(cfg, clf_params=params) if stage == "clf" else replace(cfg, reg_params=params)
-        fm = run_cv_two_stage(cached, cfg, folds, parallelism=parallelism, clf_cache=clf_cache,
-                              tune=stage == "clf", regress=stage == "reg")
-        rows.append(fm.withColumn("config", F.lit(name)))
-    fm = _union(rows).withColumnRenamed("f1_clf", "f1")
-    if stage == "clf":
-        out = mt.grid_summary(fm, "config", ["auc", "f1", "fbeta", "precision", "recall"],
-                              ["f1", "fbeta", "precision", "recall"])
-    else:
-        out = mt.grid_summary(fm, "config", ["mae_rain", "rmse_rain", "r2_rain", "recall_picos", "rmse", "r2"],
-                              ["rmse_rain", "r2_rain"], threshold_col=None, rank_by="rmse_rain", ascending=True)
+        out[name] = replace(cfg, clf_params=params) if stage == "clf" else replace(cfg, reg_params=params)
     return out
 
 
+def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], stage: str = "clf",
+             folds: list[int] | None = None, parallelism: int = 2, ledger: FitLedger | None = None,
+             limit: int | None = None, val_ratio: float = 0.2, peak: float = mt.PEAK_THRESHOLD) -> DataFrame:
+    """ML11/ML12/JOIN5 — the plan of configurations × folds, worked off
+    through a fit ledger; then the grid summary (AGG11) over its rows. With
+    the ``ledger`` of an earlier run only pairs that it lacks are fitted;
+    ``limit`` bounds the fits of this call (``GridUnfinished`` if some are
+    left). The classifier grid fits classifiers only. For the regressor grid
+    the classifier and its threshold stay fixed (``base``), one per fold, and
+    the least mean RMSE on wet rows ranks first."""
+    spark = folded.sparkSession
+    ledger = ledger or FitLedger(spark, scratch_path(spark, "fit-ledger"))
+    staged, sizes = stored_folds(folded, val_ratio)
+    folds = folds or sorted(sizes)
+    version = data_version(staged)
+    configs = grid_configs(base, grid, stage)
+    planned = plan(spark, stage, {n: asdict(c) | {"val_ratio": val_ratio, "peak": peak} for n, c in configs.items()}, folds, version)
+    by_name, by_text = configs, {str(f): f for f in folds}
+    fixed, locks = {}, {f: Lock() for f in folds}  # regressor grid: the classifier of a fold is fitted once
+
+    def classifier(fold, cfg):
+        if stage == "clf":
+            return tuned_classifier(staged, fold, cfg)
+        with locks[fold]:
+            if fold not in fixed:
+                fixed[fold] = tuned_classifier(staged, fold, cfg, tune=False)
+            return fixed[fold]
+
+    def fit(row: dict) -> dict:
+        cfg, fold = by_name[row["config"]], by_text[row["fold"]]
+        best, clf = classifier(fold, cfg)
+        scored = materialize(score_fold(staged, fold, cfg, best, clf, regress=stage == "reg"))
+        return mt.two_stage_metrics(scored, cfg.label, "y_hat", "prob", best, [], clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr,
+                                    peak=peak).first().asDict()
+
+    work_off(ledger, planned, fit, parallelism, limit)
+    names = ["auc", "f1_clf", "fbeta", "precision", "recall", "threshold", "mae_rain", "rmse_rain", "r2_rain", "recall_picos", "mae", "rmse", "r2"]
+    fm = ledger.results(planned).select("config", "fold", *[F.col("metrics")[m].alias("f1" if m == "f1_clf" else m) for m in names])
+    if stage == "clf":
+        return mt.grid_summary(fm, "config", ["auc", "f1", "fbeta", "precision", "recall"], ["f1", "fbeta", "precision", "recall"])
+    return mt.grid_summary(fm, "config", ["mae_rain", "rmse_rain", "r2_rain", "recall_picos", "rmse", "r2"],
+                           ["rmse_rain", "r2_rain"], threshold_col=None, rank_by="rmse_rain", ascending=True)
+
+
 def retrain_and_compare(clean: DataFrame, spec_keys, cfg: TwoStageConfig, current_rmse: float,
                         holdout: int = 90) -> DataFrame:
     """ML14/ML15 — train a challenger without the last ``holdout`` rows of

@@ -77,6 +77,10 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
+def _one_row(spark: SparkSession, row: dict, features: list[str]) -> DataFrame:
+    return spark.createDataFrame([tuple(float(row[c]) for c in features)], ", ".join(f"`{c}` double" for c in features))
+
+
 @dataclass
 class TwoStageConfig:
     features: list[str]
@@ -132,8 +136,7 @@ class TwoStageModel:
 
     def predict_one(self, spark: SparkSession, row: dict) -> dict:
         """ML6/ML8 — prob, mm and y_hat of one feature row."""
-        one = spark.createDataFrame([tuple(float(row[c]) for c in self.cfg.features)], ", ".join(f"`{c}` double" for c in self.cfg.features))
-        return self.transform(one).select("prob", "mm", "y_hat").first().asDict()
+        return self.transform(_one_row(spark, row, self.cfg.features)).select("prob", "mm", "y_hat").first().asDict()
 
 
 def class_weight(df: DataFrame, label: str, thr: float) -> float:
@@ -210,6 +213,20 @@ class SingleStageModel:
         out = self.model.transform(df).drop("features")
         return out.withColumn("y_hat", magnitude(F.col("prediction"), log_target=False)).drop("prediction")
 
+    def predict_one(self, spark: SparkSession, row: dict) -> dict:
+        """ML6 — y_hat of one feature row."""
+        return self.transform(_one_row(spark, row, self.features)).select("y_hat").first().asDict()
+
+    def save(self, path: str) -> None:
+        """The pipeline, and the feature names as JSON."""
+        self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(json.dumps(self.features),)], "features string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "SingleStageModel":
+        return cls(PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/features").first()[0]))
+
 
 def fit_single_stage(df: DataFrame, features: list[str], label: str, params: dict | None = None) -> SingleStageModel:
     """ML6 — ``Pipeline(VectorAssembler, regressor of the objective)``."""

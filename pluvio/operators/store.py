@@ -52,7 +52,7 @@ RETRAINING_LOG = T.StructType([
 TABLES = {"predictions": PREDICTIONS, "actuals": ACTUALS, "retraining_log": RETRAINING_LOG}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -75,7 +75,7 @@ def init_tables(spark: SparkSession, root: str) -> dict[str, str]:
     paths = {}
     for name, schema in TABLES.items():
         path = os.path.join(root, name)
-        if not _exists(spark, path):
+        if not exists(spark, path):
             spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
@@ -121,7 +121,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
     Only partitions that receive updates are read, merged and rewritten.
     Replaying the same updates leaves the table unchanged (idempotent).
     """
-    if not _exists(spark, path):
+    if not exists(spark, path):
         merged = latest_by_key(updates, keys, order)
         save_table(merged, path, [partition_col] if partition_col else None)
         return spark.read.parquet(path)
@@ -151,7 +151,7 @@ def append_log(spark: SparkSession, path: str, rows: DataFrame, order: str = "ev
     Every row is kept, equal time stamps or not. Only if the caller names
     ``replay_keys`` (a run id and the series, say) are rows skipped whose keys
     are logged already, so that a repeated run adds nothing."""
-    existing = spark.read.parquet(path) if _exists(spark, path) else None
+    existing = spark.read.parquet(path) if exists(spark, path) else None
     if existing is not None and replay_keys:
         logged = existing.select(*[F.col(c).alias(f"_l_{c}") for c in replay_keys]).distinct()
         rows = rows.join(logged, [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in replay_keys], "left_anti")

@@ -4,11 +4,15 @@ driver runs its rows-only check); invariants are covered in tests."""
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from pluvio.models import grids
 from pluvio.models import registry as reg
+from pluvio.models.fit_ledger import FitLedger, GridUnfinished
 from pluvio.models.selection import retrain_and_compare, run_cv, run_cv_two_stage, run_grid
+from pluvio.models.stages import TwoStageEstimator
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_single_stage, fit_two_stage
 from pluvio.operators import splits as sp
 from pluvio.operators.store import latest_by_key
@@ -20,6 +24,7 @@ from pluvio.session import checkpoint_dir, scratch_path, tune_optimizer
 SMALL = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3, "random_state": 42}
 WET = b.D_DRY_THRESHOLD
 PEAK = 250.0
+GRID_THREADS = 8  # fits that run at the same time
 
 
 def _clean(spark, sf_dir):
@@ -88,12 +93,18 @@ def q_cv_two_stage(spark, sf_dir):
     return present(run_cv_two_stage(f, _cfg(c), peak=PEAK))
 
 
+def _ledger(spark):
+    """Fit ledger in the shared folder: a grid that was stopped goes on with
+    the fits that are left when the query runs again over the same data."""
+    return FitLedger(spark, f"{checkpoint_dir(spark)}/fit-ledger")
+
+
 @query("clf_grid")
 def q_clf_grid(spark, sf_dir):
     """ML11 — classifier grid (the 9 entries that MLlib can fit × 5 folds)
     summarised."""
     c, f = _folded(spark, sf_dir)
-    return present(run_grid(f, _cfg(c), grids.CLASSIFIERS, stage="clf", parallelism=sp.N_SPLITS))
+    return present(run_grid(f, _cfg(c), grids.CLASSIFIERS, stage="clf", parallelism=GRID_THREADS, ledger=_ledger(spark)))
 
 
 @query("reg_grid")
@@ -102,7 +113,36 @@ def q_reg_grid(spark, sf_dir):
     with the classifier fixed to the first of its grid."""
     c, f = _folded(spark, sf_dir)
     base = _cfg(c, clf_params=grids.CLASSIFIERS["clf_unbalance_base"])
-    return present(run_grid(f, base, grids.REGRESSORS, stage="reg", parallelism=sp.N_SPLITS))
+    return present(run_grid(f, base, grids.REGRESSORS, stage="reg", parallelism=GRID_THREADS, ledger=_ledger(spark)))
+
+
+@query("grid_resumed")
+def q_grid_resumed(spark, sf_dir):
+    """JOIN5/ML11 — the plan of two small configurations × 5 folds, stopped
+    after four fits and taken up again: fits by configuration and fold."""
+    c, f = _folded(spark, sf_dir)
+    ledger = FitLedger(spark, scratch_path(spark, "fit-ledger"))
+    entries = {"clf_few": {"n_estimators": 3, "max_depth": 3}, "clf_more": {"n_estimators": 5, "max_depth": 3}}
+    try:
+        run_grid(f, _cfg(c), entries, limit=4, parallelism=4, ledger=ledger)
+    except GridUnfinished:
+        run_grid(f, _cfg(c), entries, parallelism=4, ledger=ledger)
+    fits = ledger.read()
+    return present(fits.select("config", "fold", F.round(fits.metrics["auc"], 6).alias("auc"), fits.metrics["threshold"].alias("threshold")))
+
+
+@query("two_stage_cross_validator")
+def q_two_stage_cross_validator(spark, sf_dir):
+    """ML5/ML7 — the two-stage estimator inside CrossValidator: RMSE by
+    threshold over three folds."""
+    c = _clean(spark, sf_dir)
+    est = TwoStageEstimator.of(_cfg(c))
+    rmse = RegressionEvaluator(labelCol="precip_t1", predictionCol="y_hat", metricName="rmse")
+    grid = ParamGridBuilder().addGrid(est.threshold, [0.3, 0.5, 0.7]).build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=rmse, numFolds=3, seed=42, parallelism=3).fit(c)
+    best = cv.bestModel.getOrDefault("threshold")
+    return spark.createDataFrame([(m[est.threshold], r, m[est.threshold] == best) for m, r in zip(grid, cv.avgMetrics)],
+                                 "threshold double, rmse double, chosen boolean")
 
 
 @query("score_next_day")
