@@ -51,6 +51,15 @@ def daily_flow(spark: SparkSession, features: DataFrame, model: TwoStageModel, r
     return spark.read.parquet(f"{root}/predictions").drop("month")
 
 
+def _months(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> DataFrame:
+    """A stored table; if it is partitioned by month, only the partitions
+    that the period needs."""
+    d = spark.read.parquet(path)
+    if "month" not in d.columns:
+        return d
+    return d.where(F.col("month").between(F.lit(start.strftime("%Y-%m")), F.lit(end.strftime("%Y-%m"))))
+
+
 def monthly_flow(spark: SparkSession, root: str, keys: list[str], reference_date: dt.date,
                  clean_features: DataFrame | None = None, cfg: TwoStageConfig | None = None,
                  baseline_rmse: float = mo.BASELINE_RMSE, pct: float = mo.RMSE_MAX_PCT_INCREASE,
@@ -65,7 +74,7 @@ def monthly_flow(spark: SparkSession, root: str, keys: list[str], reference_date
     retraining that fails is a note, not the end of the run."""
     start = reference_date - dt.timedelta(days=30)
     end = reference_date - dt.timedelta(days=1)
-    pairs = mo.forecast_vs_actual(spark.read.parquet(f"{root}/actuals"), spark.read.parquet(f"{root}/predictions"),
+    pairs = mo.forecast_vs_actual(_months(spark, f"{root}/actuals", start, end), _months(spark, f"{root}/predictions", start, end),
                                   start, end, keys)
     perf = mo.recent_performance(pairs, keys, threshold=wet_threshold)
     perf = perf.withColumn("degraded", mo.degradation(F.col("rmse"), F.col("recall"), baseline_rmse, pct, recall_min))
