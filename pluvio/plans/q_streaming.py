@@ -12,6 +12,7 @@ from pluvio.plans import sqlgen as sg
 from pluvio.plans.registry import present, query, rnd
 from pluvio.session import checkpoint_dir, pin_utc, scratch_path
 from pluvio.streaming import jobs as sj
+from pluvio.streaming.ordered import ordered_streak, state_store
 
 
 def _dirs(spark, name):
@@ -97,16 +98,19 @@ def q_stream_error_window(spark, sf_dir):
 @query("stream_streak", f"WITH d AS ({sg.D_SQL}) SELECT series, fecha, racha_seca FROM ("
        + sg.streak_sql("d", "precip", b.D_DRY_THRESHOLD, "series", "fecha") + ") s")
 def q_stream_streak(spark, sf_dir):
-    """STR4 — the daily series replayed year by year as a stream; the dry
-    streak of each series is carried across micro-batches in state
-    (``applyInPandasWithState``)."""
+    """STR4 — the daily series replayed as a stream in files that mix the days
+    of a quarter; rows wait in ordered state until the watermark has passed
+    them. A last row of another series, far ahead, lets it pass them all."""
     pin_utc(spark)
     target, ckpt, base = _dirs(spark, "stream-streak")
     src = f"{base}/daily"
-    d = b.daily_lineitem(spark, sf_dir).select("series", "fecha", "precip", F.year("fecha").alias("yr"))
-    sj.ordered_file_drop(d, src, "yr", keys=["series"])
+    d = b.daily_lineitem(spark, sf_dir).select("series", "fecha", "precip", F.trunc("fecha", "quarter").alias("part"))
+    end = d.agg(F.max("fecha").alias("m")).select(F.lit("end").alias("series"), F.date_add("m", 400).alias("fecha"), F.lit(0.0).alias("precip"),
+                                                  F.date_add("m", 400).alias("part"))
+    sj.ordered_file_drop(d.unionByName(end), src, "part", keys=["series"])
     schema = spark.read.parquet(src).schema
-    s = sj.streak_stream(sj.file_stream(spark, src, schema, max_files=4), b.D_DRY_THRESHOLD)
-    _ = sj._run(s.writeStream.outputMode("append").foreachBatch(
-        sj.upsert_sink(target, ["series", "fecha"], [], partition_col="fecha")), ckpt)
+    with state_store(spark):
+        s = ordered_streak(sj.file_stream(spark, src, schema, max_files=24), ["series"], b.D_DRY_THRESHOLD, delay="120 days")
+        sj._run(s.writeStream.outputMode("append").foreachBatch(
+            sj.upsert_sink(target, ["series", "fecha"], [], partition_col="fecha")), ckpt)
     return sj.read_target(spark, target)
