@@ -24,6 +24,7 @@ from pluvio.models.selection import retrain
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel
 from pluvio.operators import monitor as mo
 from pluvio.operators import store as st
+from pluvio.operators.tail import TailState
 from pluvio.session import materialize
 
 
@@ -51,6 +52,15 @@ def daily_flow(spark: SparkSession, features: DataFrame, model: TwoStageModel, r
     return spark.read.parquet(f"{root}/predictions").drop("month")
 
 
+def daily_flow_from_tail(spark: SparkSession, new_rows: DataFrame, tail: TailState, model: TwoStageModel, root: str,
+                         target_col: str, version: str, wet_threshold: float = 0.5) -> DataFrame:
+    """ML13 — ``daily_flow`` for the new rows only: their features come from
+    the tail state, not from the history. Series whose new rows are all
+    incomplete keep the prediction that an earlier run stored."""
+    features = tail.advance(new_rows)
+    return daily_flow(spark, features, model, root, list(tail.spec.keys), target_col, version, wet_threshold)
+
+
 def _months(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> DataFrame:
     """A stored table; if it is partitioned by month, only the partitions
     that the period needs."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.ranks import weight_below
 from pluvio.series import join_null_safe
 
 # Fixed values of the reference.
@@ -20,7 +21,6 @@ REG_RAIN_THRESHOLD = 0.5           # wet rows for the regressor and peak hits
 PEAK_THRESHOLD = 20.0              # peak days
 CLASSIFICATION_THRESHOLD = 1.0     # default of the single-stage classification view
 CLF_THRESHOLDS = [0.2, 0.3, 0.4, 0.5]
-AUC_BUCKETS = 1024                 # score buckets of the distributed AUC
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -72,28 +72,20 @@ def evaluate(df: DataFrame, y: str, p: str, keys=(), threshold: float = CLASSIFI
     return df.groupBy(*keys).agg(*regression_aggs(y, p), *classification_aggs(y, p, threshold))
 
 
-def roc_auc(df: DataFrame, label: Column, score: str, keys=(), buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_auc(df: DataFrame, label: Column, score: str, keys=()) -> DataFrame:
     """AGG8 — exact ROC AUC per group, ties counted half (Mann-Whitney), NULL
     when a group has a single class.
 
-    Plan: (1) positives/negatives per distinct (group, score) — a partial
-    aggregate; (2) negatives per score bucket and their running total across
-    buckets — a tiny table; (3) within each (group, bucket) the running count
-    of negatives below each score. No task sees more than one bucket of one
-    group, whatever the data size or skew.
+    Plan: positives/negatives per distinct (group, score) — a partial
+    aggregate; then the negatives below each score from ranges of the scores
+    that sampled splitters make (``weight_below``), so scores that crowd
+    together are split like any others.
     """
     keys = list(keys)
     s = (df.select(*keys, F.col(score).alias("_s"), label.cast("int").alias("_y"))
          .filter(F.col("_s").isNotNull() & F.col("_y").isNotNull())
-         .groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
-         .withColumn("_b", F.floor(F.col("_s") * buckets).cast("long")))
-    per_b = s.groupBy(*keys, "_b").agg(F.sum("_neg").alias("_nb"))
-    carry = per_b.select(*keys, "_b", F.coalesce(F.sum("_nb").over(
-        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_carry"))
-    below = F.coalesce(F.sum("_neg").over(
-        Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    r = join_null_safe(s, carry, keys + ["_b"]).withColumn("_below", F.col("_carry") + below)
+         .groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg")))
+    r = weight_below(s, keys, "_s", "_neg", "_below")
     tot_p, tot_n = F.sum("_pos"), F.sum("_neg")
     u = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0))
     return r.groupBy(*keys).agg(

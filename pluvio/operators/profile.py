@@ -6,6 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pluvio.operators.ranks import exact_quantiles
+from pluvio.series import join_null_safe
+from pluvio.session import materialize
+
 
 def null_audit(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """FLT7 — NULL count per column in a single aggregation pass, unpivoted to
@@ -35,16 +39,20 @@ def month_range(df: DataFrame, col: str, lo: int, hi: int) -> DataFrame:
 def describe(df: DataFrame, col: str, keys: list[str] | tuple = (), approx: bool = False,
              accuracy: int = 10000) -> DataFrame:
     """AGG3 — count/mean/std/min/quartiles/max. Exact interpolated quartiles
-    by default; ``approx=True`` uses the mergeable sketch
-    (``percentile_approx``) for very large groups."""
-    x = F.col(col)
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile_approx(x, qs, accuracy) if approx else F.percentile(x, qs)
-    out = df.groupBy(*keys).agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
-    return out.select(*keys, "n", "mean", "std", "min", F.col("_q")[0].alias("q25"),
-                      F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
+    from the ranks of the counted values (``exact_quantiles``: no buffer holds
+    a group); ``approx=True`` uses the mergeable sketch
+    (``percentile_approx``) and needs one pass only."""
+    x, keys = F.col(col), list(keys)
+    if not keys:
+        return describe(df.withColumn("_all", F.lit(1)), col, ["_all"], approx, accuracy).drop("_all")
+    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    probs = [0.25, 0.5, 0.75]
+    if approx:
+        out = df.groupBy(*keys).agg(*aggs, F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), accuracy).alias("q"))
+    else:
+        df = materialize(df.select(*keys, col))  # two passes: moments and ranks
+        out = join_null_safe(df.groupBy(*keys).agg(*aggs), exact_quantiles(df, col, probs, keys), keys, "left")
+    return out.select(*keys, "n", "mean", "std", "min", *[F.col("q")[i].alias(f"q{int(100 * p)}") for i, p in enumerate(probs)], "max")
 
 
 def class_balance(df: DataFrame, col: str, wet: float, peak: float,

@@ -16,10 +16,11 @@ from pluvio.models.stages import TwoStageEstimator
 from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_single_stage, fit_two_stage
 from pluvio.operators import splits as sp
 from pluvio.operators.store import latest_by_key
+from pluvio.operators.tail import TailState
 from pluvio.plans import bindings as b
 from pluvio.plans import q_features as qf
 from pluvio.plans.registry import present, query
-from pluvio.session import checkpoint_dir, scratch_path, tune_optimizer
+from pluvio.session import checkpoint_dir, materialize, scratch_path, tune_optimizer
 
 SMALL = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3, "random_state": 42}
 WET = b.D_DRY_THRESHOLD
@@ -198,6 +199,24 @@ def q_daily_flow(spark, sf_dir):
     return present(out.select("series", "fecha", "prob_rain", "mm_predicted", "will_rain", "model_version"))
 
 
+@query("daily_flow_tail")
+def q_daily_flow_tail(spark, sf_dir):
+    """ML13 — the daily job on the tail state: history up to 30 days before
+    the end, then the days that follow in two runs of 15."""
+    from pluvio.flows import daily_flow_from_tail
+    c = _clean(spark, sf_dir)
+    m = fit_two_stage(c, _cfg(c))
+    raw = materialize(b.daily_lineitem(spark, sf_dir).withColumnsRenamed(qf.D_API_NAMES))
+    end = raw.agg(F.max("fecha")).first()[0]
+    at = lambda back: F.date_sub(F.lit(end), back)
+    root, day = scratch_path(spark, "store"), F.col("fecha")
+    tail = TailState(spark, f"{root}/tail", qf.D_SPEC, qf.D_CFG)
+    tail.start(raw.where(day <= at(30)))
+    for lo, hi in ((30, 15), (15, 0)):
+        out = daily_flow_from_tail(spark, raw.where((day > at(lo)) & (day <= at(hi))), tail, m, root, "precip", version="v1", wet_threshold=WET)
+    return present(out.select("series", "fecha", "prob_rain", "mm_predicted", "will_rain", "model_version"))
+
+
 @query("monthly_flow")
 def q_monthly_flow(spark, sf_dir):
     """§3.2 — monthly job over a stored history: trailing-30-day evaluation of

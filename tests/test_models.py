@@ -158,6 +158,36 @@ def test_retrain_publishes_only_a_better_model(spark, fitted):
     assert 0 <= one["prob"] <= 1 and one["y_hat"] >= 0
 
 
+def test_publish_is_atomic(spark, fitted, monkeypatch):
+    """Two publishes of one minute both stay; a stop between the writes leaves
+    the old model live; an earlier one can be taken live again."""
+    from pluvio.models import registry as rg
+    c, m = fitted
+    root, other = scratch_path(spark, "test-store"), TwoStageModel(replace(m.cfg, threshold=0.9), m.clf, m.reg)
+    first = publish(spark, root, m, c, "20240101_0000").first()
+    second = publish(spark, root, other, c, "20240101_0000").first()
+    assert first["path"] != second["path"] and load_live(spark, root).cfg.threshold == 0.9
+    assert TwoStageModel.load(spark, first["path"]).cfg == m.cfg
+    third = TwoStageModel(replace(m.cfg, threshold=0.7), m.clf, m.reg)
+
+    def stopped(*a):
+        raise RuntimeError("stopped")
+    for name in ("point_to", "metadata"):
+        with monkeypatch.context() as mp:
+            mp.setattr(rg, name, stopped)
+            with pytest.raises(RuntimeError):
+                publish(spark, root, third, c, "20240102_0000")
+        assert live_metadata(spark, root).first()["threshold"] == 0.9
+    rg.point_to(spark, root, first["version"], first["content"])
+    assert load_live(spark, root).cfg == m.cfg
+    assert publish(spark, root, third, c, "20240102_0000").count() == 1 and load_live(spark, root).cfg.threshold == 0.7
+    assert live_metadata(spark, root).count() == 1
+    publish(spark, root, other, c, "20240101_0000")  # known: pointed to again, one metadata row
+    assert load_live(spark, root).cfg.threshold == 0.9 and rg.metadata(spark, root).where("threshold = 0.9").count() == 1
+    with pytest.raises(ValueError):
+        rg.point_to(spark, root, "20990101_0000", "none")
+
+
 def test_runs_are_logged_and_load_their_model(spark, fitted):
     c, m = fitted
     base = scratch_path(spark, "test-runs")

@@ -62,3 +62,19 @@ def test_incomplete_generation_is_not_read(spark, lost):
     assert tail.generations() == [0] and tail.read().count() == n
     tail.advance(spark.createDataFrame([("a", dt.date(2024, 3, 1), 0.0)], SCHEMA))
     assert tail.generations() == [0, 1] and tail.read().where("series = 'a'").agg(F.max("fecha")).first()[0] == dt.date(2024, 3, 1)
+
+
+def test_daily_flow_on_the_tail_stores_the_same_scores(spark):
+    """The last predictions equal those from the features of the whole history."""
+    from pluvio.flows import daily_flow
+    from pluvio.plans import bindings as b
+    from pluvio.plans import q_features as qf
+    from pluvio.plans import q_models as qm
+    from tests.conftest import SF001
+    got = {(r.series, r.fecha): (r.prob_rain, r.mm_predicted) for r in qm.q_daily_flow_tail(spark, SF001).collect()}
+    c = qm._clean(spark, SF001)
+    full = daily_flow(spark, qf._feature_table(spark, SF001), qm.fit_two_stage(c, qm._cfg(c)), scratch_path(spark, "store"), ["series"], "precip", "v1", qm.WET)
+    want = {(r.series, r.fecha): (r.prob_rain, r.mm_predicted) for r in full.collect()}
+    end = b.daily_lineitem(spark, SF001).agg(F.max("fecha")).first()[0]
+    late = {k: v for k, v in want.items() if k[1] > end - dt.timedelta(days=15)}
+    assert late and all(abs(got[k][0] - v[0]) < 1e-9 and abs(got[k][1] - v[1]) < 1e-9 for k, v in late.items())
