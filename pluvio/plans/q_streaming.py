@@ -99,18 +99,18 @@ def q_stream_error_window(spark, sf_dir):
        + sg.streak_sql("d", "precip", b.D_DRY_THRESHOLD, "series", "fecha") + ") s")
 def q_stream_streak(spark, sf_dir):
     """STR4 — the daily series replayed as a stream in files that mix the days
-    of a quarter; rows wait in ordered state until the watermark has passed
+    of a year; rows wait in ordered state until the watermark has passed
     them. A last row of another series, far ahead, lets it pass them all."""
     pin_utc(spark)
     target, ckpt, base = _dirs(spark, "stream-streak")
     src = f"{base}/daily"
-    d = b.daily_lineitem(spark, sf_dir).select("series", "fecha", "precip", F.trunc("fecha", "quarter").alias("part"))
-    end = d.agg(F.max("fecha").alias("m")).select(F.lit("end").alias("series"), F.date_add("m", 400).alias("fecha"), F.lit(0.0).alias("precip"),
-                                                  F.date_add("m", 400).alias("part"))
+    d = b.daily_lineitem(spark, sf_dir).select("series", "fecha", "precip", F.trunc("fecha", "year").alias("part"))
+    end = d.agg(F.max("fecha").alias("m")).select(F.lit("end").alias("series"), F.date_add("m", 900).alias("fecha"), F.lit(0.0).alias("precip"),
+                                                  F.date_add("m", 900).alias("part"))
     sj.ordered_file_drop(d.unionByName(end), src, "part", keys=["series"])
     schema = spark.read.parquet(src).schema
     with state_store(spark):
-        s = ordered_streak(sj.file_stream(spark, src, schema, max_files=24), ["series"], b.D_DRY_THRESHOLD, delay="120 days")
+        s = ordered_streak(sj.file_stream(spark, src, schema, max_files=6), ["series"], b.D_DRY_THRESHOLD, delay="400 days")
         sj._run(s.writeStream.outputMode("append").foreachBatch(
             sj.upsert_sink(target, ["series", "fecha"], [], partition_col="fecha")), ckpt)
     return sj.read_target(spark, target)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pluvio.operators import monitor as mo
 from pluvio.operators import store as st
+from pluvio.session import materialize
 
 
 def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob: str | None = None,
@@ -49,13 +50,17 @@ def upsert_sink(target: str, keys: list[str], order: list[str], partition_col: s
     decides between equal ones.
     With ``partition_col`` (a date column) the target is partitioned by its
     calendar month and each micro-batch rewrites only the months it touches,
-    not the whole table."""
+    not the whole table. The batch is checkpointed first: the upsert reads it
+    more than once, and a stateful query must not run twice for one batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
         part = None
         if partition_col:
             rows = rows.withColumn(PART, F.date_format(F.col(partition_col), "yyyy-MM"))
             part = PART
+        rows = materialize(rows)
+        if rows.isEmpty():  # an empty partitioned table has no file and so no schema
+            return
         st.upsert(batch.sparkSession, target, rows, keys, order + ["_batch"], partition_col=part)
     return write
 
