@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from pluvio.llm import op03_secret_scans as op3
@@ -160,3 +161,15 @@ def test_pipeline_stages_on_awkward_and_empty_tables(spark, awkward, empty):
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert {r.doc_id for r in cp.deduplicate(spark, docs, SF).collect()} == {1, 2, 3, 4, 5, 6, 7, 8, 9, None}
     assert cp.pack(spark, docs, SF).count() > 0
+
+
+def test_pipeline_stages_give_clashing_columns_back(spark, awkward):
+    """Columns with the names that the stages use inside come out as they went in."""
+    names = ["_score", "_blob", "_spans", "_own", "_bad", "_bad_text", "_text_key", "_TEXT_KEY_"]
+    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars").withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("doc_id"), F.lit(-1))) for n in names})
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        assert out.columns == docs.columns and (rows or name == "quality classifier"), name
+        assert all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in rows for n in names), name
+    assert cp.pack(spark, docs, SF).count() > 0
