@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pluvio.operators import monitor as mo
+from pluvio.operators import panes as pn
 from pluvio.operators import store as st
 from pluvio.plans import bindings as b
 from pluvio.plans import sqlgen as sg
@@ -61,8 +62,7 @@ mon AS (SELECT ref_date, period_start, period_end, CAST({n} AS INTEGER) AS n_day
 
 
 def _monitor(spark, sf_dir, days=30):
-    per = mo.monthly_periods(_fva(spark, sf_dir), days=days)
-    return mo.recent_performance(per, ["ref_date", "period_start", "period_end"], threshold=b.P_WET_THRESHOLD)
+    return pn.monthly_performance(_fva(spark, sf_dir), days, threshold=b.P_WET_THRESHOLD)
 
 
 @query("monitor_metrics", f"WITH {P_SQL}, {_PERIODS_SQL}, {_monitor_sql()} "
@@ -79,7 +79,7 @@ _PERIODS_90_SQL = _PERIODS_SQL.replace("INTERVAL 30 DAY", "INTERVAL 90 DAY").rep
 @query("monitor_metrics_90_days", f"WITH {P_SQL}, {_PERIODS_90_SQL}, {_monitor_sql()} "
        f"SELECT ref_date, period_start, period_end, n_days, {rnd('rmse')} AS rmse, {rnd('recall')} AS recall, n_wet FROM mon")
 def q_monitor_metrics_90_days(spark, sf_dir):
-    """WIN9 — the same over 90 days: a row belongs to three or four periods."""
+    """WIN9 — the same over 90 days, from the same daily panes."""
     return present(_monitor(spark, sf_dir, 90))
 
 

@@ -83,16 +83,16 @@ SELECT window_start, window_end, CAST(n AS INTEGER) AS n_days, {rnd('CASE WHEN n
 FROM g""")
 def q_stream_error_window(spark, sf_dir):
     """STR3 — forecast-vs-actual pairs (written by the batch join) replayed
-    as a stream; sliding 30-day windows every day, with the AGG12 guards."""
+    as a stream into daily panes; sliding 30-day windows every day are merged
+    from them, with the AGG12 guards."""
     pin_utc(spark)
     target, ckpt, base = _dirs(spark, "stream-errors")
     pairs_dir = f"{base}/pairs"
     qm._fva(spark, sf_dir).write.mode("overwrite").parquet(pairs_dir)
     schema = spark.read.parquet(pairs_dir).schema
-    s = sj.error_window_stream(sj.file_stream(spark, pairs_dir, schema), b.P_WET_THRESHOLD)
-    _ = sj._run(s.writeStream.outputMode("update").foreachBatch(
-        sj.upsert_sink(target, ["window_start"], [], partition_col="window_start")), ckpt)
-    return present(sj.finish_error_window(sj.read_target(spark, target)))
+    s = sj.error_pane_stream(sj.file_stream(spark, pairs_dir, schema), b.P_WET_THRESHOLD)
+    sj._run(s.writeStream.outputMode("update").foreachBatch(sj.upsert_sink(target, ["day"], [], partition_col="day")), ckpt)
+    return present(sj.sliding_errors(sj.read_target(spark, target)))
 
 
 @query("stream_streak", f"WITH d AS ({sg.D_SQL}) SELECT series, fecha, racha_seca FROM ("

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pluvio.operators import monitor as mo
+from pluvio.operators import panes as pn
 from pluvio.operators import store as st
 from pluvio.session import materialize
 
@@ -100,30 +100,20 @@ def run_upsert(spark: SparkSession, stream: DataFrame, keys: list[str], order: l
     return read_target(spark, target)
 
 
-def error_window_stream(pairs: DataFrame, threshold: float, days: int = 30,
-                        min_days: int = mo.MIN_DAYS_FOR_EVALUATION, min_wet: int = mo.MIN_WET_DAYS,
-                        watermark: str = "31 days") -> DataFrame:
-    """STR3 — sliding ``days``-day forecast error, one window per day."""
-    t = F.col("fecha").cast("timestamp")
-    p = pairs.withColumn("_ts", t).withWatermark("_ts", watermark)
-    both = F.col("mm_actual").isNotNull() & F.col("mm_predicted").isNotNull()
-    wet = both & (F.col("mm_actual") > threshold)
-    g = p.groupBy(F.window("_ts", f"{days} days", "1 day").alias("w")).agg(
-        F.count_if(both).alias("n_days"),
-        F.sum(F.when(both, F.pow(F.col("mm_actual") - F.col("mm_predicted"), 2))).alias("sse"),
-        F.count_if(wet).alias("n_wet"),
-        F.count_if(wet & (F.col("mm_predicted") > threshold)).alias("hits"))
-    return g.select(F.to_date(F.col("w.start")).alias("window_start"), F.to_date(F.col("w.end")).alias("window_end"),
-                    "n_days", "sse", "n_wet", "hits")
-
-
-def finish_error_window(raw: DataFrame, min_days: int = mo.MIN_DAYS_FOR_EVALUATION,
-                        min_wet: int = mo.MIN_WET_DAYS) -> DataFrame:
-    """Guards of AGG12 applied to the streamed window sums."""
-    n = F.col("n_days")
-    return raw.select("window_start", "window_end", F.col("n_days").cast("int").alias("n_days"),
-                      F.when(n >= min_days, F.sqrt(F.col("sse") / n)).alias("rmse"),
-                      F.when((n >= min_days) & (F.col("n_wet") >= min_wet), F.col("hits") / F.col("n_wet")).alias("recall"))
+def error_pane_stream(pairs: DataFrame, threshold: float, keys: list[str] | tuple = (), watermark: str = "31 days") -> DataFrame:
+    """STR3 — forecast errors summed by day as they come; one state row and
+    one output row for a series and day."""
+    p = pairs.withColumn("_ts", F.col("fecha").cast("timestamp")).withWatermark("_ts", watermark)
+    g = p.groupBy(*keys, F.window("_ts", "1 day").alias("w")).agg(*pn.error_sums(threshold))
+    return g.select(*keys, F.to_date(F.col("w.start")).alias("day"), *pn.SUMS)
+
+
+def sliding_errors(panes: DataFrame, days: int = 30, keys: list[str] | tuple = (), **guards) -> DataFrame:
+    """STR3 — the panes of a stream's target merged into sliding windows of
+    ``days`` days, one for each day, with the guards of AGG12."""
+    s = pn.sliding(panes, pn.every_day(panes, days, keys), days, keys)
+    s = s.withColumn("window_start", F.date_sub("end", days)).withColumnRenamed("end", "window_end")
+    return pn.guarded(s, *keys, "window_start", "window_end", **guards).drop("n_wet")
 
 
 STREAK_OUT = T.StructType([T.StructField("series", T.StringType()), T.StructField("fecha", T.DateType()),
