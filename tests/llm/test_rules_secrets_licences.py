@@ -156,5 +156,55 @@ def test_licence_words_do_not_crowd_each_other_out(spark):
         assert x.label in got[1000 + t].labels.split(",") and got[1000 + t].score == 1.0
 
 
+def plain_labels(text):
+    """Every template at every offset, every word compared."""
+    w = re.findall(WORD, lowered(text))
+    low = [x.lower() for x in w]
+    labels, best = set(plain_licence(text)[4].split(",")) - {""}, 0.5 if plain_licence(text)[1] else 0.0
+    for t in op4.TEMPLATES:
+        own = [(x, i) for i, x in enumerate(t.words) if x not in op4.FUNCTION_WORDS]
+        k, key_at, first = t.key_words, t.key_at, 1 - len(t.words)
+        keys = {i for i in range(len(w)) if w[i:i + len(k)] == k}
+        full = min(len(own), op4.FULL_WORDS)
+        for off in range(first, len(w)) if keys else ():
+            if any(off + key_at + d in keys for d in range(-op4.SLACK, op4.SLACK + 1)):
+                agreed = sum(0 <= off + i < len(w) and low[off + i] == x for x, i in own)
+                if agreed >= 2 and agreed >= op4.AGREE * full:
+                    labels.add(t.label)
+                    best = max(best, min(1.0, agreed / full))
+    return ",".join(sorted(labels)), round(best, 9)
+
+
+def test_licence_labels_match_every_place_tried(spark, awkward):
+    """Cut, spoiled, doubled and mixed templates against every offset."""
+    rnd = random.Random(8)
+    texts = [" ".join([op4.TEMPLATES[5].text] * 60), " ".join(["MIT License"] * 200)]
+    for _ in range(220):
+        parts = []
+        for _ in range(rnd.randrange(1, 4)):
+            w = rnd.choice(op4.TEMPLATES).text.split()
+            lo = rnd.choice([0, 0, rnd.randrange(len(w))])
+            w = w[lo:lo + rnd.choice([len(w), 30, 12])]
+            spoil = rnd.choice([0, 0, 0.1, 0.3, 0.5])
+            parts.append(" ".join(rnd.choice(["other", "software", "É", ""]) if rnd.random() < spoil else x for x in w))
+            parts.append(rnd.choice(["", "and then", "License", "\n\n"]))
+        texts.append(" ".join(parts))
+    docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    got = sorted((str(r.doc_id), r.labels, round(r.score, 9)) for r in op4.scan(docs).collect())
+    want = sorted((str(r.doc_id), *plain_labels(r.text)) for r in docs.collect())
+    assert got == want
+    assert sum("," in x[1] for x in want) > 30 and sum(0.5 < x[2] < 1 for x in want) > 20
+
+
+def test_licence_lookups_leave_out_the_frequent_words():
+    files = {w: n for n, w in enumerate(sorted({w for w, _, _ in op4.postings()}))}
+    rare, of = op4.probes(op4.TEMPLATES, files), op4.content(op4.TEMPLATES)
+    for t, words in of.items():
+        own = [(w, i) for w, u, i in rare if u == t]
+        left = [x for x in words if x not in own]
+        assert len(left) == op4.needed(len(words)) - 1  # fewer than must agree, so one that agrees is looked up
+        assert max(files[w] for w, _ in own) <= min((files[w] for w, _ in left), default=10**9)
+
+
 def test_licences_on_empty_table(empty):
     assert op4.scan(empty).count() == 0
