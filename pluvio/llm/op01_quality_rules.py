@@ -112,8 +112,9 @@ def apply_policy(ledger: DataFrame, policy: Policy, out: str = "kept", rules: tu
 
 def ablations(ledger: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per rule of the policy: documents that it fails, that it alone
-    fails, and that would be kept without it. The ledger shrinks to its
-    distinct bit patterns before anything is exploded."""
+    fails, and that would be kept without it; no rows if the ledger has none.
+    The ledger shrinks to its distinct bit patterns before anything is
+    exploded."""
     m = mask(policy, rules)
     patterns = ledger.groupBy(F.col("fail_bits").bitwiseAND(F.lit(m).cast("long")).alias("bits")).agg(F.count("*").alias("n"))
     table = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(1 << i).cast("long").alias("bit"))

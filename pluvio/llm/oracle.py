@@ -25,6 +25,16 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
 
+# the judged rows of OP1, each rule left out in turn
+ABLATIONS = rf"""
+WITH judged AS ({OP1}),
+rules AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('word_length', 4), ('symbols', 8), ('repeated_lines', 16)) AS r(rule, bit)),
+policies AS (SELECT * FROM (VALUES ('base', 3), ('full', 31)) AS p(policy, mask))
+SELECT policy, 1 AS version, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & mask = bit) AS n_only,
+  count(*) FILTER (fail_bits & (mask - bit) = 0) AS n_kept_without
+FROM judged, rules, policies WHERE bit & mask <> 0 GROUP BY policy, rule
+"""
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -100,5 +110,5 @@ SELECT doc_id, len(u) AS n, form, CASE WHEN form <> 'plain' THEN len(p) END AS p
   sha256(t) AS restored_sha256 FROM p
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op2_ngram_jaccard": OP2, "op3_secret_scans": op3(), "op6_decontamination": OP6,
+ORACLE = {"op1_quality_rules": OP1, "rule_ablations": ABLATIONS, "op2_ngram_jaccard": OP2, "op3_secret_scans": op3(), "op6_decontamination": OP6,
           "op11_fill_in_middle": OP11}

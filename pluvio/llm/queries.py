@@ -30,6 +30,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both policies' ablation tables from one ledger: what each rule rejects,
+    what it alone rejects, and what the policy would keep without it."""
+    ledger = op1.build_ledger(table(spark, sf_dir, "documents"))
+    return op1.ablations(ledger, op1.BASE).unionByName(op1.ablations(ledger, op1.FULL))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.join(table(spark, sf_dir, "documents"))
 
@@ -93,7 +100,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13.whiten(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op5_packing, op6_decontamination,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, rule_ablations, op2_ngram_jaccard, op3_secret_scans, op4_license_scans, op5_packing, op6_decontamination,
                                  op7_token_counts, op8_sharding, op9_chat_format, op10_quality_classifier, op11_fill_in_middle, op12_pii,
                                  op13_embedding_whitening)}
 

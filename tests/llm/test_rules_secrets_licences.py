@@ -51,7 +51,8 @@ def test_policies_and_ablations(spark):
 
 
 def test_rules_on_empty_table(empty):
-    assert op1.build_ledger(empty).count() == 0
+    ledger = op1.build_ledger(empty)
+    assert ledger.count() == 0 and op1.ablations(ledger, op1.FULL).count() == 0
 
 
 def plain_spans(text):
