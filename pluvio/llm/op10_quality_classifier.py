@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-Terms of a text are its style: trigrams of runs of character classes (lower,
-upper, digit, space, line break, each punctuation mark; repeated or single)
-and words that repeat the one before. A bounded sample of labelled texts
+Terms of a text are its style (trigrams of runs of character classes: lower,
+upper, digit, space, line break, each punctuation mark; repeated or single;
+and words that repeat the one before) and its words, hashed. A bounded sample of labelled texts
 gives the term-document matrix (square roots of term shares, times inverse
 document frequency); its leading singular directions are the latent space.
 The sample's vectors are broadcast; every document is projected, its cosine
@@ -10,8 +10,8 @@ with every labelled vector is computed exactly, block by block, and the
 nearest ones vote with their similarity.
 
 Null and empty texts have no terms and score 0; without labelled rows every
-text scores 0.5; repeated labels of a document are averaged; null labels and
-ids are no labels; whole texts are read; other columns are never looked at.
+text scores 0.5; repeated labels of a document are averaged, and of the texts
+that share a labelled id one is taken; null labels and ids are no labels; whole texts are read; other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.textvec import LONG, chunks, mix, pieces, word_hashes
 
-TERMS = 4096  # hashed trigrams; two more terms follow
-DIM = TERMS + 2
+TERMS = 4096  # hashed trigrams; two terms for repeats follow, then the hashed words
+WORDS = 2048
+DIM = TERMS + 2 + WORDS
+PARTS = ((slice(0, TERMS), 1.0), (slice(TERMS, TERMS + 2), 1.0), (slice(TERMS + 2, DIM), 0.5))  # normalised apart, with their weights
 _CLASS = np.zeros(256, dtype=np.int64)
 _CLASS[65:91], _CLASS[48:58], _CLASS[[9, 32]], _CLASS[[10, 13]] = 1, 2, 3, 4
 _CLASS[:9] = _CLASS[11:13] = _CLASS[14:32] = _CLASS[127] = 5
@@ -77,17 +79,18 @@ def term_counts(encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     own = np.repeat(np.arange(len(n)), n)
     follows = own[1:] == own[:-1]
     again = words[1:] == words[:-1]
-    key = np.concatenate([text * DIM + tri, (own[1:] * DIM + np.where(again, TERMS, TERMS + 1))[follows]])
+    word = TERMS + 2 + (words % np.uint64(WORDS)).astype(np.int64)
+    key = np.concatenate([text * DIM + tri, own * DIM + word, (own[1:] * DIM + np.where(again, TERMS, TERMS + 1))[follows]])
     keys, counts = np.unique(key, return_counts=True)
     return keys // DIM, keys % DIM, counts
 
 
 def matrix(text: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
-    """Rows of square roots of term shares (trigrams and word terms apart)."""
+    """Rows of square roots of term shares, each part by itself."""
     x = np.zeros((n, DIM), dtype=np.float32)
     x[text, term] = count
-    for part in (slice(0, TERMS), slice(TERMS, DIM)):
-        x[:, part] /= np.maximum(x[:, part].sum(axis=1, keepdims=True), 1)
+    for part, weight in PARTS:
+        x[:, part] /= np.maximum(x[:, part].sum(axis=1, keepdims=True), 1) / weight ** 2
     return np.sqrt(x, out=x)
 
 
@@ -134,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, cfg: Voting = Voting(), id_col: st
     # ids first (twice the bound, as some have no text), then only their texts
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * cfg.max_labelled)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text <> ''")
-    rows = texts.join(F.broadcast(picked), "doc_id")
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -102,6 +102,24 @@ def test_classifier_held_out_accuracy(spark):
     assert sum(p for p, y in test if y == 1) / sum(y for _, y in test) > 0.98
 
 
+def test_classifier_separates_by_words_alone(spark):
+    """Texts of one shape (five small letters a word), of two vocabularies."""
+    rnd = random.Random(12)
+    vocab = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(120)]
+    rows = [(i, " ".join(rnd.choice(vocab[:60] if i % 2 else vocab[40:]) for _ in range(40)) + ".") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r for r in op10.report(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")).collect() if r.held_out]
+    assert len(got) > 150 and sum(r.predicted == r.doc_id % 2 for r in got) / len(got) > 0.95
+
+
+def test_a_labelled_id_that_repeats_counts_once(spark):
+    rows = [(0, f"text number {i}") for i in range(400)] + [(i, f"other {i}") for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 as quality").distinct()
+    n = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+    assert len(op10.train(docs, labels).labels) == n and len(op10.train(docs, labels, op10.Voting(max_labelled=10)).labels) == 10
+
+
 def test_terms_of_a_long_text_come_piece_by_piece(monkeypatch):
     text = ("Some words, words | and ### more.\n" * 400).encode()
     whole = op10.matrix(*op10.term_counts([text, b"x", b""]), 3)
