@@ -18,13 +18,15 @@ empty tables give no rows (no items: no hits); other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.llm.common import any_case_words, ascii_lower, bounded_broadcast, positions, stored, text_key
 
 WIDTH = 13  # fixed value: words of a window
-IN_LIST = 20_000  # prefix tokens tested inside the row; more go straight to the join
+MAX_BITS = 1 << 22  # of the token bitmap (512 KB); 64 bits a prefix token below that
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -58,6 +60,37 @@ def with_prefix(windows: DataFrame, docs: DataFrame, id_col: str, text_col: str)
                                                  F.size("win").alias("len"), F.col("r.df").alias("df")).where("df > 0")
 
 
+def maybe_prefix(prefixes: DataFrame) -> Callable[[Column], Column]:
+    """Test of a token that is true for every prefix token and by chance for
+    others (one in a thousand at 64 bits a token). The bitmap is summed up in
+    Spark; the driver gets at most MAX_BITS / 64 numbers, whatever the number
+    of tokens, and the plan carries them as one array."""
+    known = prefixes.select("token").distinct()
+    bits = min(1 << 12, MAX_BITS)
+    n = known.count()
+    while bits < min(64 * n, MAX_BITS):
+        bits *= 2
+
+    def places(token: Column) -> list[Column]:  # two places of a token
+        h = F.xxhash64(token)
+        return [F.pmod(h, F.lit(bits)).cast("int"), F.pmod(F.shiftrightunsigned(h, 32), F.lit(bits)).cast("int")]
+
+    def word(place: Column) -> Column:
+        return F.shiftright(place, 6)
+
+    def bit(place: Column) -> Column:
+        return place.bitwiseAND(F.lit(63))
+    each = known.select(F.explode(F.array(*places(F.col("token")))).alias("p"))
+    each = each.select(word(F.col("p")).alias("word"), F.expr("shiftleft(1L, p & 63)").alias("mask"))
+    held = dict(each.groupBy("word").agg(F.bit_or("mask")).collect())
+    bitmap = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(bits // 64))), ",").cast("array<bigint>")
+
+    def test(token: Column) -> Column:
+        first, second = places(token)
+        return (F.getbit(F.get(bitmap, word(first)), bit(first)) == 1) & (F.getbit(F.get(bitmap, word(second)), bit(second)) == 1)
+    return test
+
+
 def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, start, len, items): places where a window stands
     whole, and for every document row one end row (start = number of words,
@@ -65,20 +98,17 @@ def occurrences(docs: DataFrame, prefixes: DataFrame, id_col: str = "doc_id", te
 
     A document word that is some window's prefix token carries the words
     around it that a window through it could need, so verification needs no
-    second join and no text is shuffled. Up to ``IN_LIST`` prefix tokens are
-    tested inside the row first; beyond that every word goes to the join. The
-    end row meets the empty window on the empty token, which is no word; in a
-    join that shuffles it goes round the join instead, as all documents would
-    meet on that token."""
+    second join and no text is shuffled. Words are tested inside the row
+    first (``maybe_prefix``); the few that pass by chance meet nothing in the
+    join. The end row meets the empty window on the empty token, which is no
+    word; in a join that shuffles it goes round the join instead, as all
+    documents would meet on that token."""
     spark, none = docs.sparkSession, F.array().cast(prefixes.schema["items"].dataType)
     end = spark.range(1).select(F.lit("").alias("token"), F.lit(0).alias("off"), F.lit(0).alias("len"),
                                 F.expr("cast(array() as array<string>)").alias("win"), none.alias("items"))
     near, small = bounded_broadcast(prefixes.select("token", "off", "len", "win", "items").unionByName(end))
-    listed = [r[0] for r in prefixes.select("token").distinct().limit(IN_LIST + 1).collect()]
-    if len(listed) <= IN_LIST:
-        at = F.array_compact(F.transform("w", lambda x, i: F.when(F.lower(x).isin(listed) if listed else F.lit(False), i)))
-    else:
-        at = positions(F.size("w"))
+    prefix = maybe_prefix(prefixes)
+    at = F.array_compact(F.transform("w", lambda x, i: F.when(prefix(F.lower(x)), i)))
     reach = range(-(WIDTH - 1), WIDTH)
     around = F.transform(F.col("at"), lambda i: F.struct(i.alias("pos"), F.lower(F.get("w", i)).alias("token"),
                                                          F.array(*[F.get("w", F.when(i + k >= 0, i + k)) for k in reach]).alias("ctx")))

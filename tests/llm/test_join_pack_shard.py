@@ -118,9 +118,9 @@ def brute_contamination(docs, items):
     return out
 
 
-@pytest.mark.parametrize("listed", [20_000, 1])
-def test_contamination_matches_brute_force(spark, monkeypatch, listed):
-    monkeypatch.setattr(op6, "IN_LIST", listed)  # 1: every word goes through the join
+@pytest.mark.parametrize("bits", [1 << 22, 64])
+def test_contamination_matches_brute_force(spark, monkeypatch, bits):
+    monkeypatch.setattr(op6, "MAX_BITS", bits)  # 64: most words pass the test and go through the join
     rnd = random.Random(8)
     vocab = ["a", "b", "É", "the", "Of", "x1"]
     text = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
@@ -272,6 +272,18 @@ def test_runs_reach_the_recall():
     assert cfg.miss(cfg.runs) <= 1 - cfg.recall < cfg.miss(cfg.runs - 1)
 
 
+@pytest.mark.parametrize("bits,share", [(1 << 22, 0.01), (1 << 16, 0.2)])
+def test_prefix_bitmap_passes_every_prefix_and_few_others(spark, monkeypatch, bits, share):
+    monkeypatch.setattr(op6, "MAX_BITS", bits)
+    own = spark.range(12_000).select(F.concat(F.lit("é"), F.col("id").cast("string")).alias("token"))
+    prefix = op6.maybe_prefix(own)
+    assert own.where(~prefix(F.col("token"))).count() == 0
+    others = spark.range(50_000).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("token"))
+    assert others.where(prefix(F.col("token"))).count() < share * 50_000
+    none = op6.maybe_prefix(own.limit(0))
+    assert others.where(none(F.col("token"))).count() == 0
+
+
 def test_item_ids_keep_their_type(spark):
     d = spark.createDataFrame([(1, "the quick fox"), (2, "none")], "doc_id long, text string")
     it = spark.createDataFrame([("a-1", "quick fox"), ("b/2", "Quick FOX")], "item_id string, text string")
