@@ -47,26 +47,39 @@ KINDS = (
 )
 BASE_KINDS = ("assign", "access", "hex")
 RULE_VERSION = "kinds-1"
+BLOCK = 256  # matches of one kind that are walked together
 
 
 def spans(text: Column, kind: Kind, order: int) -> Column:
     """Array of (start, ord, kind, end) of one kind, in code points.
 
     ``split`` gives the gaps between the matches that ``regexp_extract_all``
-    gives, so a match starts after the gaps and matches before it."""
+    gives, so a match starts after the gaps and matches before it. Matches go
+    in blocks: appending copies the list so far, which is a block's at most."""
     kept = F.expr("cast(array() as array<struct<start:int,ord:int,kind:string,end:int>>)")
 
     def walk(arrays: Column) -> Column:
         gaps, found, inner = arrays["gaps"], arrays["found"], arrays["inner"]
-        zero = F.struct(F.lit(0).alias("at"), kept.alias("out"))
+        n = F.size(found)
+
+        def chars(i: Column) -> Column:  # from one match's end to the next one's
+            return F.char_length(F.get(gaps, i)) + F.char_length(F.get(found, i))
+
+        def block(b: Column) -> Column:  # its matches
+            return F.sequence(b * BLOCK, F.least(n, (b + 1) * BLOCK) - 1)
 
         def step(a: Column, i: Column) -> Column:
-            start = a["at"] + F.char_length(F.get(gaps, i))
-            end = start + F.char_length(F.get(found, i))
+            end = a["at"] + chars(i)
+            start = end - F.char_length(F.get(found, i))
             one = F.array(F.struct(start.cast("int").alias("start"), F.lit(order).alias("ord"), F.lit(kind.name).alias("kind"), end.cast("int").alias("end")))
             ok = F.char_length(F.get(inner, i)) >= kind.min_chars
             return F.struct(end.cast("int").alias("at"), F.when(ok, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda a: a["out"])
+
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))
+        lengths = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda a, i: a + chars(i)))
+        starts = F.aggregate(lengths, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        return let(starts, lambda s: F.flatten(F.transform(blocks, lambda b: F.aggregate(
+            block(b), F.struct(F.get(s, b).alias("at"), kept.alias("out")), step, lambda a: a["out"]))))
 
     arrays = F.struct(F.split(text, kind.pattern, -1).alias("gaps"),
                       F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
