@@ -22,6 +22,14 @@ from pluvio.llm.common import covered, let, positions, space_words, stored, word
 
 WINDOW = 8
 SPACES = " \t\n\x0b\x0c\r"
+# Regular expressions of the further measurements, for words and lines.
+LETTER = r"[A-Za-z]|[^\x00-\x7F]"
+TWO_CAPITALS, NOT_CAPITAL = "[A-Z].*[A-Z]", r"[a-z]|[^\x00-\x7F]"
+BULLET = r"\A[\x20\x09-\x0D]*[-*•]"
+ELLIPSIS = r"(\.\.\.|…)[\x20\x09-\x0D]*\z"
+LINE_END = r"""[.!?"'”’。！？][\x20\x09-\x0D]*\z"""
+PLACEHOLDER = "[Ll][Oo][Rr][Ee][Mm] [Ii][Pp][Ss][Uu][Mm]"
+SHORT_LINE = 30  # characters
 
 
 @dataclass(frozen=True)
@@ -44,9 +52,21 @@ RULES = (
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule("symbols", "10 * n_symbols > 5 * n_words"),
     Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
+    Rule("letter_words", "100 * n_letter_words < 50 * n_words"),
+    Rule("bullet_lines", "100 * n_bullet_lines > 90 * n_lines"),
+    Rule("ellipsis_lines", "100 * n_ellipsis_lines > 30 * n_lines"),
+    Rule("repeated_line_chars", "100 * dup_line_chars > 30 * line_chars"),
+    Rule("placeholder", "n_placeholders > 0"),
+    Rule("braces", "10 * n_braces > n_words"),
+    Rule("capitals", "100 * n_capital_words > 50 * n_words"),
+    Rule("line_ends", "100 * n_ended_lines < 12 * n_lines"),
+    Rule("short_lines", "100 * n_short_lines > 67 * n_lines"),
 )
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
-FULL = Policy("full", 1, tuple(r.name for r in RULES))
+FULL_1 = Policy("full", 1, ("few_words", "repeated_windows", "word_length", "symbols", "repeated_lines"))
+# the two rules on how lines end and how long they are suit prose only
+FULL = Policy("full", 2, (*FULL_1.rules, "letter_words", "bullet_lines", "ellipsis_lines", "repeated_line_chars", "placeholder", "braces", "capitals"))
+PROSE = Policy("prose", 1, tuple(r.name for r in RULES))
 
 
 def mask(policy: Policy, rules: tuple[Rule, ...] = RULES) -> int:
@@ -54,6 +74,24 @@ def mask(policy: Policy, rules: tuple[Rule, ...] = RULES) -> int:
     return sum(bits[n] for n in set(policy.rules))
 
 
+FURTHER = ("n_letter_words", "n_capital_words", "n_bullet_lines", "n_ellipsis_lines", "n_ended_lines", "n_short_lines", "line_chars", "dup_line_chars",
+           "n_braces", "n_placeholders")
+
+
+def further(text: Column, words: Column, lines: Column) -> dict[str, Column]:
+    """Measurements of the rules on letters, kinds of lines and markers."""
+    def number(of: Column, pattern: str) -> Column:
+        return F.size(F.filter(of, lambda x: x.rlike(pattern)))
+
+    def chars(of: Column) -> Column:
+        return F.char_length(F.array_join(of, ""))
+    capitals = F.size(F.filter(words, lambda x: x.rlike(TWO_CAPITALS) & ~x.rlike(NOT_CAPITAL)))
+    return dict(zip(FURTHER, (
+        number(words, LETTER), capitals, number(lines, BULLET), number(lines, ELLIPSIS), number(lines, LINE_END),
+        F.size(F.filter(lines, lambda x: F.char_length(x) <= SHORT_LINE)), chars(lines), chars(lines) - chars(F.array_distinct(lines)),
+        F.regexp_count(text, F.lit("[{}]")), F.regexp_count(text, F.lit(PLACEHOLDER)))))
+
+
 def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the counts that the rules look at.
 
@@ -76,6 +114,7 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.regexp_count("text", F.lit("[#*$%&|<>]")).alias("n_symbols"),
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
+        *[x.cast("long").alias(name) for name, x in further(F.col("text"), F.col("words"), F.col("lines")).items()],
         pairs(pairs(F.col("words"), 1), 2).alias("fours"))
     # a window of eight can only repeat where one of four does
     d = d.withColumn("hashes", F.when(F.size(F.array_distinct("fours")) < F.size("fours"), pairs(F.col("fours"), 4))).drop("fours")
@@ -93,7 +132,7 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat = F.when(F.col("sorted").isNull(), 0).otherwise(covered(starts, WINDOW))
     return d.select("doc_id", F.col("n").cast("long").alias("n_words"), F.col("word_chars").cast("long").alias("word_chars"),
                     F.col("n_symbols").cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
-                    repeat.cast("long").alias("n_repeat_words"), F.col("n_lines").cast("long").alias("n_lines"))
+                    repeat.cast("long").alias("n_repeat_words"), F.col("n_lines").cast("long").alias("n_lines"), *FURTHER)
 
 
 def build_ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,25 +14,38 @@ m AS (
   SELECT d.doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
-    CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+    CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS letter_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Z].*[A-Z]') AND NOT regexp_matches(x, '[a-z]|[^\x00-\x7F]'))) AS capital_words,
+    len(regexp_extract_all(t, '[{}]')) AS braces, regexp_matches(t, '[Ll][Oo][Rr][Ee][Mm] [Ii][Pp][Ss][Uu][Mm]') AS placeholder
   FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id),
 k AS (
   SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words,
     n_words < 20 AS r0, 100 * n_repeat_words > 30 * n_words AS r1, word_chars < 2 * n_words OR word_chars > 20 * n_words AS r2,
-    10 * n_symbols > 5 * n_words AS r3, 100 * (len(lines) - len(list_distinct(lines))) > 50 * len(lines) AS r4 FROM m),
+    10 * n_symbols > 5 * n_words AS r3, 100 * (len(lines) - len(list_distinct(lines))) > 50 * len(lines) AS r4,
+    100 * letter_words < 50 * n_words AS r5,
+    100 * len(list_filter(lines, lambda x: regexp_matches(x, '\A[\x20\x09-\x0D]*[-*•]'))) > 90 * len(lines) AS r6,
+    100 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) > 30 * len(lines) AS r7,
+    100 * (len(array_to_string(lines, '')) - len(array_to_string(list_distinct(lines), ''))) > 30 * len(array_to_string(lines, '')) AS r8,
+    placeholder AS r9, 10 * braces > n_words AS r10, 100 * capital_words > 50 * n_words AS r11,
+    100 * len(list_filter(lines, lambda x: regexp_matches(x, '[.!?"''”’。！？][\x20\x09-\x0D]*\z'))) < 12 * len(lines) AS r12,
+    100 * len(list_filter(lines, lambda x: len(x) <= 30)) > 67 * len(lines) AS r13 FROM m),
 b AS (
-  SELECT *, CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT AS BIGINT) AS fail_bits FROM k)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
+  SELECT *, CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT + 64 * r6::INT + 128 * r7::INT + 256 * r8::INT
+    + 512 * r9::INT + 1024 * r10::INT + 2048 * r11::INT + 4096 * r12::INT + 8192 * r13::INT AS BIGINT) AS fail_bits FROM k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed, fail_bits & 4095 = 0 AS kept, fail_bits FROM b
 """
 
 # the judged rows of OP1, each rule left out in turn
 ABLATIONS = rf"""
 WITH judged AS ({OP1}),
-rules AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('word_length', 4), ('symbols', 8), ('repeated_lines', 16)) AS r(rule, bit)),
-policies AS (SELECT * FROM (VALUES ('base', 3), ('full', 31)) AS p(policy, mask))
-SELECT policy, 1 AS version, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & mask = bit) AS n_only,
+rules AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('word_length', 4), ('symbols', 8), ('repeated_lines', 16),
+  ('letter_words', 32), ('bullet_lines', 64), ('ellipsis_lines', 128), ('repeated_line_chars', 256), ('placeholder', 512), ('braces', 1024), ('capitals', 2048),
+  ('line_ends', 4096), ('short_lines', 8192)) AS r(rule, bit)),
+policies AS (SELECT * FROM (VALUES ('base', 1, 3), ('full', 1, 31), ('full', 2, 4095), ('prose', 1, 16383)) AS p(policy, version, mask))
+SELECT policy, version, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & mask = bit) AS n_only,
   count(*) FILTER (fail_bits & (mask - bit) = 0) AS n_kept_without
-FROM judged, rules, policies WHERE bit & mask <> 0 GROUP BY policy, rule
+FROM judged, rules, policies WHERE bit & mask <> 0 GROUP BY policy, version, rule
 """
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

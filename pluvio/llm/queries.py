@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +33,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both policies' ablation tables from one ledger: what each rule rejects,
+    """The ablation tables of all policies from one ledger: what each rule rejects,
     what it alone rejects, and what the policy would keep without it."""
     ledger = op1.build_ledger(table(spark, sf_dir, "documents"))
-    return op1.ablations(ledger, op1.BASE).unionByName(op1.ablations(ledger, op1.FULL))
+    tables = [op1.ablations(ledger, p) for p in (op1.BASE, op1.FULL_1, op1.FULL, op1.PROSE)]
+    return reduce(DataFrame.unionByName, tables)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

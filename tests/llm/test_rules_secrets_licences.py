@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from pluvio.llm import op01_quality_rules as op1
@@ -38,12 +39,48 @@ def test_rules_match_plain_count(spark, awkward):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def further_counts(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    ends = [x.rstrip(" \t\x0b\x0c\r") for x in lines]
+    chars = sum(map(len, lines))
+    return (sum(any(c.isascii() and c.isalpha() or not c.isascii() for c in x) for x in w),
+            sum(x.isascii() and sum("A" <= c <= "Z" for c in x) > 1 and not any("a" <= c <= "z" for c in x) for x in w),
+            sum(x.lstrip(" \t\x0b\x0c\r")[0] in "-*•" for x in lines), sum(x.endswith(("...", "…")) for x in ends),
+            sum(x[-1] in ".!?\"'”’。！？" for x in ends), sum(len(x) <= 30 for x in lines), chars, chars - sum(map(len, set(lines))),
+            t.count("{") + t.count("}"), len(re.findall("lorem ipsum", t, re.I | re.A)))
+
+
+def test_further_measurements_match_plain_count(spark, awkward):
+    rnd = random.Random(6)
+    bits = ["a ", "AB ", "A1B", "Ab", "\n", "\n", "- ", "* ", "• ", "...", "…", ".", "!", "\" ", "”\r", "{", "} ", "Lorem Ipsum ", "É", "日本 ", "12 ", "\x0b", "\u2028", "\x85"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(60))) for _ in range(200)] + ["same line.\nsame line.\nother line which is longer than thirty..."]
+    docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    got = op1.measurements(docs).select(*op1.FURTHER).collect()
+    assert sorted(map(tuple, got)) == sorted(further_counts(r.text) for r in docs.collect())
+
+
+def test_each_rule_fails_its_own_text(spark):
+    """One plain text that passes every rule, and one text for each further
+    rule that fails it."""
+    prose = "\n".join(f"This is line number{i} of a plain text, and it tells w{i} something new." for i in range(8))
+    texts = {"none": prose, "letter_words": prose + " 1" * 200, "bullet_lines": prose.replace("This", "- This"),
+             "ellipsis_lines": prose.replace(".", "..."), "repeated_line_chars": prose + ("\n" + "x" * 15) * 60, "placeholder": prose + "\nLorem ipsum.",
+             "braces": prose.replace("it", "{it}"), "capitals": prose.upper(), "line_ends": prose.replace(".", ","), "short_lines": prose.replace(" ", ".\n")}
+    ledger = op1.build_ledger(spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string"))
+    bits = {r.doc_id: r.fail_bits for r in ledger.collect()}
+    assert bits[0] == 0
+    place = {r.name: i for i, r in enumerate(op1.RULES)}
+    assert all(bits[i] >> place[name] & 1 for i, name in enumerate(texts) if name != "none")
+
+
 def test_policies_and_ablations(spark):
     docs = spark.createDataFrame([(1, "short"), (2, "word " * 40), (3, " ".join(f"w{i}" for i in range(40))), (4, "# " * 9)], "doc_id long, text string")
     ledger = op1.build_ledger(docs)
     kept = {r.doc_id: (r.kept, r.base) for r in op1.apply_policy(op1.apply_policy(ledger, op1.FULL), op1.BASE, "base").collect()}
     assert kept == {1: (False, False), 2: (False, False), 3: (True, True), 4: (False, False)}
-    ab = {r.rule: (r.n_failed, r.n_only, r.n_kept_without) for r in op1.ablations(ledger, op1.FULL).collect()}
+    ab = {r.rule: (r.n_failed, r.n_only, r.n_kept_without) for r in op1.ablations(ledger, op1.PROSE).collect()}
     bits = {r.doc_id: r.fail_bits for r in ledger.collect()}
     for i, rule in enumerate(op1.RULES):
         assert ab[rule.name] == (sum(b >> i & 1 for b in bits.values()), sum(b == 1 << i for b in bits.values()),
@@ -79,6 +116,15 @@ def test_spans_match_plain_scan(spark, awkward):
     assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_spans_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(op3, "BLOCK", block)
+    texts = ["é " + "0123456789abcdef é short=abc token=abcdefghijk%d, " % n * n for n in (0, 1, 2, 3, 4, 6, 7, 300)]
+    docs = op3.addressed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.blob: [tuple(s) for s in r.spans] for r in op3.scan(docs.select("blob", "text")).collect()}
+    assert all(got[r.blob] == plain_spans(r.text) for r in docs.collect())
+
+
 def test_ledger_scans_only_unseen_blobs(spark):
     """Scans in a row with default arguments: every batch stays."""
     ledger = op3.BlobLedger(spark, scratch_path(spark, "ledger"))
