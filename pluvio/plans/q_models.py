@@ -142,7 +142,7 @@ def q_two_stage_cross_validator(spark, sf_dir):
     grid = ParamGridBuilder().addGrid(est.threshold, [0.3, 0.5, 0.7]).build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=rmse, numFolds=3, seed=42, parallelism=3).fit(c)
     best = cv.bestModel.getOrDefault("threshold")
-    return spark.createDataFrame([(m[est.threshold], r, m[est.threshold] == best) for m, r in zip(grid, cv.avgMetrics)],
+    return spark.createDataFrame([(m[est.threshold], float(r), m[est.threshold] == best) for m, r in zip(grid, cv.avgMetrics)],
                                  "threshold double, rmse double, chosen boolean")
 
 

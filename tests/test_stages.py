@@ -83,3 +83,10 @@ def test_single_stage(spark, clean):
     assert min(want) >= 0 and all(values(m.transform(c)) == want for m in (again, stage, loaded))
     one = plain.predict_one(spark, row)
     assert one == again.predict_one(spark, row) == loaded.predict_one(spark, row) and one["y_hat"] in want
+
+
+def test_cross_validator_query_gives_its_rows(spark):
+    """The metrics come as numpy numbers, which a row of doubles does not take."""
+    rows = qm.q_two_stage_cross_validator(spark, SF001).collect()
+    assert [r.threshold for r in rows] == [0.3, 0.5, 0.7] and sum(r.chosen for r in rows) == 1
+    assert [r.rmse for r in rows if r.chosen] == [min(r.rmse for r in rows)]
