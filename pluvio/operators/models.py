@@ -53,14 +53,15 @@ def importance_share(imp: DataFrame, top_n: int | None = None, feature: str = "f
                      importance: str = "importance") -> DataFrame:
     """AGG17/ORD5 — importance as % of all features (2 dp) and, for the
     ``top_n`` most important, as % of the top-n total. Totals are scalar
-    subqueries (no cross join, no single-partition window)."""
+    subqueries (no cross join, no single-partition window). A model without a
+    split has no importance at all: its shares are NULL."""
     total = imp.select(F.sum(importance)).scalar()
-    out = imp.withColumn("importance_pct", F.round(F.col(importance) * 100 / total, 2))
+    out = imp.withColumn("importance_pct", F.round(F.try_divide(F.col(importance) * 100, total), 2))
     if top_n:
         top = imp.orderBy(F.col(importance).desc(), F.col(feature)).limit(top_n)
         top_total = top.select(F.sum(importance)).scalar()
         flag = top.select(feature, F.lit(True).alias("_top"))
         out = (out.join(flag, feature, "left")
-               .withColumn("top_pct", F.when(F.col("_top"), F.col(importance) * 100 / top_total))
+               .withColumn("top_pct", F.when(F.col("_top"), F.try_divide(F.col(importance) * 100, top_total)))
                .drop("_top"))
     return out

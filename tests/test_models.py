@@ -243,3 +243,18 @@ def test_grid_and_cv_queries_take_every_entry_and_five_folds(spark, fitted, monk
     for q in (qm.q_clf_grid, qm.q_reg_grid, qm.q_cv_single_stage, qm.q_cv_two_stage):
         q(spark, SF001)
     assert seen == [("clf", grids.CLASSIFIERS), ("reg", grids.REGRESSORS)] and folds == [5] * 4
+
+
+def test_importance_of_a_model_without_splits(spark, fitted):
+    """All rows wet: one class, so no tree splits and no feature has a share."""
+    from pluvio.models.registry import importance_table, write_importance_csv
+    c, m = fitted
+    wet = c.withColumn(m.cfg.label, F.col(m.cfg.label) + 1000.0)
+    table = importance_table(spark, fit_two_stage(wet, m.cfg), top_n=10)
+    rows = table.collect()
+    assert len(rows) == len(m.cfg.features) and all(r.importance == 0.0 and r.importance_pct is None and r.top_pct is None for r in rows)
+    path = scratch_path(spark, "importance")
+    write_importance_csv(table, path)
+    assert spark.read.option("header", True).csv(path).count() == min(30, len(rows))
+    shares = importance_table(spark, m, top_n=3).agg(F.sum("importance_pct"), F.sum("top_pct")).first()
+    assert abs(shares[0] - 100) < 0.5 and abs(shares[1] - 100) < 1e-9
