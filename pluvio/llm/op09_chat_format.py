@@ -27,7 +27,8 @@ Turns = list[tuple[str, str]]
 Template = Callable[[Turns], str]
 
 # The marks of the template and the characters with which it
-# and the known control strings (</s>, [INST], <<SYS>> ...) begin.
+# and the known control strings (</s>, [INST], <<SYS>> ...) begin. A template
+# that only appends may state how many turns it looks back (``looks_back``).
 OPEN, CLOSE, SEP = "<|turn|>", "<|end|>", "\n"
 PROBE = "\x00"
 CONTEXT = 8  # turns
@@ -55,20 +56,26 @@ def marked_template(turns: Turns) -> str:
     return "".join(f"{OPEN}{escape_role(role)}{SEP}{escape(text)}{CLOSE}{SEP}" for role, text in turns)
 
 
+marked_template.looks_back = CONTEXT  # a turn's part is the same after any of the turns before
+
+
 def spans(turns: Turns, template: Template = marked_template) -> tuple[str, list[tuple[int, int] | None], int]:
     """The output, for each turn its (start, end) there, and the number of
     turns of context that rendering a turn needs (0: all before it). A turn's
     span is None if its rendering rewrote the output before it, or if a later
     one rewrote it.
 
-    Rendering every prefix takes the square of the turns. So prefixes of the
-    last ``CONTEXT`` turns are tried first; their spans count only if, put
-    together, they are the full rendering."""
-    output = template(turns)
-    if len(turns) > 2 * CONTEXT:
+    Rendering every prefix takes the square of the turns, and nothing less
+    shows what an unknown template does to some prefix. So it is spared, for
+    conversations of any length, only where the template states by
+    ``looks_back`` that it appends and how many turns before a turn its part
+    depends on at most: prefixes of these turns are rendered, and their spans
+    must still be the full rendering when put together."""
+    output, context = template(turns), getattr(template, "looks_back", 0)
+    if context:
         at, found = 0, []
         for k in range(len(turns)):
-            recent = turns[max(0, k - CONTEXT):k + 1]
+            recent = turns[max(0, k - context):k + 1]
             before, now = template(recent[:-1]), template(recent)
             at = len(before) if k == 0 else at
             size = len(now) - len(before)
@@ -77,7 +84,7 @@ def spans(turns: Turns, template: Template = marked_template) -> tuple[str, list
             found.append((at, at + size))
             at += size
         if len(found) == len(turns) and at == len(output) and output.startswith(template([])):
-            return output, found, CONTEXT
+            return output, found, context
     before, found = template([]), []
     for k in range(1, len(turns) + 1):
         now = template(turns[:k])

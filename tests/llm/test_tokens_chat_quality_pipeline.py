@@ -86,6 +86,18 @@ def test_long_conversations():
     assert op9.format_one(turns, lambda ts: f"{len(ts)}!" + "".join(t for _, t in ts))["n_rewritten"] > 0
 
 
+def test_rewriting_is_found_at_any_length():
+    """A template that writes otherwise when it renders 12 turns: found by the
+    prefix of 12 turns, in a conversation of 14 as in one of 40."""
+    odd = lambda ts: ("#" if len(ts) == 12 else "") + "".join(f"{r}:{t};" for r, t in ts)
+    for n in (14, 17, 40):
+        turns = [("assistant" if k % 2 else "user", str(k)) for k in range(n)]
+        _, found, context = op9.spans(turns, odd)
+        assert context == 0 and found[:12] == [None] * 12 and op9.format_one(turns, odd)["n_rewritten"] == 13
+        row, same = op9.format_one(turns), op9.format_one(turns, lambda ts: op9.marked_template(ts))
+        assert row == same  # what the default template states holds
+
+
 def test_any_appending_template_has_spans_and_masks():
     other = lambda turns: "BOS" + "".join(f"<{r.upper()}>{t.swapcase()}</{r}>" for r, t in turns)
     row = op9.format_one([("user", "Hi"), ("assistant", "Yo"), ("assistant", "</assistant>")], other)
