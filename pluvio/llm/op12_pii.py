@@ -1,11 +1,7 @@
 """Personal data by patterns and a character-level BiLSTM-CRF.
 
-One pass over the texts gives every document its pattern spans (e-mail and IP
-addresses, card and phone numbers) and its regions: the stretches around
-digits and @ signs that a tagger has to read. A span of any of these kinds
-holds a digit or an @, which the tagger's spans must too, so a window without
-either could give none; all other text stays out of the shuffle-free second
-pass, and nothing is skipped that could hold a span.
+Every whole text gives its pattern spans (e-mail and IP addresses, card and
+phone numbers) and the spans of a tagger that reads it in windows.
 
 The tagger (``crf_tagger``) is trained in numpy from labelled spans: those of
 the patterns in at most ``max_train`` documents chosen by hash, each also with
@@ -13,7 +9,13 @@ its span rewritten in a way the patterns do not know (no plus, other
 separators, "(at)") and with look-alikes that are no personal data (dates,
 versions, prices, hashes). Labelled spans of one's own can be given instead.
 
-Regions are decoded in windows of ``width`` characters that overlap by half.
+Texts are decoded in windows of ``width`` characters that overlap by half. The
+result is that of all windows of the text, though most need not be decoded: a
+span that is kept is ``valid``, so it holds a digit, an @, "(at)" or "[at]",
+and only spans that overlap or touch it, or one another in a chain to it, have
+a say in whether and where it stays. So the windows with such a mark are
+decoded, then, as long as there are some, those at a span that was found.
+
 The windows of a document are reconciled together: a span that a window's
 edge cuts gives way to the whole one of the next window, pieces that no window
 sees whole are joined, equal spans count once with their best marginal, and
@@ -64,6 +66,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGNAL = re.compile("[0-9@]")
+_MARK = re.compile(r"[0-9@]|\(at\)|\[at\]")  # ``valid`` takes no text without one
 
 
 def luhn(digits: str) -> bool:
@@ -110,7 +113,7 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
 
 def regions_of(text: str, width: int) -> list[tuple[int, str]]:
     """(start, text) of the joined windows, placed at multiples of half a
-    window, that hold a digit or an @."""
+    window, that hold a digit or an @: pieces to train on."""
     half, at = width // 2, np.array([m.start() for m in _SIGNAL.finditer(text)], dtype=np.int64)
     if not len(at):
         return []
@@ -127,7 +130,7 @@ _REGIONS = "array<struct<start:int,text:string>>"
 
 
 def prepared(docs: DataFrame, cfg: Pii, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_key, length, base, regions) of every row."""
+    """(doc_id, hash, base, regions) of every row, to choose training pieces."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -145,12 +148,11 @@ def prepared(docs: DataFrame, cfg: Pii, id_col: str, text_col: str) -> DataFrame
                     regions.append([])
                 if size > 8 << 20 or i == len(texts) - 1:
                     part = b.iloc[first:i + 1]
-                    yield pd.DataFrame({"doc_id": part["doc_id"], "hash": part["hash"], "length": [len(x) if isinstance(x, str) else 0 for x in part["text"]],
-                                        "base": base, "regions": regions})
+                    yield pd.DataFrame({"doc_id": part["doc_id"], "hash": part["hash"], "base": base, "regions": regions})
                     base, regions, size, first = [], [], 0, i + 1
         trim()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("hash"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, f"doc_id {kind}, hash long, length int, base {_SPANS}, regions {_REGIONS}")
+    return rows.mapInPandas(run, f"doc_id {kind}, hash long, base {_SPANS}, regions {_REGIONS}")
 
 
 # --- training -----------------------------------------------------------------
@@ -348,37 +350,36 @@ def valid(kind: int, s: str) -> bool:
     return 9 <= len(d) <= 15
 
 
+def marked_cells(regions: list[tuple[int, str]], half: int) -> set[int]:
+    """Numbers of the half windows with a character of a mark."""
+    return {c for lo, text in regions for m in _MARK.finditer(text) for c in range((lo + m.start()) // half, (lo + m.end() - 1) // half + 1)}
+
+
 def tagged(tagger: Tagger, regions: list[list[tuple[int, str]]], lengths: list[int], cfg: Pii) -> list[list[tuple[int, int, int, float]]]:
-    """Reconciled spans of each document from its regions."""
-    half, places, codes = cfg.width // 2, [], []
+    """Reconciled spans of each document from its regions (the whole text is
+    one region): of the windows that hold a mark, and of those that a found
+    span overlaps or touches. Window w has the half windows w and w + 1."""
+    half = cfg.width // 2
+    there = [[(lo // half, lo // half + max(-(-len(t) // half) - 2, 0)) for lo, t in mine] for mine in regions]
+    around = lambda doc, cells: {w for c in cells for w in (c - 1, c) if any(a <= w <= b for a, b in there[doc])}
     found: list[list] = [[] for _ in regions]
-
-    def flush() -> None:
-        if codes:
-            paths, probs = tagger.decode(np.array(codes))
-            for (doc, at, n), path, prob in zip(places, paths, probs):
-                for k, s, e, p in window_spans(path, prob, n):
-                    cut = (s == 0 and at > 0) or (e == n and at + n < lengths[doc])
-                    found[doc].append((k, at + s, at + e, p, cut))
-        places.clear()
-        codes.clear()
-    for doc, mine in enumerate(regions):
-        for start, text in mine:
-            for lo in range(0, max(len(text) - half, 1), half):
-                part = text[lo:lo + cfg.width]
-                if _SIGNAL.search(part):
-                    places.append((doc, start + lo, len(part)))
-                    codes.append(codes_of(part, cfg.width))
-                    if len(codes) == cfg.windows_at_once:
-                        flush()
-    flush()
+    done: list[set[int]] = [set() for _ in regions]
+    todo = [around(doc, marked_cells(mine, half)) for doc, mine in enumerate(regions)]
+    while any(todo):
+        places = [(doc, w * half) for doc, mine in enumerate(todo) for w in sorted(mine)]
+        done = [d | t for d, t in zip(done, todo)]
+        todo = [set() for _ in regions]
+        for at in range(0, len(places), cfg.windows_at_once):
+            some = [(doc, lo, next(t[lo - a:lo - a + cfg.width] for a, t in regions[doc] if a <= lo < a + len(t))) for doc, lo in places[at:at + cfg.windows_at_once]]
+            paths, probs = tagger.decode(np.array([codes_of(part, cfg.width) for _, _, part in some]))
+            for (doc, lo, part), path, prob in zip(some, paths, probs):
+                for k, s, e, p in window_spans(path, prob, len(part)):
+                    cut = (s == 0 and lo > 0) or (e == len(part) and lo + len(part) < lengths[doc])
+                    found[doc].append((k, lo + s, lo + e, p, cut))
+                    todo[doc] |= around(doc, range((lo + s - 1) // half, (lo + e) // half + 1)) - done[doc]
     return [reconciled(f, cfg.least) for f in found]
 
 
-def text_of(regions: list[tuple[int, str]], s: int, e: int) -> str:
-    return next((t[s - lo:e - lo] for lo, t in regions if lo <= s and e <= lo + len(t)), "")
-
-
 def narrowed(text: str, s: int, e: int) -> tuple[int, int]:
     """Without blanks and closing punctuation at the ends."""
     while s < e and text[0] in " \n\t,;:":
@@ -392,28 +393,45 @@ def find(docs: DataFrame, cfg: Pii = Pii(), tagger: Tagger | None = None, id_col
     """(doc_id, base, more): pattern spans by kind, then start, and the spans
     that the tagger adds. Without a ``tagger`` one is trained from the
     patterns' own spans."""
-    ready = stored(prepared(docs, cfg, id_col, text_col), "pii-regions")
-    tagger = tagger or fit(pieces_of(ready, cfg), cfg)
-    if tagger is None:
-        return ready.select("doc_id", "base", F.expr(f"cast(array() as {_SPANS})").alias("more"))
+    tagger = tagger or fit(pieces_of(stored(prepared(docs, cfg, id_col, text_col), "pii-regions"), cfg), cfg)
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
 
     def run(batches):
         for b in batches:
-            regions = [[(int(r["start"]), r["text"]) for r in rs] for rs in b["regions"]]
-            more = []
-            for mine, spans, base in zip(regions, tagged(shared.value, regions, b["length"].tolist(), cfg), b["base"]):
-                taken, kept = [(s["start"], s["end"]) for s in base], []
-                for k, s, e, _ in spans:
-                    s, e = narrowed(text_of(mine, s, e), s, e)
-                    text, beside = text_of(mine, s, e), text_of(mine, s - 1, s) + text_of(mine, e, e + 1)
-                    whole = not any(c.isalnum() for c in beside)
-                    if whole and _SIGNAL.search(text) and valid(k, text) and not any(s < y and x < e for x, y in taken):
-                        kept.append({"kind": k, "start": s, "end": e})
-                more.append(kept)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "base": b["base"], "more": more})
+            texts = [t if isinstance(t, str) else "" for t in b["text"]]
+            for lo, hi in pieces_by_size(texts):
+                base = [pattern_spans(t) if _SIGNAL.search(t) else [] for t in texts[lo:hi]]
+                spans = tagged(shared.value, [[(0, t)] for t in texts[lo:hi]], [len(t) for t in texts[lo:hi]], cfg) if shared.value else [[]] * (hi - lo)
+                more = [kept_spans(*x) for x in zip(texts[lo:hi], spans, base)]
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[lo:hi], "base": [_named(x) for x in base], "more": [_named(x) for x in more]})
         trim()
-    return ready.select("doc_id", "length", "base", "regions").mapInPandas(run, f"doc_id {ready.schema['doc_id'].dataType.simpleString()}, base {_SPANS}, more {_SPANS}")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, base {_SPANS}, more {_SPANS}")
+
+
+def pieces_by_size(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Rows of a batch in pieces of about 8 million characters."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > 8 << 20 or i == len(texts) - 1:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+
+
+def kept_spans(text: str, spans: list[tuple[int, int, int, float]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Tagged spans that are a value of their kind, stand alone and touch no pattern span."""
+    kept = []
+    for k, s, e, _ in spans:
+        s, e = narrowed(text[s:e], s, e)
+        beside = text[max(s - 1, 0):s] + text[e:e + 1]
+        if not any(c.isalnum() for c in beside) and valid(k, text[s:e]) and not any(s < y and x < e for _, x, y in base):
+            kept.append((k, s, e))
+    return kept
+
+
+def _named(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"kind": k, "start": s, "end": e} for k, s, e in spans]
 
 
 def joined(spans: Column) -> Column:

@@ -185,6 +185,37 @@ def test_private_data_in_documents(spark, labelled, trained, awkward):
     assert sum(len(r.more) for r in rows if r.doc_id in clean) <= 0.05 * max(len(clean), 20)
 
 
+def all_windows(tagger, text, cfg):
+    """Kept spans from every window of the text."""
+    half, found = cfg.width // 2, []
+    for lo in range(0, max(len(text) - half, 1), half):
+        part = text[lo:lo + cfg.width]
+        paths, probs = tagger.decode(np.array([ct.codes_of(part, cfg.width)]))
+        found += [(k, lo + s, lo + e, p, (s == 0 and lo > 0) or (e == len(part) and lo + len(part) < len(text)))
+                  for k, s, e, p in op12.window_spans(paths[0], probs[0], len(part))]
+    return op12.kept_spans(text, op12.reconciled(found, cfg.least), op12.pattern_spans(text))
+
+
+def test_tagged_spans_are_those_of_all_windows(spark, labelled, trained):
+    """Addresses without a digit or an @, and spans of several windows; a
+    second tagger marks long stretches, so that spans reach far from a mark."""
+    rnd, cfg, words = random.Random(5), op12.Pii(), "please write to the office about our next meeting in march and bring notes".split()
+    said = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    name = lambda n: "".join(rnd.choice("abcdefghijklmnoprstuvw") for _ in range(n))
+    texts = [f"{said(rnd.randrange(60))} {name(5)}{rnd.choice(['(at)', ' (at) ', '[at]'])}mail.example.com {said(rnd.randrange(60))}" for _ in range(60)]
+    assert not any(re.search("[0-9@]", t) for t in texts)
+    rows = op12.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tagger=trained).collect()
+    more = {r.doc_id: [(s.kind, s.start, s.end) for s in r.more] for r in rows}
+    assert sum(any(k == 0 and "at" in texts[i][s:e] for k, s, e in more[i]) for i in more) > 0  # an address as such, without any before
+    texts += [f"{said(30)} {name(n)} @ {name(n)}.com {said(30)}" for n in (20, 70, 130, 200)] + [r.text[:3000] for r in labelled[1][:40]]
+    wide = ct.fresh(ct.TaggerConfig())
+    wide.w["step"][1:, 0] -= 6
+    for tagger in (trained, wide):
+        got = op12.tagged(tagger, [[(0, t)] for t in texts], [len(t) for t in texts], cfg)
+        for t, spans in zip(texts, got):
+            assert op12.kept_spans(t, spans, op12.pattern_spans(t)) == all_windows(tagger, t, cfg), t
+
+
 def test_private_report_and_defined_results(spark, awkward, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(
         spark.createDataFrame([(9_000_000 + i, t) for i, t in enumerate(private_texts(60, 12))], "doc_id long, text string"))
