@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.textvec import LONG, chunks, mix, pieces, word_hashes
+from pluvio.llm.textvec import LONG, chunks, mix, pieces, trim, word_hashes
 
 TERMS = 4096  # hashed trigrams; two terms for repeats follow, then the hashed words
 WORDS = 2048
@@ -89,6 +89,11 @@ def matrix(text: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.
     """Rows of square roots of term shares, each part by itself."""
     x = np.zeros((n, DIM), dtype=np.float32)
     x[text, term] = count
+    return shares(x)
+
+
+def shares(x: np.ndarray) -> np.ndarray:
+    """Rows of counts, changed in place as ``matrix`` says."""
     for part, weight in PARTS:
         x[:, part] /= np.maximum(x[:, part].sum(axis=1, keepdims=True), 1) / weight ** 2
     return np.sqrt(x, out=x)
@@ -98,18 +103,56 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def fit(x: np.ndarray, labels: np.ndarray, cfg: Voting) -> Space:
+@dataclass(frozen=True)
+class Sample:
+    """Term weights of the labelled texts, without the zeros: those of text
+    ``i`` stand at ``at[i]:at[i + 1]``. Only ``step`` texts at a time are
+    spread out to rows, so the driver never holds the whole matrix."""
+    at: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+    step: int
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        n = len(self.at) - 1
+        for lo in range(0, n, self.step):
+            hi = min(n, lo + self.step)
+            part, x = slice(self.at[lo], self.at[hi]), np.zeros((hi - lo, DIM), dtype=np.float32)
+            x[np.repeat(np.arange(hi - lo), np.diff(self.at[lo:hi + 1])), self.terms[part]] = self.weights[part]
+            yield slice(lo, hi), x
+
+    def times(self, q: np.ndarray) -> np.ndarray:
+        return np.concatenate([x @ q for _, x in self.blocks()])
+
+    def normal(self, q: np.ndarray) -> np.ndarray:
+        """The transposed matrix times the matrix times ``q``."""
+        return sum(x.T @ (x @ q) for _, x in self.blocks())
+
+
+def weighted(terms: list[bytes], counts: list[bytes], step: int) -> tuple[np.ndarray, Sample]:
+    """Inverse document frequencies, and the sample with rows of length 1."""
+    at = np.cumsum([0] + [len(t) // 2 for t in terms])
+    terms = np.frombuffer(b"".join(terms), dtype=np.int16)
+    idf = (np.log((len(at)) / (1 + np.bincount(terms, minlength=DIM))) + 0.1).astype(np.float32)
+    raw = Sample(at, terms, np.frombuffer(b"".join(counts), dtype=np.int32), step)
+    weights = np.empty(len(terms), dtype=np.float32)
+    for rows, x in raw.blocks():
+        part = slice(at[rows.start], at[rows.stop])
+        of = np.repeat(np.arange(len(x)), np.diff(at[rows.start:rows.stop + 1]))
+        weights[part] = unit(shares(x) * idf)[of, terms[part]]
+    return idf, Sample(at, terms, weights, step)
+
+
+def fit(idf: np.ndarray, w: Sample, labels: np.ndarray, cfg: Voting) -> Space:
     """Leading right singular vectors of the weighted matrix by subspace
     iteration from a fixed start."""
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    w = unit(x * idf)
-    rank = min(cfg.rank, len(x))
+    rank = min(cfg.rank, len(labels))
     q = np.random.default_rng(7).standard_normal((DIM, rank + 8)).astype(np.float32)
     for _ in range(6):
-        q, _ = np.linalg.qr(w.T @ (w @ q))
-    _, _, v = np.linalg.svd(w @ q, full_matrices=False)
+        q, _ = np.linalg.qr(w.normal(q))
+    _, _, v = np.linalg.svd(w.times(q), full_matrices=False)
     axes = (q @ v.T)[:, :rank].astype(np.float32)
-    return Space(idf, axes, unit(w @ axes).astype(np.float32), labels.astype(np.float32))
+    return Space(idf, axes, unit(w.times(axes)).astype(np.float32), labels.astype(np.float32))
 
 
 def vote(x: np.ndarray, space: Space, cfg: Voting) -> np.ndarray:
@@ -152,10 +195,10 @@ def train(docs: DataFrame, labels: DataFrame, cfg: Voting = Voting(), id_col: st
     got = got.orderBy(F.xxhash64("doc_id"), "doc_id", "terms").limit(cfg.max_labelled).toPandas()
     if not len(got):
         return None
-    terms = [np.frombuffer(t, dtype=np.int16).astype(np.int64) for t in got["terms"]]
-    counts = np.concatenate([np.frombuffer(c, dtype=np.int32) for c in got["counts"]])
-    x = matrix(np.repeat(np.arange(len(got)), [len(t) for t in terms]), np.concatenate(terms), counts, len(got))
-    return fit(x, got["y"].to_numpy(), cfg)
+    idf, w = weighted(list(got["terms"]), list(got["counts"]), cfg.block)
+    space = fit(idf, w, got["y"].to_numpy(), cfg)
+    trim()
+    return space
 
 
 def score(docs: DataFrame, space: Space | None, cfg: Voting = Voting(), text_col: str = "text", out: str = "score") -> DataFrame:

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +134,27 @@ def test_a_labelled_id_that_repeats_counts_once(spark):
     assert len(op10.train(docs, labels).labels) == n and len(op10.train(docs, labels, op10.Voting(max_labelled=10)).labels) == 10
 
 
+def test_training_never_holds_the_whole_matrix(spark):
+    docs = spark.range(6400).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 30), i -> concat('w', id * i % 997))) as text")
+    tracemalloc.start()
+    space = op10.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(space.labels) == 4096 and peak < 64 << 20  # the matrix alone would take 100 MB
+
+
+def test_blocks_of_the_sample_give_what_one_block_gives():
+    texts = [" ".join(f"w{i * j % 97}" for j in range(1, 20)).encode() + b"!" * (i % 3) for i in range(40)]
+    found = [op10.term_counts([t])[1:] for t in texts]
+    terms, counts = [t.astype("int16").tobytes() for t, _ in found], [c.astype("int32").tobytes() for _, c in found]
+    labels = np.arange(40) % 2
+    one, some = (op10.fit(*op10.weighted(terms, counts, step), labels, op10.Voting()) for step in (40, 7))
+    x = op10.matrix(*op10.term_counts(texts), 40)
+    assert np.allclose(op10.vote(x, one, op10.Voting()), op10.vote(x, some, op10.Voting()), atol=1e-4)
+    plain = op10.unit(x * one.idf)
+    assert np.allclose(one.vectors, op10.unit(plain @ one.axes), atol=1e-5)
+
+
 def test_terms_of_a_long_text_come_piece_by_piece(monkeypatch):
     text = ("Some words, words | and ### more.\n" * 400).encode()
     whole = op10.matrix(*op10.term_counts([text, b"x", b""]), 3)
