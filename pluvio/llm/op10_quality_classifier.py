@@ -125,8 +125,19 @@ class Sample:
         return np.concatenate([x @ q for _, x in self.blocks()])
 
     def normal(self, q: np.ndarray) -> np.ndarray:
-        """The transposed matrix times the matrix times ``q``."""
-        return sum(x.T @ (x @ q) for _, x in self.blocks())
+        """The transposed matrix times the matrix times ``q``. Ranges of terms
+        are spread out, not of texts: each sum over the texts stays one sum."""
+        y, n = self.times(q), len(self.at) - 1
+        of = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.at))
+        order = np.argsort(self.terms, kind="stable")
+        cuts, width = np.searchsorted(self.terms, np.arange(DIM + 1), sorter=order), max(1, self.step * DIM // n)
+        out = []
+        for lo in range(0, DIM, width):
+            hi = min(DIM, lo + width)
+            part, x = order[cuts[lo]:cuts[hi]], np.zeros((n, hi - lo), dtype=np.float32)
+            x[of[part], self.terms[part] - lo] = self.weights[part]
+            out.append(x.T @ y)
+        return np.concatenate(out)
 
 
 def weighted(terms: list[bytes], counts: list[bytes], step: int) -> tuple[np.ndarray, Sample]:
