@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, replace
+from dataclasses import asdict, dataclass, replace
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.models.fit_ledger import FitLedger, data_version, plan, work_off
-from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, fit_classifier, fit_single_stage, fit_two_stage
+from pluvio.models.task_trees import MOST_ROWS, TaskGBTClassifier, TaskGBTRegressor
+from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, balanced, fit_classifier, fit_single_stage, fit_two_stage
 from pluvio.operators import metrics as mt
 from pluvio.operators.splits import inner_validation
 from pluvio.session import materialize, scratch_path
@@ -61,23 +62,39 @@ def _part(staged: DataFrame, fold, *roles: str) -> DataFrame:
     return staged.filter((F.col("fold") == fold) & F.col("role").isin(*roles))
 
 
-def tuned_classifier(staged: DataFrame, fold, cfg: TwoStageConfig, tune: bool = True, thresholds=mt.CLF_THRESHOLDS):
+def class_counts(staged: DataFrame, cfg: TwoStageConfig) -> dict:
+    """(wet, dry) rows of every fold and role, counted once for all fits (AGG15)."""
+    wet = F.col(cfg.label) > cfg.clf_thr
+    return {(r["fold"], r["role"]): (r["p"], r["n"])
+            for r in staged.groupBy("fold", "role").agg(F.count_if(wet).alias("p"), F.count_if(~wet).alias("n")).collect()}
+
+
+def weighed(cfg: TwoStageConfig, counts: dict | None, fold, *roles: str) -> TwoStageConfig:
+    """The configuration with the weight of the positives that the counts
+    give, where the classes of these roles' rows decide it."""
+    if counts is None or not balanced(cfg.clf_params or {}):
+        return cfg
+    p, n = (sum(counts.get((fold, r), (0, 0))[i] for r in roles) for i in (0, 1))
+    return replace(cfg, clf_params={**(cfg.clf_params or {}), "scale_pos_weight": n / p if p else 1.0})
+
+
+def tuned_classifier(staged: DataFrame, fold, cfg: TwoStageConfig, tune: bool = True, thresholds=mt.CLF_THRESHOLDS, counts: dict | None = None):
     """(threshold, classifier) of a fold: the threshold is tuned on the inner
     validation part (AGG9) with a classifier fitted on the rest, then the
     classifier is refitted on the full training part."""
     best = cfg.threshold
     if tune:
-        inner = TwoStageModel(cfg, fit_classifier(_part(staged, fold, "fit"), cfg), None)
-        best = mt.best_threshold(inner.predict_proba(_part(staged, fold, "val")), cfg.label, "prob", (), thresholds,
+        inner = TwoStageModel(cfg, fit_classifier(_part(staged, fold, "fit"), weighed(cfg, counts, fold, "fit")), None)
+        best = mt.best_threshold(inner.predict_proba(cfg.gathered(_part(staged, fold, "val"))), cfg.label, "prob", (), thresholds,
                                  cfg.clf_thr).first()["best_threshold"]
-    return best, fit_classifier(_part(staged, fold, "fit", "val"), cfg)
+    return best, fit_classifier(_part(staged, fold, "fit", "val"), weighed(cfg, counts, fold, "fit", "val"))
 
 
 def score_fold(staged: DataFrame, fold, cfg: TwoStageConfig, best: float, clf, regress: bool = True) -> DataFrame:
     """Predictions for a fold's test part with its own threshold."""
     at = replace(cfg, threshold=best)
     full = fit_two_stage(_part(staged, fold, "fit", "val"), at, clf=clf) if regress else TwoStageModel(at, clf, None)
-    return full.transform(_part(staged, fold, "test")).select("fold", cfg.label, "prob", "y_hat")
+    return full.transform(cfg.gathered(_part(staged, fold, "test"))).select("fold", cfg.label, "prob", "y_hat")
 
 
 def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] | None = None,
@@ -116,6 +133,17 @@ def stored_folds(folded: DataFrame, val_ratio: float) -> tuple[DataFrame, dict]:
     return folded.sparkSession.read.parquet(path), sizes
 
 
+@dataclass
+class InTaskConfig(TwoStageConfig):
+    """A configuration whose boosted trees grow in one task a fit; the few
+    rows are also counted and scored in one, without a shuffle."""
+    gbt_classifier = TaskGBTClassifier
+    gbt_regressor = TaskGBTRegressor
+
+    def gathered(self, df: DataFrame) -> DataFrame:
+        return df.coalesce(1)
+
+
 def grid_configs(base: TwoStageConfig, grid: dict[str, dict], stage: str) -> dict[str, TwoStageConfig]:
     """A configuration may set its own ``log_target``."""
     out = {}
@@ -133,13 +161,18 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
     through a fit ledger; then the grid summary (AGG11) over its rows. With
     the ``ledger`` of an earlier run only pairs that it lacks are fitted;
     ``limit`` bounds the fits of this call (``GridUnfinished`` if some are
-    left). The classifier grid fits classifiers only. For the regressor grid
+    left). Folds of up to ``MOST_ROWS`` rows are fitted in one task each, larger
+    ones by MLlib's jobs; the trees are the same. The classifier grid fits classifiers only. For the regressor grid
     the classifier and its threshold stay fixed (``base``), one per fold, and
     the least mean RMSE on wet rows ranks first."""
     spark = folded.sparkSession
     ledger = ledger or FitLedger(spark, scratch_path(spark, "fit-ledger"))
     staged, sizes = stored_folds(folded, val_ratio)
+    few = max(sizes.values(), default=0) <= MOST_ROWS
+    if few:
+        base = InTaskConfig(**vars(base))
     folds = folds or sorted(sizes)
+    counts = class_counts(staged, base)
     version = data_version(staged)
     configs = grid_configs(base, grid, stage)
     planned = plan(spark, stage, {n: asdict(c) | {"val_ratio": val_ratio, "peak": peak} for n, c in configs.items()}, folds, version)
@@ -148,17 +181,17 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
 
     def classifier(fold, cfg):
         if stage == "clf":
-            return tuned_classifier(staged, fold, cfg)
+            return tuned_classifier(staged, fold, cfg, counts=counts)
         with locks[fold]:
             if fold not in fixed:
-                fixed[fold] = tuned_classifier(staged, fold, cfg, tune=False)
+                fixed[fold] = tuned_classifier(staged, fold, cfg, tune=False, counts=counts)
             return fixed[fold]
 
     def fit(row: dict) -> dict:
         cfg, fold = by_name[row["config"]], by_text[row["fold"]]
         best, clf = classifier(fold, cfg)
         scored = materialize(score_fold(staged, fold, cfg, best, clf, regress=stage == "reg"))
-        return mt.two_stage_metrics(scored, cfg.label, "y_hat", "prob", best, [], clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr,
+        return mt.two_stage_metrics(scored, cfg.label, "y_hat", "prob", best, [], few, clf_thr=cfg.clf_thr, reg_thr=cfg.reg_thr,
                                     peak=peak).first().asDict()
 
     work_off(ledger, planned, fit, parallelism, limit)

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import asdict, dataclass, field
+from typing import ClassVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -91,6 +92,13 @@ class TwoStageConfig:
     log_target: bool = True
     clf_thr: float = 0.5
     reg_thr: float = 0.5
+    # Estimators that grow the trees; no part of what is saved or hashed.
+    gbt_classifier: ClassVar[type] = GBTClassifier
+    gbt_regressor: ClassVar[type] = GBTRegressor
+
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """Rows that are counted or scored, laid out as the fits need them."""
+        return df
 
 
 class TwoStageModel:
@@ -145,6 +153,11 @@ def class_weight(df: DataFrame, label: str, thr: float) -> float:
     return (r["n"] / r["p"]) if r["p"] else 1.0
 
 
+def balanced(p: dict) -> bool:
+    """Do the classes of the training rows decide the weight?"""
+    return p.get("scale_pos_weight") is None and (p.get("is_unbalance", True) is not False or p.get("class_weight") == "balanced")
+
+
 def positive_weight(df: DataFrame, cfg: TwoStageConfig) -> float:
     """Weight of the positive rows: ``scale_pos_weight`` if given, 1 if
     balancing is switched off, else ``n_neg / n_pos``."""
@@ -153,9 +166,9 @@ def positive_weight(df: DataFrame, cfg: TwoStageConfig) -> float:
         raise ValueError(f"class_weight {p['class_weight']!r} has no MLlib counterpart")
     if p.get("scale_pos_weight") is not None:
         return float(p["scale_pos_weight"])
-    if p.get("is_unbalance", True) is False and p.get("class_weight") != "balanced":
+    if not balanced(p):
         return 1.0
-    return class_weight(df, cfg.label, cfg.clf_thr)
+    return class_weight(cfg.gathered(df), cfg.label, cfg.clf_thr)
 
 
 def fit_classifier(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel:
@@ -163,11 +176,11 @@ def fit_classifier(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel:
     w = positive_weight(df, cfg)
     lab = (F.col(cfg.label) > cfg.clf_thr).cast("double")
     d = df.withColumns({"_cls": lab, "_w": F.when(lab == 1.0, F.lit(w)).otherwise(F.lit(1.0))})
-    return Pipeline(stages=[_assembler(cfg.features), GBTClassifier(
+    return Pipeline(stages=[_assembler(cfg.features), cfg.gbt_classifier(
         labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params, WEIGHT_KNOBS))]).fit(d)
 
 
-def regressor(params: dict, label: str):
+def regressor(params: dict, label: str, gbt: type = GBTRegressor):
     """ML6 — the estimator of an ``objective``: squared or absolute loss are
     boosted trees, huber and tweedie are MLlib's linear estimators for them;
     any other objective (quantiles, say) raises. The linear ones take no tree
@@ -177,7 +190,7 @@ def regressor(params: dict, label: str):
     common = dict(labelCol=label, featuresCol="features")
     if objective in ("regression", "regression_l2", "l2", "mse", "regression_l1", "l1", "mae"):
         loss = "absolute" if objective in ("regression_l1", "l1", "mae") else "squared"
-        return GBTRegressor(lossType=loss, **common, **gbt_params(p, {"objective"}))
+        return gbt(lossType=loss, **common, **gbt_params(p, {"objective"}))
     p = {k: v for k, v in p.items() if k not in QUIET}
     extra = set(p) - {"objective", "alpha", "tweedie_variance_power", "n_estimators", "random_state"}
     if objective not in ("huber", "tweedie") or extra:
@@ -192,10 +205,10 @@ def fit_regressor(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel | None:
     """ML7 stage 2 — GBT regressor on the wet rows (``log1p`` target when
     ``log_target``); ``None`` when there is no wet row."""
     wet = df.filter(F.col(cfg.label) > cfg.reg_thr)
-    if not wet.limit(1).count():
+    if not cfg.gathered(wet).limit(1).count():
         return None
     tgt = F.log1p(cfg.label) if cfg.log_target else F.col(cfg.label)
-    return Pipeline(stages=[_assembler(cfg.features), regressor(cfg.reg_params, "_t")]).fit(wet.withColumn("_t", tgt))
+    return Pipeline(stages=[_assembler(cfg.features), regressor(cfg.reg_params, "_t", cfg.gbt_regressor)]).fit(wet.withColumn("_t", tgt))
 
 
 def fit_two_stage(df: DataFrame, cfg: TwoStageConfig, clf: PipelineModel | None = None) -> TwoStageModel:

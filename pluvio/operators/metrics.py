@@ -72,20 +72,20 @@ def evaluate(df: DataFrame, y: str, p: str, keys=(), threshold: float = CLASSIFI
     return df.groupBy(*keys).agg(*regression_aggs(y, p), *classification_aggs(y, p, threshold))
 
 
-def roc_auc(df: DataFrame, label: Column, score: str, keys=()) -> DataFrame:
+def roc_auc(df: DataFrame, label: Column, score: str, keys=(), few: bool = False) -> DataFrame:
     """AGG8 — exact ROC AUC per group, ties counted half (Mann-Whitney), NULL
     when a group has a single class.
 
     Plan: positives/negatives per distinct (group, score) — a partial
     aggregate; then the negatives below each score from ranges of the scores
     that sampled splitters make (``weight_below``), so scores that crowd
-    together are split like any others.
+    together are split like any others. ``few`` rows are ranked in one task.
     """
     keys = list(keys)
     s = (df.select(*keys, F.col(score).alias("_s"), label.cast("int").alias("_y"))
          .filter(F.col("_s").isNotNull() & F.col("_y").isNotNull())
          .groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg")))
-    r = weight_below(s, keys, "_s", "_neg", "_below")
+    r = weight_below(s, keys, "_s", "_neg", "_below", few)
     tot_p, tot_n = F.sum("_pos"), F.sum("_neg")
     u = F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0))
     return r.groupBy(*keys).agg(
@@ -117,14 +117,14 @@ def two_stage_aggs(y: str, y_pred: str, prob: str, threshold: float,
 
 
 def two_stage_metrics(df: DataFrame, y: str, y_pred: str, prob: str, threshold: float, keys=(),
-                      **kw) -> DataFrame:
+                      few: bool = False, **kw) -> DataFrame:
     """AGG7 — all stage-1/stage-2/combined metrics plus exact AUC per group."""
     keys = list(keys)
     if not keys:  # one group: keyed by a constant, so both sides still meet by key
         one = df.withColumn("_one", F.lit(1))
-        return two_stage_metrics(one, y, y_pred, prob, threshold, ["_one"], **kw).drop("_one")
+        return two_stage_metrics(one, y, y_pred, prob, threshold, ["_one"], few, **kw).drop("_one")
     m = df.groupBy(*keys).agg(*two_stage_aggs(y, y_pred, prob, threshold, **kw))
-    auc = roc_auc(df, F.col(y) > kw.get("clf_thr", CLF_RAIN_THRESHOLD), prob, keys)
+    auc = roc_auc(df, F.col(y) > kw.get("clf_thr", CLF_RAIN_THRESHOLD), prob, keys, few)
     return join_null_safe(m, auc, keys, "left")
 
 

@@ -38,11 +38,15 @@ def within(dealt: DataFrame, keys: list[str], value: str, weight: str, name: str
     return dealt.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
 
 
-def weight_below(distinct: DataFrame, keys: list[str], value: str, weight: str, name: str) -> DataFrame:
-    """``distinct`` with the weight of all smaller values of its group."""
+def weight_below(distinct: DataFrame, keys: list[str], value: str, weight: str, name: str, few: bool = False) -> DataFrame:
+    """``distinct`` with the weight of all smaller values of its group. With
+    ``few`` (a task's worth of rows, the caller knows) all are one range, in
+    one partition, so nothing stands below it and nothing is shuffled."""
     if not keys:  # one group: keyed by a constant, so both sides still meet by key
         one = distinct.withColumn("_one", F.lit(1))
-        return weight_below(one, ["_one"], value, weight, name).drop("_one")
+        return weight_below(one, ["_one"], value, weight, name, few).drop("_one")
+    if few:
+        return within(distinct.coalesce(1).withColumn(RANGE, F.lit(0)), keys, value, weight, name).drop(RANGE)
     dealt = ranged(distinct, keys, value)
     out = join_null_safe(within(dealt, keys, value, weight, "_here"), carried(dealt, keys, weight).drop("total"), [*keys, RANGE])
     return out.withColumn(name, F.col("below") + F.col("_here")).drop("below", "_here", RANGE)
