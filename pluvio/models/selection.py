@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pluvio.models.fit_ledger import FitLedger, data_version, plan, work_off
 from pluvio.models.task_trees import MOST_ROWS, TaskGBTClassifier, TaskGBTRegressor
-from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, balanced, fit_classifier, fit_single_stage, fit_two_stage
+from pluvio.models.two_stage import TwoStageConfig, TwoStageModel, assembled, balanced, fit_classifier, fit_single_stage, fit_two_stage
 from pluvio.operators import metrics as mt
 from pluvio.operators.splits import inner_validation
 from pluvio.session import materialize, scratch_path
@@ -121,15 +121,24 @@ def run_cv_two_stage(folded: DataFrame, cfg: TwoStageConfig, folds: list[int] |
 ROWS_PER_TASK = 50_000  # of a fold's training part; fewer, larger tasks for the many small jobs of boosting
 
 
-def stored_folds(folded: DataFrame, val_ratio: float) -> tuple[DataFrame, dict]:
+def _few(sizes: dict) -> bool:
+    return max(sizes.values(), default=0) <= MOST_ROWS
+
+
+def stored_folds(folded: DataFrame, val_ratio: float, cfg: TwoStageConfig) -> tuple[DataFrame, dict]:
     """The folds written once, a folder for each fold and role, in as many
-    files as their rows need; with the number of rows of each fold."""
+    files as their rows need; with the number of rows of each fold. Folds
+    that are fitted in one task are written with their inputs as one vector,
+    which keeps the plans of the many fits short."""
     staged = inner_validation(folded, val_ratio)
     sizes = {r["fold"]: r["n"] for r in staged.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     pieces = max(1, -(-max(sizes.values(), default=1) // ROWS_PER_TASK))
     piece = F.pmod(F.xxhash64(*[c for c in staged.columns if c not in ("fold", "role")]), F.lit(pieces))
     path = scratch_path(folded.sparkSession, "folds")
-    staged.repartition(max(1, len(sizes) * pieces), "fold", piece).write.partitionBy("fold", "role").parquet(path)
+    dealt = staged.repartition(max(1, len(sizes) * pieces), "fold", piece)
+    if _few(sizes):
+        dealt = assembled(dealt, cfg.features, "fold", "role", cfg.label)
+    dealt.write.partitionBy("fold", "role").parquet(path)
     return folded.sparkSession.read.parquet(path), sizes
 
 
@@ -167,8 +176,8 @@ def run_grid(folded: DataFrame, base: TwoStageConfig, grid: dict[str, dict], sta
     the least mean RMSE on wet rows ranks first."""
     spark = folded.sparkSession
     ledger = ledger or FitLedger(spark, scratch_path(spark, "fit-ledger"))
-    staged, sizes = stored_folds(folded, val_ratio)
-    few = max(sizes.values(), default=0) <= MOST_ROWS
+    staged, sizes = stored_folds(folded, val_ratio, base)
+    few = _few(sizes)
     if few:
         base = InTaskConfig(**vars(base))
     folds = folds or sorted(sizes)

@@ -78,6 +78,16 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
+def assembled(df: DataFrame, features: list[str], *keep: str) -> DataFrame:
+    """Only the ``keep`` columns and the model's inputs as one vector, which
+    fits and scoring then take as it is."""
+    return _assembler(features).transform(df).select(*keep, "features")
+
+
+def _pipeline(df: DataFrame, features: list[str], estimator) -> Pipeline:
+    return Pipeline(stages=[estimator] if "features" in df.columns else [_assembler(features), estimator])
+
+
 def _one_row(spark: SparkSession, row: dict, features: list[str]) -> DataFrame:
     return spark.createDataFrame([tuple(float(row[c]) for c in features)], ", ".join(f"`{c}` double" for c in features))
 
@@ -111,7 +121,12 @@ class TwoStageModel:
         """ML8 — probability of the positive class."""
         out = self.clf.transform(df)
         return out.withColumn("prob", vector_to_array("probability")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction")
+            *self._made(df), "rawPrediction", "probability", "prediction")
+
+    @staticmethod
+    def _made(df: DataFrame) -> list[str]:
+        """The vector column, unless the rows came with it."""
+        return [] if "features" in df.columns else ["features"]
 
     def transform(self, df: DataFrame, threshold: float | None = None) -> DataFrame:
         """ML8 — prob, magnitude and hurdle combination in one pass."""
@@ -120,7 +135,7 @@ class TwoStageModel:
         if self.reg is None:  # no wet rows at fit time: magnitude 0
             d = d.withColumn("raw", F.lit(0.0))
         else:
-            d = self.reg.transform(d).withColumnRenamed("prediction", "raw").drop("features")
+            d = self.reg.transform(d).withColumnRenamed("prediction", "raw").drop(*self._made(df))
         d = d.withColumn("mm", magnitude(F.col("raw"), self.cfg.log_target))
         return d.withColumn("y_hat", hurdle(F.col("prob"), F.col("mm"), thr))
 
@@ -176,8 +191,8 @@ def fit_classifier(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel:
     w = positive_weight(df, cfg)
     lab = (F.col(cfg.label) > cfg.clf_thr).cast("double")
     d = df.withColumns({"_cls": lab, "_w": F.when(lab == 1.0, F.lit(w)).otherwise(F.lit(1.0))})
-    return Pipeline(stages=[_assembler(cfg.features), cfg.gbt_classifier(
-        labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params, WEIGHT_KNOBS))]).fit(d)
+    return _pipeline(df, cfg.features, cfg.gbt_classifier(
+        labelCol="_cls", weightCol="_w", featuresCol="features", **gbt_params(cfg.clf_params, WEIGHT_KNOBS))).fit(d)
 
 
 def regressor(params: dict, label: str, gbt: type = GBTRegressor):
@@ -208,7 +223,7 @@ def fit_regressor(df: DataFrame, cfg: TwoStageConfig) -> PipelineModel | None:
     if not cfg.gathered(wet).limit(1).count():
         return None
     tgt = F.log1p(cfg.label) if cfg.log_target else F.col(cfg.label)
-    return Pipeline(stages=[_assembler(cfg.features), regressor(cfg.reg_params, "_t", cfg.gbt_regressor)]).fit(wet.withColumn("_t", tgt))
+    return _pipeline(df, cfg.features, regressor(cfg.reg_params, "_t", cfg.gbt_regressor)).fit(wet.withColumn("_t", tgt))
 
 
 def fit_two_stage(df: DataFrame, cfg: TwoStageConfig, clf: PipelineModel | None = None) -> TwoStageModel:
